@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import cached_property
+from collections.abc import Callable, Mapping
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,30 +18,57 @@ MODELS = (
 )
 
 
+class Sources(Mapping):
+    """Sources by name, each opened when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, openers: Mapping[str, Callable[[], DataFrame]]):
+        self.spark = spark
+        self._openers = dict(openers)
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self._openers[name]()
+        return self._open[name]
+
+    def __iter__(self):
+        return iter(self._openers)
+
+    def __len__(self) -> int:
+        return len(self._openers)
+
+
 class Shop:
     """Sources in, models out. Nothing is computed until a model is used."""
 
     def __init__(self, sources: Mapping[str, DataFrame]):
-        self.src = dict(sources)
+        self.src = sources
 
     @classmethod
     def over_fixtures(cls, spark: SparkSession, folder: str) -> Shop:
         """Sources derived from the supplied star-schema tables."""
         names = (*schemas.SOURCES, "churn_predictions", "audit_calls", "contacts")
-        return cls({n: getattr(fixtures, n)(spark, folder) for n in names})
+        return cls(Sources(spark, {n: partial(getattr(fixtures, n), spark, folder) for n in names}))
 
     @classmethod
     def over_csv(cls, spark: SparkSession, folder: str, file_names: Mapping[str, str]) -> Shop:
-        """Sources read from CSV files with their declared columns."""
-        return cls({
-            name: files.read_csv(spark, f"{folder}/{file_names[name]}", ddl, typed=True)
-            for name, ddl in schemas.SOURCES.items() if name in file_names
-        })
+        """Sources read from CSV files with their declared columns.
+
+        Only reviews hold free text, so all other files may be split while reading.
+        """
+        layouts = {**schemas.SOURCES, "churn_predictions": schemas.CHURN_PREDICTIONS}
+        return cls(Sources(spark, {
+            name: partial(files.read_csv, spark, f"{folder}/{file_names[name]}", ddl,
+                          name == "order_reviews", typed=True)
+            for name, ddl in layouts.items() if name in file_names
+        }))
 
     @classmethod
     def over_tables(cls, spark: SparkSession, schema: str) -> Shop:
         """Sources that are tables or views under their raw names."""
-        return cls({name: spark.table(f"{schema}.{name}") for name in schemas.SOURCES})
+        return cls(Sources(spark, {
+            name: partial(spark.table, f"{schema}.{name}") for name in schemas.SOURCES
+        }))
 
     # ---- staging
 

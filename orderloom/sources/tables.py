@@ -7,8 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:name)", args={"name": name})
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Make sure a schema exists, in its own folder if one is given."""
+    args, where = {"name": name}, ""
+    if location is not None:
+        args["location"], where = location, " LOCATION :location"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS IDENTIFIER(:name){where}", args=args)
 
 
 def table(spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
