@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import date_of, days_between, days_earlier
 from ..functions.keys import any_true, value_at_max
-from ..functions.numeric import exact_mean, flag, ratio, rounded
+from ..functions.numeric import flag, money_mean, ratio, rounded
 from ..functions.segments import risk_tier, risk_tier_rank
 
 # Inputs of the model, and those from which its label can be read off.
@@ -36,7 +36,7 @@ def order_signals(fact: DataFrame) -> DataFrame:
         F.avg("item_count").alias("avg_item_count"),
         F.avg("distinct_products").alias("avg_distinct_products"),
         F.avg("distinct_sellers").alias("avg_distinct_sellers"),
-        exact_mean("freight_total_brl").alias("avg_freight_brl"),
+        money_mean("freight_total_brl").alias("avg_freight_brl"),
         any_true("used_voucher").alias("used_voucher_ever"),
         any_true("used_credit_card").alias("used_credit_card_ever"),
         value_at_max("primary_payment_type", "total_payment_value", "order_id")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import days_between
 from ..functions.keys import surrogate_key
-from ..functions.numeric import exact, ratio, rounded
+from ..functions.numeric import money_part, money_total, money_whole, ratio, rounded
 from ..functions.segments import frequency_segment, satisfaction_segment
 
 
@@ -22,7 +22,8 @@ def _history_by_account(orders: DataFrame) -> DataFrame:
         F.count_if(F.col("order_status") == "canceled").alias("n_canceled"),
         F.min("purchased_at").alias("first_at"),
         F.max("purchased_at").alias("last_at"),
-        F.sum(exact("total_payment_value")).alias("spend"),
+        F.sum(money_whole("total_payment_value")).alias("spend_whole"),
+        F.sum(money_part("total_payment_value")).alias("spend_part"),
         F.count("total_payment_value").alias("n_paid"),
         F.sum("review_score").alias("score"),
         F.count("review_score").alias("n_scored"),
@@ -47,7 +48,8 @@ def _history(orders: DataFrame, customers: DataFrame, keep: str) -> DataFrame:
         )],
         F.min("first_at").alias("first_order_at"),
         F.max("last_at").alias("last_order_at"),
-        *[F.sum(n).alias(n) for n in ("spend", "score", "days")],
+        money_total(F.sum("spend_whole"), F.sum("spend_part")).alias("spend"),
+        *[F.sum(n).alias(n) for n in ("score", "days")],
     )
     return rolled.select(
         "customer_unique_id",

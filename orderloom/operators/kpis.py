@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import date_of, month_label
-from ..functions.numeric import exact, exact_mean, exact_sum, percent, ratio, rounded
+from ..functions.numeric import (
+    exact, exact_mean, exact_sum, money_mean, money_sum, percent, ratio, rounded,
+)
 from ..functions.segments import delivery_bucket
 
 DELIVERED = "delivered"
@@ -41,8 +43,8 @@ def _volume_columns() -> list[Column]:
 
 def _money_columns() -> list[Column]:
     return [
-        rounded(exact_mean("total_payment_value"), 2).alias("avg_order_value_brl"),
-        rounded(F.sum(exact("total_payment_value")), 2).alias("total_gmv_brl"),
+        rounded(money_mean("total_payment_value"), 2).alias("avg_order_value_brl"),
+        rounded(money_sum("total_payment_value"), 2).alias("total_gmv_brl"),
     ]
 
 

@@ -14,9 +14,10 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import ratio, rounded
+from ..session import fresh_path
 from .churn import CATEGORICAL_FEATURES, LEAKY_FEATURES, NUMERIC_FEATURES
 from .ranking import medians
 
@@ -143,6 +144,17 @@ def classifier(model: str, **overrides):
     raise ValueError(f"model must be one of: {[LOGISTIC, FOREST, BOOSTED]}")
 
 
+def stored(spark: SparkSession, fitted):
+    """The fitted model read back from shared storage.
+
+    A fresh fit may carry its training summary, and with it a session that cannot travel to
+    executors; the stored model is only its parameters.
+    """
+    path = fresh_path(spark, "model")
+    fitted.write().save(path)
+    return type(fitted).load(path)
+
+
 def fit(
     features: DataFrame, model: str = FOREST, drop_leaky: bool = False, **overrides
 ) -> tuple[PipelineModel, object, DataFrame]:
@@ -163,7 +175,7 @@ def fit(
             train.unpersist()
     finally:
         rows.unpersist()
-    return prepared, fitted, ready
+    return prepared, stored(features.sparkSession, fitted), ready
 
 
 def scores(fitted, ready: DataFrame) -> DataFrame:
@@ -285,8 +297,6 @@ def importance(fitted, names: Sequence[str]) -> DataFrame:
         fitted.featureImportances if hasattr(fitted, "featureImportances")
         else fitted.coefficients
     )
-    from pyspark.sql import SparkSession
-
     rows = [(name, float(abs(v))) for name, v in zip(names, values.toArray())]
     return SparkSession.active().createDataFrame(rows, "feature string, importance double")
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import days_between, hours_between, month_start, week_start, weekday
 from ..functions.keys import any_true, surrogate_key, value_at_min
-from ..functions.numeric import exact, exact_sum, rounded
+from ..functions.numeric import money_sum, rounded
 from ..functions.text import has_text
 
 REVIEW_COLUMNS = (
@@ -71,8 +71,8 @@ def item_rollup(items: DataFrame) -> DataFrame:
         F.count("*").alias("item_count"),
         F.count_distinct("product_id").alias("distinct_products"),
         F.count_distinct("seller_id").alias("distinct_sellers"),
-        exact_sum("price").alias("items_subtotal_brl"),
-        exact_sum("freight_value").alias("freight_total_brl"),
+        money_sum("price").cast("double").alias("items_subtotal_brl"),
+        money_sum("freight_value").cast("double").alias("freight_total_brl"),
     )
 
 
@@ -128,7 +128,7 @@ def payments_first_kind(payments: DataFrame) -> DataFrame:
     kind = F.col("payment_type")
     defined = F.when(kind != "not_defined", F.col("payment_sequential"))
     return payments.groupBy("order_id").agg(
-        rounded(F.sum(exact("payment_value")), 2).alias("total_payment_value"),
+        rounded(money_sum("payment_value"), 2).alias("total_payment_value"),
         value_at_min(kind, defined, "payment_value", kind).alias("primary_payment_type"),
         F.coalesce(any_true(kind == "voucher"), F.lit(False)).alias("used_voucher"),
         F.coalesce(any_true(kind == "credit_card"), F.lit(False)).alias("used_credit_card"),

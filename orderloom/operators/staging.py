@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.keys import any_true, surrogate_key, value_at_max
-from ..functions.numeric import exact, rounded
+from ..functions.numeric import money_sum, rounded
 
 
 def _time(name: str):
@@ -46,7 +46,7 @@ def order_payments(source: DataFrame) -> DataFrame:
     kind = F.col("payment_type")
     return source.groupBy("order_id").agg(
         F.count("*").alias("payment_installments_total"),
-        rounded(F.sum(exact("payment_value")), 2).alias("total_payment_value"),
+        rounded(money_sum("payment_value"), 2).alias("total_payment_value"),
         value_at_max(kind, "payment_value", "payment_sequential", kind)
         .alias("primary_payment_type"),
         *[

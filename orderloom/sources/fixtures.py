@@ -6,263 +6,207 @@ scales with the tables and adds no shuffle of its own to the fact side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-TRANSLATED_TYPES = ("ECONOMY", "MEDIUM", "PROMO", "STANDARD")
+from pyspark.sql import DataFrame, SparkSession
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _later(start: Column, unit: str, amount: Column) -> Column:
-    parts = {"days": F.lit(0), "hours": F.lit(0), "mins": F.lit(0), "secs": F.lit(0)}
-    parts[unit] = amount.cast("decimal(18,6)") if unit == "secs" else amount.cast("int")
-    return start + F.make_dt_interval(**parts)
-
-
-def _choice(key: Column, by_key: dict[int, str], default: str) -> Column:
-    rule = F
-    for value, label in by_key.items():
-        rule = rule.when(key == value, label)
-    return rule.otherwise(default)
-
-
-def _customer_id(key: Column) -> Column:
-    return F.concat(F.lit("u"), F.lpad(key.cast("string"), 10, "0"))
-
-
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    purchase = _later(F.col("o_orderdate"), "secs", k * 7919 % 86400)
-    status = F.when(
-        (F.col("o_orderstatus") != "P") | (k % 4 != 0), "delivered"
-    ).otherwise(_choice(
-        k % 7,
-        {0: "canceled", 1: "shipped", 2: "created", 3: "approved", 4: "invoiced",
-         5: "processing"},
-        "unavailable",
-    ))
-    base = read(spark, folder, "orders").select(
-        k.alias("order_id"),
-        _customer_id(k).alias("customer_id"),
-        status.alias("order_status"),
-        purchase.alias("order_purchase_timestamp"),
-    )
-    k, bought, status = F.col("order_id"), F.col("order_purchase_timestamp"), F.col("order_status")
-    return base.select(
-        "*",
-        F.when(status != "created", _later(bought, "mins", k * 37 % 2880))
-        .alias("order_approved_at"),
-        F.when(status.isin("delivered", "shipped"), _later(bought, "hours", k * 13 % 96 + 12))
-        .alias("order_delivered_carrier_date"),
-        F.when((status == "delivered") & (k % 101 != 0),
-               _later(bought, "hours", k * 7919 % 900 + 30))
-        .alias("order_delivered_customer_date"),
-        _later(bought.cast("date").cast("timestamp_ntz"), "days", k * 31 % 25 + 10)
-        .alias("order_estimated_delivery_date"),
+    return (
+        read(spark, folder, "orders")
+        .selectExpr(
+            "o_orderkey AS order_id",
+            "o_orderdate + make_dt_interval(0, 0, 0, o_orderkey * 7919 % 86400)"
+            " AS order_purchase_timestamp",
+            """CASE WHEN o_orderstatus <> 'P' OR o_orderkey % 4 <> 0 THEN 'delivered'
+               ELSE CASE o_orderkey % 7 WHEN 0 THEN 'canceled' WHEN 1 THEN 'shipped'
+                    WHEN 2 THEN 'created' WHEN 3 THEN 'approved' WHEN 4 THEN 'invoiced'
+                    WHEN 5 THEN 'processing' ELSE 'unavailable' END
+               END AS order_status""",
+        )
+        .selectExpr(
+            "order_id",
+            "concat('u', lpad(string(order_id), 10, '0')) AS customer_id",
+            "order_status",
+            "order_purchase_timestamp",
+            """CASE WHEN order_status <> 'created' THEN order_purchase_timestamp
+               + make_dt_interval(0, 0, int(order_id * 37 % 2880)) END AS order_approved_at""",
+            """CASE WHEN order_status IN ('delivered', 'shipped') THEN order_purchase_timestamp
+               + make_dt_interval(0, int(12 + order_id * 13 % 96)) END
+               AS order_delivered_carrier_date""",
+            """CASE WHEN order_status = 'delivered' AND order_id % 101 <> 0
+               THEN order_purchase_timestamp
+               + make_dt_interval(0, int(30 + order_id * 7919 % 900)) END
+               AS order_delivered_customer_date""",
+            """CAST(date(order_purchase_timestamp) AS timestamp_ntz)
+               + make_dt_interval(int(10 + order_id * 31 % 25))
+               AS order_estimated_delivery_date""",
+        )
     )
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    k, nation = F.col("o_orderkey"), F.col("n_nationkey")
-    moved = F.when(k % 10 == 0, 1).otherwise(0)
+    placed = read(spark, folder, "orders").selectExpr("o_orderkey", "o_custkey AS c_custkey")
+    homes = read(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    nations = read(spark, folder, "nation").select("n_nationkey", "n_name")
     return (
-        read(spark, folder, "orders").select("o_orderkey", "o_custkey")
-        .join(
-            read(spark, folder, "customer")
-            .select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"),
-            "o_custkey",
+        placed.join(homes, "c_custkey")
+        .selectExpr(
+            "o_orderkey", "c_custkey",
+            "(c_nationkey + if(o_orderkey % 10 = 0, 1, 0)) % 25 AS n_nationkey",
         )
-        .withColumn("n_nationkey", (F.col("c_nationkey") + moved) % 25)
-        .join(read(spark, folder, "nation").select("n_nationkey", "n_name"), "n_nationkey")
-        .select(
-            _customer_id(k).alias("customer_id"),
-            F.md5(F.col("o_custkey").cast("string")).alias("customer_unique_id"),
-            (nation * 100 + k % 7).cast("int").alias("customer_zip_code_prefix"),
-            F.concat(F.lit("city_"), nation.cast("string"), F.lit("_"), (k % 3).cast("string"))
-            .alias("customer_city"),
-            F.col("n_name").alias("customer_state"),
+        .join(nations, "n_nationkey")
+        .selectExpr(
+            "concat('u', lpad(string(o_orderkey), 10, '0')) AS customer_id",
+            "md5(string(c_custkey)) AS customer_unique_id",
+            "int(n_nationkey * 100 + o_orderkey % 7) AS customer_zip_code_prefix",
+            "concat('city_', n_nationkey, '_', o_orderkey % 3) AS customer_city",
+            "n_name AS customer_state",
         )
     )
 
 
-def _freight() -> Column:
-    return F.floor(F.col("l_extendedprice") * 5).cast("double") / 100.0
+FREIGHT = "double(floor(l_extendedprice * 5)) / 100D"
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """The item number is computed from the row itself: numbering the lines of an order by a
     window would pull a very large order into one task."""
-    part, supplier = F.col("l_partkey"), F.col("l_suppkey")
-    shipped = F.datediff("l_shipdate", F.lit("1990-01-01").cast("date"))
-    number = ((part * 10000 + supplier % 10000) * 10000 + shipped) * 8 + F.col("l_linenumber")
-    return read(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        number.alias("order_item_id"),
-        part.alias("product_id"),
-        supplier.alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").alias("price"),
-        _freight().alias("freight_value"),
+    return read(spark, folder, "lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        """((l_partkey * 10000 + l_suppkey % 10000) * 10000
+            + datediff(l_shipdate, DATE'1990-01-01')) * 8 + l_linenumber AS order_item_id""",
+        "l_partkey AS product_id",
+        "l_suppkey AS seller_id",
+        "l_shipdate AS shipping_limit_date",
+        "l_extendedprice AS price",
+        f"{FREIGHT} AS freight_value",
     )
 
 
 def order_payments(spark: SparkSession, folder: str) -> DataFrame:
-    k, line = F.col("l_orderkey"), F.col("l_linenumber")
-    kind = _choice(
-        (k + line + F.col("l_partkey")) % 9,
-        {0: "voucher", 1: "boleto", 2: "boleto", 3: "debit_card", 8: "not_defined"},
-        "credit_card",
-    )
-    return read(spark, folder, "lineitem").where(line <= 2).select(
-        k.alias("order_id"),
-        line.alias("payment_sequential"),
-        kind.alias("payment_type"),
-        (k % 12 + 1).cast("int").alias("payment_installments"),
-        (F.col("l_extendedprice") + _freight()).alias("payment_value"),
+    return read(spark, folder, "lineitem").where("l_linenumber <= 2").selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS payment_sequential",
+        """CASE (l_orderkey + l_linenumber + l_partkey) % 9
+           WHEN 0 THEN 'voucher' WHEN 1 THEN 'boleto' WHEN 2 THEN 'boleto'
+           WHEN 3 THEN 'debit_card' WHEN 8 THEN 'not_defined'
+           ELSE 'credit_card' END AS payment_type""",
+        "int(l_orderkey % 12 + 1) AS payment_installments",
+        f"l_extendedprice + {FREIGHT} AS payment_value",
     )
 
 
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    k, j = F.col("order_id"), F.col("j")
-    copies = F.when(k % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    hours = k * 7919 % 900 + 30
-    score = F.greatest(F.lit(1), 5 - F.floor(hours / F.lit(216.0)) - (k + j) % 2)
-    message = F.when((k + j) % 4 == 0, "late parcel").when((k + j) % 4 == 1, "").when(
-        (k + j) % 4 == 2, "ok")
-    delivered = F.col("order_delivered_customer_date")
     return (
         orders(spark, folder)
-        .where(delivered.isNotNull() & (k % 13 != 0))
-        .select("order_id", delivered, F.explode(copies).alias("j"))
-        .select(
-            F.concat(F.lit("r"), k.cast("string"), F.lit("_"), j.cast("string"))
-            .alias("review_id"),
+        .where("order_delivered_customer_date IS NOT NULL AND order_id % 13 <> 0")
+        .selectExpr(
+            "order_id", "order_delivered_customer_date AS delivered",
+            "explode(if(order_id % 20 = 0, array(0, 1), array(0))) AS j",
+        )
+        .selectExpr(
+            "concat('r', order_id, '_', j) AS review_id",
             "order_id",
-            score.cast("int").alias("review_score"),
-            F.lit(None).cast("string").alias("review_comment_title"),
-            message.alias("review_comment_message"),
-            _later(delivered, "days", j + 1).alias("review_creation_date"),
-            _later(delivered, "days", j + 3).alias("review_answer_timestamp"),
+            """int(greatest(1, 5 - floor((30 + order_id * 7919 % 900) / 216D)
+               - (order_id + j) % 2)) AS review_score""",
+            "string(NULL) AS review_comment_title",
+            """CASE (order_id + j) % 4 WHEN 0 THEN 'late parcel' WHEN 1 THEN ''
+               WHEN 2 THEN 'ok' END AS review_comment_message""",
+            "delivered + make_dt_interval(j + 1) AS review_creation_date",
+            "delivered + make_dt_interval(j + 3) AS review_answer_timestamp",
         )
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    size, letters = F.col("p_size"), F.length("p_name")
-    return read(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(F.col("p_partkey") % 50 != 0, F.col("p_type")).alias("product_category_name"),
-        letters.alias("product_name_lenght"),
-        (letters * 10).alias("product_description_lenght"),
-        (size % 5).alias("product_photos_qty"),
-        (size * 100).cast("double").alias("product_weight_g"),
-        size.cast("double").alias("product_length_cm"),
-        (size + 1).cast("double").alias("product_height_cm"),
-        (size + 2).cast("double").alias("product_width_cm"),
+    return read(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        "if(p_partkey % 50 <> 0, p_type, NULL) AS product_category_name",
+        "length(p_name) AS product_name_lenght",
+        "length(p_name) * 10 AS product_description_lenght",
+        "p_size % 5 AS product_photos_qty",
+        "double(p_size * 100) AS product_weight_g",
+        "double(p_size) AS product_length_cm",
+        "double(p_size + 1) AS product_height_cm",
+        "double(p_size + 2) AS product_width_cm",
     )
 
 
 def category_translation(spark: SparkSession, folder: str) -> DataFrame:
-    kind = F.col("p_type")
     return (
-        read(spark, folder, "part").where(kind.isin(*TRANSLATED_TYPES))
-        .select(
-            kind.alias("product_category_name"),
-            F.concat(F.lower(kind), F.lit("_en")).alias("product_category_name_english"),
+        read(spark, folder, "part")
+        .where("p_type IN ('ECONOMY', 'MEDIUM', 'PROMO', 'STANDARD')")
+        .selectExpr(
+            "p_type AS product_category_name",
+            "concat(lower(p_type), '_en') AS product_category_name_english",
         )
         .distinct()
     )
 
 
 def sellers(spark: SparkSession, folder: str) -> DataFrame:
-    key, nation = F.col("s_suppkey"), F.col("n_nationkey")
-    return (
-        read(spark, folder, "supplier")
-        .withColumnRenamed("s_nationkey", "n_nationkey")
-        .join(read(spark, folder, "nation"), "n_nationkey")
-        .select(
-            key.alias("seller_id"),
-            (nation * 100 + key % 7).cast("int").alias("seller_zip_code_prefix"),
-            F.concat(F.lit("city_"), nation.cast("string"), F.lit("_"),
-                     (key % 3).cast("string")).alias("seller_city"),
-            F.col("n_name").alias("seller_state"),
-        )
+    nations = read(spark, folder, "nation").selectExpr("n_nationkey AS s_nationkey", "n_name")
+    return read(spark, folder, "supplier").join(nations, "s_nationkey").selectExpr(
+        "s_suppkey AS seller_id",
+        "int(s_nationkey * 100 + s_suppkey % 7) AS seller_zip_code_prefix",
+        "concat('city_', s_nationkey, '_', s_suppkey % 3) AS seller_city",
+        "n_name AS seller_state",
     )
 
 
 def geolocation(spark: SparkSession, folder: str) -> DataFrame:
-    key, nation = F.col("c_custkey"), F.col("n_nationkey")
-    return (
-        read(spark, folder, "customer")
-        .withColumnRenamed("c_nationkey", "n_nationkey")
-        .join(read(spark, folder, "nation"), "n_nationkey")
-        .select(
-            (nation * 100 + key % 7).cast("int").alias("geolocation_zip_code_prefix"),
-            (nation - 30.0 + (key % 100) / F.lit(1000.0)).alias("geolocation_lat"),
-            (nation - 60.0 - (key % 90) / F.lit(1000.0)).alias("geolocation_lng"),
-            F.concat(F.lit("city_"), nation.cast("string"), F.lit("_"),
-                     (key % 7 % 3).cast("string")).alias("geolocation_city"),
-            F.col("n_name").alias("geolocation_state"),
-        )
+    nations = read(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    return read(spark, folder, "customer").join(nations, "c_nationkey").selectExpr(
+        "int(c_nationkey * 100 + c_custkey % 7) AS geolocation_zip_code_prefix",
+        "c_nationkey - 30D + (c_custkey % 100) / 1000D AS geolocation_lat",
+        "c_nationkey - 60D - (c_custkey % 90) / 1000D AS geolocation_lng",
+        "concat('city_', c_nationkey, '_', c_custkey % 7 % 3) AS geolocation_city",
+        "n_name AS geolocation_state",
     )
 
 
 def churn_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    chance = (key * 7919 % 1000) / F.lit(1000.0)
-    return read(spark, folder, "customer").select(
-        F.md5(key.cast("string")).alias("customer_unique_id"),
-        chance.alias("churn_probability"),
-        (chance >= 0.5).cast("int").alias("predicted_label"),
-        F.lit("fixture").alias("model_name"),
-        F.lit("2018-10-17 00:00:00").alias("prediction_generated_at"),
+    return read(spark, folder, "customer").selectExpr(
+        "md5(string(c_custkey)) AS customer_unique_id",
+        "(c_custkey * 7919 % 1000) / 1000D AS churn_probability",
+        "int(c_custkey * 7919 % 1000 >= 500) AS predicted_label",
+        "'fixture' AS model_name",
+        "'2018-10-17 00:00:00' AS prediction_generated_at",
     )
 
 
 def audit_calls(spark: SparkSession, folder: str) -> DataFrame:
     """Measured calls as they reach the access log: one per event."""
-    size = F.get_json_object("props", "$.k").cast("int")
-    failed = F.col("event_type") == "error"
-    return read(spark, folder, "events").select(
-        F.col("ts").alias("timestamp"),
-        F.concat(F.lit("s"), (F.col("user_id") % 20).cast("string")).alias("session"),
-        F.col("event_type").alias("function"),
-        F.create_map(
-            F.lit("k"), size.cast("string"),
-            F.lit("email"), F.concat(F.lit("u"), F.col("user_id").cast("string"),
-                                     F.lit("@mail.org")),
-            F.lit("filter"), F.when(size % 25 == 0, "x'; DROP TABLE t; --").otherwise("plain"),
-        ).alias("params"),
-        (size * 20).cast("bigint").alias("row_count"),
-        F.col("value").alias("duration_ms"),
-        F.concat(F.lit("  SELECT k\nFROM "), F.col("event_type"), F.lit("\nWHERE k = "),
-                 size.cast("string"), F.lit("  ")).alias("sql"),
-        F.when(failed, "error").otherwise("success").alias("status"),
-        F.when(failed, F.concat(F.lit("failed "), F.col("event_id").cast("string")))
-        .alias("error"),
+    return read(spark, folder, "events").selectExpr(
+        "*", "int(get_json_object(props, '$.k')) AS k"
+    ).selectExpr(
+        "ts AS timestamp",
+        "concat('s', user_id % 20) AS session",
+        "event_type AS function",
+        """map('k', string(k), 'email', concat('u', user_id, '@mail.org'),
+               'filter', if(k % 25 = 0, "x'; DROP TABLE t; --", 'plain')) AS params""",
+        "bigint(k * 20) AS row_count",
+        "value AS duration_ms",
+        r"concat('  SELECT k\nFROM ', event_type, '\nWHERE k = ', k, '  ') AS sql",
+        "if(event_type = 'error', 'error', 'success') AS status",
+        "if(event_type = 'error', concat('failed ', event_id), NULL) AS error",
     )
 
 
 def contacts(spark: SparkSession, folder: str) -> DataFrame:
     """Personal columns to mask, one row per customer."""
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    return read(spark, folder, "customer").select(
-        F.md5(key.cast("string")).alias("customer_unique_id"),
-        F.when(key % 17 == 0, "no address")
-        .when(key % 17 == 1, "")
-        .otherwise(F.concat(
-            F.lit("user"), key.cast("string"), F.lit("@"), F.lower("c_mktsegment"),
-            F.when(key % 3 == 0, ".co.uk").when(key % 3 == 1, ".com").otherwise("")))
-        .alias("email"),
-        F.when(key % 19 == 0, "")
-        .otherwise(F.concat(
-            F.lit("+"), (nation + 1).cast("string"), F.lit("-"),
-            (key % 900 + 100).cast("string"), F.lit("-"), F.lpad(key.cast("string"), 4, "0")))
-        .alias("phone"),
-        F.when(key % 23 == 0, "").otherwise(
-            F.concat(F.lower("c_mktsegment"), F.lit(" da "), F.regexp_replace("c_name", "#", " ")))
-        .alias("name"),
-        F.concat(F.lit("city_"), nation.cast("string")).alias("city"),
+    return read(spark, folder, "customer").selectExpr(
+        "md5(string(c_custkey)) AS customer_unique_id",
+        """CASE c_custkey % 17 WHEN 0 THEN 'no address' WHEN 1 THEN '' ELSE
+           concat('user', c_custkey, '@', lower(c_mktsegment),
+                  element_at(array('.co.uk', '.com', ''), int(c_custkey % 3 + 1))) END
+           AS email""",
+        """if(c_custkey % 19 = 0, '', concat('+', c_nationkey + 1, '-', c_custkey % 900 + 100,
+              '-', lpad(string(c_custkey), 4, '0'))) AS phone""",
+        """if(c_custkey % 23 = 0, '', concat(lower(c_mktsegment), ' da ',
+              replace(c_name, '#', ' '))) AS name""",
+        "concat('city_', c_nationkey) AS city",
     )
