@@ -52,8 +52,10 @@ S["bronze_category_translation"] = "select * from src_category_translation"
 
 # ---- reading and writing
 
+# an empty text and a missing one look alike in a CSV file: both are read as NULL
 S["ingest_csv"] = f"""
-select *, 'order_reviews.csv' as _source_file from ({S['bronze_order_reviews']})"""
+select * replace (nullif(review_comment_message, '') as review_comment_message),
+       'order_reviews.csv' as _source_file from ({S['bronze_order_reviews']})"""
 S["scan_csv_inferred"] = """
 select * replace (cast(order_id as varchar) as order_id) from src_order_payments"""
 S["scan_csv_declared"] = "select * from src_churn_predictions"

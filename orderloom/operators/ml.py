@@ -17,12 +17,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import ratio, rounded
-from ..session import fresh_path
+from ..session import fresh_path, pinned
 from .churn import CATEGORICAL_FEATURES, LEAKY_FEATURES, NUMERIC_FEATURES
 from .ranking import medians
 
 LABEL, WEIGHT, FEATURES = "is_churned", "weight", "features"
 SEED = 42
+ROWS_PER_TASK = 100_000
 LOGISTIC, FOREST, BOOSTED = "logistic_regression", "random_forest", "gradient_boosting"
 
 
@@ -74,13 +75,19 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def _weighted(df: DataFrame, model: str) -> DataFrame:
-    weights = class_weights(df).first()
+    """Training rows with class weights, in partitions worth a task each.
+
+    Iterative fits start many short jobs over the same rows, so tiny partitions cost more than
+    they help; large tables keep the partitions they have.
+    """
+    sizes, weights = label_counts(df).first(), class_weights(df).first()
     churned = weights.ratio_churned if model == BOOSTED else weights.balanced_churned
     retained = 1.0 if model == BOOSTED else weights.balanced_retained
     # a class without rows has no weight and needs none
-    return df.withColumn(
+    weighted = df.withColumn(
         WEIGHT, F.when(F.col(LABEL) == 1, churned or 1.0).otherwise(retained or 1.0)
     )
+    return weighted.coalesce(max(1, (sizes.retained + sizes.churned) // ROWS_PER_TASK))
 
 
 def scaling_stages(numeric: Sequence[str]) -> list:
@@ -275,6 +282,7 @@ def threshold_quality(scored: DataFrame, threshold: Column | float) -> DataFrame
 
 def evaluation(scored: DataFrame, digits: int = 4) -> DataFrame:
     """One row with every metric at the best threshold."""
+    scored = pinned(scored.select("label", "score"))  # read by each of the three parts
     best = best_threshold(scored)
     at_best = threshold_quality(scored, best.select("threshold").scalar())
     # three one-row frames side by side, met on a constant

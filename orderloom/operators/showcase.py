@@ -10,6 +10,7 @@ from ..functions.segments import (
     RETAINED_STATUSES, loyalty_weight, recommended_action, retention_label, seller_flag,
     spend_tier,
 )
+from ..session import pinned
 from .kpis import DELIVERED, at_least, with_status
 
 
@@ -68,7 +69,11 @@ def top_decile_spenders(people: DataFrame, limit: int = 100) -> DataFrame:
     a prefix of the top list; everyone who outspends a listed person is on the list too, so
     both ranks follow from the list plus one count of ties at its lower end.
     """
-    spenders = people.where(F.col("total_spend_brl") > 0)
+    # read three times below, so computed once
+    spenders = pinned(people.where(F.col("total_spend_brl") > 0).select(
+        "customer_unique_id", "state", "total_orders", "total_spend_brl", "avg_review_score",
+        "order_frequency_segment", "satisfaction_segment",
+    ))
     total = spenders.agg(F.count("*")).scalar()
     downwards = [F.desc("total_spend_brl"), F.desc("customer_unique_id")]
     # a report of at most `limit` rows: its windows may run in one task
@@ -140,7 +145,12 @@ def retention_priority(
         "churn_risk_tier",
     )
     spend = F.col("total_spend_brl")
-    listed = risk.join(people.where(spend >= min_spend), "customer_unique_id")
+    context = people.where(spend >= min_spend).select(
+        "customer_unique_id", "state", "total_orders", "total_spend_brl", "avg_review_score",
+        "order_frequency_segment", "satisfaction_segment", "last_order_at",
+    )
+    # read for the highest spend and for the list
+    listed = pinned(risk.join(context, "customer_unique_id"))
     highest = listed.agg(F.max(spend)).scalar()
     priority = rounded(
         F.col("churn_prob") * 0.5
@@ -222,6 +232,7 @@ def category_places(performance: DataFrame) -> DataFrame:
 
 def seller_ranking(performance: DataFrame, worst: int = 5) -> DataFrame:
     """Slowest sellers of each category, ties included."""
+    performance = pinned(performance)  # read for the places and for the rows
     places = category_places(performance).where(F.col("delivery_rank_in_category") <= worst)
     return (
         performance.join(places, ["category_en", "avg_delivery_days"])

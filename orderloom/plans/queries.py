@@ -800,12 +800,12 @@ def _(s):
 
 @query("spend_percent_rank")
 def _(s):
-    return ranking.percent_rank(_spenders(s), "total_spend_brl", "spend_percentile")
+    return ranking.percent_rank(pinned(_spenders(s)), "total_spend_brl", "spend_percentile")
 
 
 @query("rank_in_state")
 def _(s):
-    return ranking.rank_within(_spenders(s), ["state"], "total_spend_brl", "rank_in_state")
+    return ranking.rank_within(pinned(_spenders(s)), ["state"], "total_spend_brl", "rank_in_state")
 
 
 @query("top_decile_customers")
@@ -1098,9 +1098,11 @@ def _(s):
 
 @query("fn_json_fields")
 def _(s):
-    parsed = F.from_json(F.to_json("params"), "k int, email string")
-    return s.src["audit_calls"].select("timestamp", parsed.getField("k").alias("k"),
-                                       parsed.getField("email").alias("email"))
+    parsed = F.from_json(F.to_json("params"), "k string, email string")
+    return s.src["audit_calls"].select(
+        "timestamp", parsed.getField("k").try_cast("int").alias("k"),
+        parsed.getField("email").alias("email"),
+    )
 
 
 @query("fn_redact_map")
