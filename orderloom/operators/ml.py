@@ -195,12 +195,16 @@ def scores(fitted, ready: DataFrame) -> DataFrame:
 
 
 # ---- evaluation ---------------------------------------------------------------------------
-# Scores have six decimals, so counting per score first leaves at most 1,000,001 rows; the
-# cumulative windows below run over those, never over the scored rows.
+# Scores are cut to six decimals, so counting per score first leaves at most 1,000,001 rows;
+# the cumulative windows below run over those, never over the scored rows.
+
+
+def _score() -> Column:
+    return F.round("score", 6).alias("score")
 
 
 def _counts(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("score").agg(
+    return scored.groupBy(_score()).agg(
         F.count_if(F.col("label") == 1).alias("ones"),
         F.count_if(F.col("label") == 0).alias("zeros"),
     )
@@ -262,7 +266,7 @@ def ranking_quality(scored: DataFrame) -> DataFrame:
 
 def threshold_quality(scored: DataFrame, threshold: Column | float) -> DataFrame:
     """Accuracy, F1 of both classes and recall of the retained at a threshold."""
-    called = F.col("score") >= (threshold if isinstance(threshold, Column) else F.lit(threshold))
+    called = _score() >= (threshold if isinstance(threshold, Column) else F.lit(threshold))
     one = F.col("label") == 1
     cells = scored.agg(
         F.count_if(one & called).alias("hit"), F.count_if(one & ~called).alias("missed"),

@@ -181,28 +181,34 @@ def retention_priority(
 def seller_category_performance(
     fact: DataFrame, items: DataFrame, products: DataFrame, min_orders: int = 20
 ) -> DataFrame:
-    """Delivery performance per seller and category, over the delivered item rows."""
-    delivered = with_status(fact, DELIVERED).where(F.col("days_to_deliver").isNotNull()).select(
-        "order_id", "days_to_deliver", "review_score", "delivered_on_time"
-    )
+    """Delivery performance per seller and category; every delivered item row counts.
+
+    Items are counted per order, seller and category before they meet the orders, and the
+    means are weighted by those counts. An order with very many lines is spread over its
+    sellers and categories by then, and orders need no distinct count any more (``fact`` has
+    one row per order).
+    """
+    category = F.coalesce("category_name_en", F.lit("unknown")).alias("category_en")
     lines = (
         items.select("order_id", "product_id", "seller_id")
-        .join(delivered, "order_id")
-        .join(
-            products.select(
-                "product_id",
-                F.coalesce("category_name_en", F.lit("unknown")).alias("category_en"),
-            ),
-            "product_id",
-        )
+        .join(products.select("product_id", category), "product_id")
+        .groupBy("order_id", "seller_id", "category_en").agg(F.count("*").alias("n"))
     )
+    delivered = with_status(fact, DELIVERED).where(F.col("days_to_deliver").isNotNull()).select(
+        "order_id", "days_to_deliver", "review_score", "delivered_on_time"
+    )
+    n = F.col("n")
+
+    def weighted(c: str) -> Column:
+        return ratio(F.sum(F.col(c) * n), F.sum(F.when(F.col(c).isNotNull(), n)))
+
+    on_time = F.coalesce(F.sum(F.when(F.col("delivered_on_time"), n)), F.lit(0))
     return at_least(
-        lines.groupBy("seller_id", "category_en").agg(
-            F.count_distinct("order_id").alias("orders"),
-            rounded(F.avg("days_to_deliver"), 1).alias("avg_delivery_days"),
-            rounded(F.avg("review_score"), 2).alias("avg_review"),
-            percent(ratio(F.count_if("delivered_on_time"), F.count("order_id")))
-            .alias("on_time_pct"),
+        lines.join(delivered, "order_id").groupBy("seller_id", "category_en").agg(
+            F.count("*").alias("orders"),
+            rounded(weighted("days_to_deliver"), 1).alias("avg_delivery_days"),
+            rounded(weighted("review_score"), 2).alias("avg_review"),
+            percent(ratio(on_time, F.sum(n))).alias("on_time_pct"),
         ),
         "orders", min_orders,
     )
