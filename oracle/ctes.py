@@ -237,7 +237,7 @@ select *, date_trunc('month', purchased_at) as order_month,
 from int_orders"""
 
 
-def _history(source: str, bought: str, accounts: str) -> str:
+def _history(bought: str, accounts: str) -> str:
     return f"""
 select customer_unique_id,
        first(state order by {bought} desc, customer_id desc)
@@ -259,7 +259,7 @@ from {accounts} group by customer_unique_id"""
 
 
 CTES["int_customer_orders"] = _history(
-    "int_orders", "purchased_at", "stg_customers left join int_orders using (customer_id)"
+    "purchased_at", "stg_customers left join int_orders using (customer_id)"
 )
 
 CTES["city_centroids"] = f"""
@@ -423,7 +423,7 @@ left join latest_reviews using (order_id)"""
 
 CTES["silver_customers"] = f"""
 with history as ({_history(
-    "silver_orders", "order_purchase_timestamp",
+    "order_purchase_timestamp",
     "silver_orders left join stg_customers using (customer_id)")})
 select *, {SEGMENTS} from history"""
 

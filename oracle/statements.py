@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from .ctes import CTES, LONG_NAMES, compose, mean, performance, r, total
+from .ctes import LONG_NAMES, compose, mean, performance, r, total
 
 S: dict[str, str] = {}
 

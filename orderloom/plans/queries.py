@@ -6,10 +6,10 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import dates, keys, masking, numeric, segments, text
-from ..functions.numeric import exact_mean, exact_sum, flag, percent, ratio, rounded
+from ..functions import dates, keys, masking, segments, text
+from ..functions.numeric import exact_mean, exact_sum, percent, ratio, rounded
 from ..operators import (
     audit, churn, customers, geography, kpis, ml, orders, quality, ranking, serving, showcase,
     stats,

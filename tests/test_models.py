@@ -3,8 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-
 from orderloom.functions.masking import default_masks
 from orderloom.operators import churn, customers, geography, kpis, orders, serving, showcase
 from orderloom.plans.shop import Shop

@@ -4,8 +4,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from orderloom.operators import churn, ml, stats
 from orderloom.plans.shop import Shop
 from orderloom.session import pinned
