@@ -21,7 +21,11 @@ ROW_BITS = 33
 
 
 def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join in which NULL keys meet, as they do in a window partition."""
+    """Inner join in which NULL keys meet, as they do in a window partition.
+
+    ``left`` may have very many rows of one key. AQE splits such a partition when both inputs
+    of the join come straight from a shuffle, so an aggregated ``right`` is pinned by the caller.
+    """
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     same = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
     return left.join(renamed, same).drop(*[f"_r_{k}" for k in keys])
@@ -101,7 +105,7 @@ def _places_of_values(
     )
     if not group:
         return run.select(value, "_place", "_n")
-    first = run.groupBy(*group).agg(F.min("_place").alias("_first"))
+    first = pinned(run.groupBy(*group).agg(F.min("_place").alias("_first")))
     return _meet(run, first, group).select(
         *group, value, (F.col("_place") - F.col("_first")).alias("_place")
     )
@@ -126,7 +130,7 @@ def number_within(
 ) -> DataFrame:
     """ROW_NUMBER inside each group, for groups that may be larger than one task can hold."""
     placed = with_position(df, [*group, *order], "_place")
-    first = placed.groupBy(*group).agg(F.min("_place").alias("_first"))
+    first = pinned(placed.groupBy(*group).agg(F.min("_place").alias("_first")))
     return (
         _meet(placed, first, group)
         .withColumn(out, F.col("_place") - F.col("_first") + 1)

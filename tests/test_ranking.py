@@ -106,3 +106,32 @@ def test_top_decile_equals_full_ranking(people, limit, rows):
     mine = showcase.top_decile_spenders(df, limit)
     compare(mine.select("customer_unique_id", "spend_percentile", "rank_in_state"),
             full.select("customer_unique_id", "p", "r"))
+
+
+def test_partition_of_a_hot_group_is_split(spark):
+    """A third of all rows in one group: the join back to the group is spread over tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        group = F.when(F.col("id") % 3 == 0, "HOT").otherwise(
+            F.concat(F.lit("g"), (F.col("id") % 500).cast("string")))
+        df = spark.range(300_000).select(group.alias("g"), F.xxhash64("id").alias("v"), "id")
+        numbered = ranking.number_within(df, ["g"], ["v", "id"], "place")
+        last = numbered.groupBy("g").agg(F.max("place").alias("n"))
+        assert sorted(values(last)) == sorted(values(df.groupBy("g").count()))
+        plan = last._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
