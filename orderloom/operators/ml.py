@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import ratio, rounded
-from ..session import fresh_path, pinned
+from ..session import fresh_path, handed_over
 from .churn import CATEGORICAL_FEATURES, LEAKY_FEATURES, NUMERIC_FEATURES
 from .ranking import medians
 
@@ -286,7 +286,7 @@ def threshold_quality(scored: DataFrame, threshold: Column | float) -> DataFrame
 
 def evaluation(scored: DataFrame, digits: int = 4) -> DataFrame:
     """One row with every metric at the best threshold."""
-    scored = pinned(scored.select("label", "score"))  # read by each of the three parts
+    scored = handed_over(scored.select("label", "score"))  # read by each of the three parts
     best = best_threshold(scored)
     at_best = threshold_quality(scored, best.select("threshold").scalar())
     # three one-row frames side by side, met on a constant

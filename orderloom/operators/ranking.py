@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import as_column, ratio, rounded
-from ..session import pinned
+from ..session import handed_over
 
 SLICE, AT, BEFORE = "_slice", "_at", "_before"
 #: monotonically_increasing_id() keeps the partition above, the row number below this bit.
@@ -24,7 +24,7 @@ def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join in which NULL keys meet, as they do in a window partition.
 
     ``left`` may have very many rows of one key. AQE splits such a partition when both inputs
-    of the join come straight from a shuffle, so an aggregated ``right`` is pinned by the caller.
+    of the join come straight from a shuffle, so an aggregated ``right`` is handed_over by the caller.
     """
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     same = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
@@ -41,11 +41,11 @@ def _starts(sizes: DataFrame) -> DataFrame:
 def with_position(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
     """1-based place of every row in a total order (``order`` must end in a unique key).
 
-    The slices are pinned to reliable storage before they are counted: counts and rows must
+    The slices are handed_over to reliable storage before they are counted: counts and rows must
     come from the same split even if an executor is lost in between.
     """
     order = [as_column(c) for c in order]
-    sliced = pinned(
+    sliced = handed_over(
         df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn(AT, F.monotonically_increasing_id())
     )
@@ -64,7 +64,7 @@ def with_running_total(
 ) -> DataFrame:
     """Sum of ``weight`` over this row and all rows ordered before it."""
     order = [as_column(c) for c in order]
-    sliced = pinned(
+    sliced = handed_over(
         df.repartitionByRange(*order).withColumn(SLICE, F.spark_partition_id())
     )
     sizes = sliced.groupBy(SLICE).agg(F.sum(weight).alias("_size"))
@@ -105,7 +105,7 @@ def _places_of_values(
     )
     if not group:
         return run.select(value, "_place", "_n")
-    first = pinned(run.groupBy(*group).agg(F.min("_place").alias("_first")))
+    first = handed_over(run.groupBy(*group).agg(F.min("_place").alias("_first")))
     return _meet(run, first, group).select(
         *group, value, (F.col("_place") - F.col("_first")).alias("_place")
     )
@@ -130,7 +130,7 @@ def number_within(
 ) -> DataFrame:
     """ROW_NUMBER inside each group, for groups that may be larger than one task can hold."""
     placed = with_position(df, [*group, *order], "_place")
-    first = pinned(placed.groupBy(*group).agg(F.min("_place").alias("_first")))
+    first = handed_over(placed.groupBy(*group).agg(F.min("_place").alias("_first")))
     return (
         _meet(placed, first, group)
         .withColumn(out, F.col("_place") - F.col("_first") + 1)

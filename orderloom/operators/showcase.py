@@ -10,7 +10,7 @@ from ..functions.segments import (
     RETAINED_STATUSES, loyalty_weight, recommended_action, retention_label, seller_flag,
     spend_tier,
 )
-from ..session import pinned
+from ..session import handed_over
 from .kpis import DELIVERED, at_least, with_status
 
 
@@ -70,7 +70,7 @@ def top_decile_spenders(people: DataFrame, limit: int = 100) -> DataFrame:
     both ranks follow from the list plus one count of ties at its lower end.
     """
     # read three times below, so computed once
-    spenders = pinned(people.where(F.col("total_spend_brl") > 0).select(
+    spenders = handed_over(people.where(F.col("total_spend_brl") > 0).select(
         "customer_unique_id", "state", "total_orders", "total_spend_brl", "avg_review_score",
         "order_frequency_segment", "satisfaction_segment",
     ))
@@ -150,7 +150,7 @@ def retention_priority(
         "order_frequency_segment", "satisfaction_segment", "last_order_at",
     )
     # read for the highest spend and for the list
-    listed = pinned(risk.join(context, "customer_unique_id"))
+    listed = handed_over(risk.join(context, "customer_unique_id"))
     highest = listed.agg(F.max(spend)).scalar()
     priority = rounded(
         F.col("churn_prob") * 0.5
@@ -238,7 +238,7 @@ def category_places(performance: DataFrame) -> DataFrame:
 
 def seller_ranking(performance: DataFrame, worst: int = 5) -> DataFrame:
     """Slowest sellers of each category, ties included."""
-    performance = pinned(performance)  # read for the places and for the rows
+    performance = handed_over(performance)  # read for the places and for the rows
     places = category_places(performance).where(F.col("delivery_rank_in_category") <= worst)
     return (
         performance.join(places, ["category_en", "avg_delivery_days"])

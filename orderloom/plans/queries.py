@@ -14,7 +14,7 @@ from ..operators import (
     audit, churn, customers, geography, kpis, ml, orders, quality, ranking, serving, showcase,
     stats,
 )
-from ..session import fresh_path, pinned
+from ..session import fresh_path, handed_over
 from ..sources import files, schemas, tables
 from ..streaming import audit_live
 from .shop import MODELS, Shop
@@ -800,12 +800,12 @@ def _(s):
 
 @query("spend_percent_rank")
 def _(s):
-    return ranking.percent_rank(pinned(_spenders(s)), "total_spend_brl", "spend_percentile")
+    return ranking.percent_rank(handed_over(_spenders(s)), "total_spend_brl", "spend_percentile")
 
 
 @query("rank_in_state")
 def _(s):
-    return ranking.rank_within(pinned(_spenders(s)), ["state"], "total_spend_brl", "rank_in_state")
+    return ranking.rank_within(handed_over(_spenders(s)), ["state"], "total_spend_brl", "rank_in_state")
 
 
 @query("top_decile_customers")
@@ -1205,7 +1205,7 @@ def _(s):
 
 def _features(s: Shop) -> DataFrame:
     """Model input read several times by fitting, so kept in reliable storage."""
-    return pinned(s.churn_features)
+    return handed_over(s.churn_features)
 
 
 def _slots(prepared_rows: DataFrame, names: list[str]) -> DataFrame:
@@ -1261,7 +1261,7 @@ def _(s):
 
 @query("score_customers")
 def _(s):
-    scored = pinned(_fitted_scores(s, ml.LOGISTIC, maxIter=100))
+    scored = handed_over(_fitted_scores(s, ml.LOGISTIC, maxIter=100))
     threshold = ml.best_threshold(scored.where("NOT is_train"))
     return ml.predictions(scored, threshold, ml.LOGISTIC)
 
@@ -1382,7 +1382,7 @@ def _(s):
     """All 57 checks. Models used by several others are stored once before they are read."""
     stored = Shop(s.src)
     for model in ("int_orders", "int_customer_orders", "dim_customers", "fct_orders"):
-        setattr(stored, model, pinned(getattr(stored, model)))
+        setattr(stored, model, handed_over(getattr(stored, model)))
     return quality.report(stored.all_tables())
 
 

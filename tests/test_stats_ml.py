@@ -6,7 +6,7 @@ import random
 import pytest
 from orderloom.operators import churn, ml, stats
 from orderloom.plans.shop import Shop
-from orderloom.session import pinned
+from orderloom.session import handed_over
 
 from conftest import values
 
@@ -110,13 +110,13 @@ def test_imputation_uses_the_exact_median(spark):
 
 
 def test_models_fit_and_score(spark, small_folder):
-    features = pinned(Shop.over_fixtures(spark, small_folder).churn_features)
+    features = handed_over(Shop.over_fixtures(spark, small_folder).churn_features)
     n = features.count()
     sizes = {ml.LOGISTIC: {"maxIter": 20}, ml.FOREST: {"numTrees": 5, "maxDepth": 3},
              ml.BOOSTED: {"maxIter": 3, "maxDepth": 3}}
     for model, size in sizes.items():
         prepared, fitted, ready = ml.fit(features, model, drop_leaky=True, **size)
-        scored = pinned(ml.scores(fitted, ready))
+        scored = handed_over(ml.scores(fitted, ready))
         assert scored.count() == n
         assert scored.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
         numeric = [c for c in churn.NUMERIC_FEATURES if c not in churn.LEAKY_FEATURES]
