@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, secret_scan, sharding
+from . import bpe, exact_dedup, secret_scan, sharding
 
 SHARDS = 8
+#: Vocabulary of op5; the operator takes any file of its kind.
+WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,10 +32,15 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_bpe_prefix_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.encoded(docs, WORDS_49K))
+
+
 def op9_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(table(spark, folder, "documents"), sharding.even_tree(SHARDS))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op4_secret_scan, op9_hash_tree_shards]
+    found = [op1_exact_dedup, op4_secret_scan, op5_bpe_prefix_encoding, op9_hash_tree_shards]
     return {f.__name__: f for f in found}
