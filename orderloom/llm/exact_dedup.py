@@ -31,12 +31,12 @@ def exact_groups(
         "_id", "_text", F.octet_length("_text").alias("_length")
     )
     head_hash = F.xxhash64(F.substring("_text", 1, head))
-    signs = handed_over(sized.select("_length", head_hash.alias("_head")), "signs")
-    lengths = signs.groupBy("_length").count().where("count > 1")
-    heads = (
-        signs.join(lengths, "_length", "left_semi")
-        .groupBy("_length", "_head").count().where("count > 1")
+    # one row per length and beginning, however many copies there are
+    signs = handed_over(
+        sized.groupBy("_length", head_hash.alias("_head")).agg(F.count("*").alias("_n")), "signs"
     )
+    lengths = signs.groupBy("_length").agg(F.sum("_n").alias("_all")).where("_all > 1")
+    heads = signs.where("_n > 1").join(lengths, "_length", "left_semi")
     same_head = handed_over(
         row_filter(heads, F.struct("_length", "_head"), filter_bits), "same-head"
     )
