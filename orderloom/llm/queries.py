@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, secret_scan, sharding
+from . import bpe, exact_dedup, language, secret_scan, sharding
 
 SHARDS = 8
 #: Vocabulary of op5; the operator takes any file of its kind.
 WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
+#: Pieces of op10; the operator takes any rank file.
+MULTI_50K = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +43,21 @@ def op9_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(table(spark, folder, "documents"), sharding.even_tree(SHARDS))
 
 
+def language_model(docs: DataFrame) -> language.Model:
+    """Learns from two thirds of the documents, by a hash of their id."""
+    learned = docs.where(~language.held_out("doc_id", 3, 1))
+    return language.fit(learned, language.read_pieces(MULTI_50K))
+
+
+def op10_piece_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    known = language.identified(docs.select("doc_id", "text"), language_model(docs))
+    return known.select(
+        "doc_id", language.held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op4_secret_scan, op5_bpe_prefix_encoding, op9_hash_tree_shards]
+    found = [op1_exact_dedup, op4_secret_scan, op5_bpe_prefix_encoding, op9_hash_tree_shards,
+             op10_piece_language]
     return {f.__name__: f for f in found}
