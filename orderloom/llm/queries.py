@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, language, secret_scan, sharding
+from . import bpe, exact_dedup, language, secret_scan, sharding, toxicity
 
 SHARDS = 8
 #: Vocabulary of op5; the operator takes any file of its kind.
@@ -25,6 +25,17 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return groups.withColumnRenamed("digest", "text_sha256")
 
 
+def op2_nonnegative_pu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held = language.held_out("doc_id", 5, 0)
+    labels = table(spark, folder, "labels").where("toxic IS NOT NULL").where(~held)
+    prior = labels.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
+    model = toxicity.fit(docs.where(~held), labels.where("toxic = 1"), prior or 0.0)
+    return toxicity.scored(docs, model).withColumn("held_out", held).select(
+        "doc_id", "held_out", "score", "predicted"
+    )
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = secret_scan.scan(table(spark, folder, "documents"))
     spelled = secret_scan.span_columns(found)
@@ -58,6 +69,6 @@ def op10_piece_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op4_secret_scan, op5_bpe_prefix_encoding, op9_hash_tree_shards,
+    found = [op1_exact_dedup, op2_nonnegative_pu_toxicity, op4_secret_scan, op5_bpe_prefix_encoding, op9_hash_tree_shards,
              op10_piece_language]
     return {f.__name__: f for f in found}
