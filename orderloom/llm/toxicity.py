@@ -30,7 +30,7 @@ TOXIC_ROWS, ALL_ROWS = 2_000, 6_000
 FEATURES = 50_000
 #: A feature is used if it is in so many toxic texts, and so many deviations above chance.
 LEAST, DEVIATIONS = 3, 4.0
-STEPS, RATE, DECAY = 1500, 0.05, 1e-5
+STEPS, RATE, DECAY = 600, 0.05, 5e-4
 #: Words a worker remembers; when full it forgets them all, which changes no result.
 REMEMBERED = 500_000
 
@@ -42,12 +42,17 @@ class Model(NamedTuple):
 
 
 def word_features(word: str) -> list[str]:
-    return [word, *["^" + word[:n] for n in BEGINNINGS if len(word) > n]]
+    return [word, *["^" + word[:n] for n in BEGINNINGS if len(word) >= n]]
 
 
 def text_features(text: str) -> list[str]:
-    """Distinct features of a whole text."""
-    return sorted({f for w in set(WORDS.findall(text.lower())) for f in word_features(w)})
+    """Distinct features of a whole text. A beginning that several of its words share counts as
+    one more feature."""
+    found: set[str] = set()
+    for word in set(WORDS.findall(text.lower())):
+        for feature in word_features(word):
+            found.add("2" + feature if feature in found else feature)
+    return sorted(found)
 
 
 class Rows(NamedTuple):
@@ -192,10 +197,11 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def score(batches):
         features, weights, bias = held.value
-        known: dict[str, tuple[int, ...]] = {}
+        known: dict[str, tuple[tuple[str, int, int], ...]] = {}
         for batch in batches:
             sums = []
             for t in batch.column(batch.num_columns - 1).to_pylist():
+                seen: set[str] = set()
                 found: set[int] = set()
                 for w in set(WORDS.findall(t.lower())):
                     columns = known.get(w)
@@ -203,10 +209,13 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                         if len(known) >= REMEMBERED:
                             known.clear()
                         columns = known[w] = tuple(
-                            features[f] for f in word_features(w) if f in features
+                            (f, features.get(f, -1), features.get("2" + f, -1))
+                            for f in word_features(w) if f in features or "2" + f in features
                         )
-                    if columns:
-                        found.update(columns)
+                    for feature, once, again in columns:
+                        found.add(again if feature in seen else once)
+                        seen.add(feature)
+                found.discard(-1)
                 sums.append(bias + float(weights[sorted(found)].sum()) if found else bias)
             chance = _sigmoid(np.array(sums, dtype=float))
             yield pa.RecordBatch.from_arrays(
