@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, language, secret_scan, sharding, toxicity
+from . import bpe, decontaminate, exact_dedup, language, revisits, secret_scan, sharding, toxicity
 
 SHARDS = 8
 #: Vocabulary of op5; the operator takes any file of its kind.
@@ -36,6 +36,46 @@ def op2_nonnegative_pu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def crawl_records(pages: DataFrame) -> DataFrame:
+    """Two records per page: its full response, and a later fetch answered "not modified".
+
+    Of the later fetches some state the etag, some the time of change, some only the digest, and
+    some a validator that is out of date.
+    """
+    common = pages.selectExpr(
+        "page_id", "url", "md5(coalesce(html, '')) AS body",
+        "octet_length(coalesce(html, '')) AS size",
+    )
+    full = common.selectExpr(
+        "page_id * 2 AS record_id", "url", "page_id AS at", "200 AS status",
+        """map('etag', concat('"', body, '"'), 'last-modified', string(page_id),
+               'date', string(page_id), 'cache-control', 'max-age=60',
+               'content-type', 'text/html', 'content-length', string(size)) AS headers""",
+        "body AS digest",
+    )
+    again = common.selectExpr(
+        "page_id * 2 + 1 AS record_id", "url", "page_id + 1 + page_id * 37 % 9973 AS at",
+        "304 AS status",
+        """map_concat(
+               map('date', string(page_id + 1 + page_id * 37 % 9973), 'content-length', '0',
+                   'cache-control', concat('max-age=', page_id % 100)),
+               CASE page_id % 5 WHEN 0 THEN map('etag', concat('W/"', body, '"'))
+                    WHEN 1 THEN map('etag', concat('"', body, '"'))
+                    WHEN 2 THEN map('last-modified', string(page_id))
+                    WHEN 3 THEN map('etag', '"older"') ELSE map() END) AS headers""",
+        "if(page_id % 5 = 4 AND page_id % 2 = 0, body, NULL) AS digest",
+    )
+    return full.unionByName(again)
+
+
+def op3_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisits.resolve(crawl_records(table(spark, folder, "pages")))
+    spelled = F.array_join(F.transform(
+        F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws(": ", e["key"], e["value"])
+    ), "; ")
+    return found.withColumn("headers", spelled)
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = secret_scan.scan(table(spark, folder, "documents"))
     spelled = secret_scan.span_columns(found)
@@ -50,6 +90,15 @@ def op5_bpe_prefix_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encoded(docs, WORDS_49K))
 
 
+def op8_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.with_hits(docs, table(spark, folder, "benchmark"), keep_text=False)
+    return found.select(
+        "doc_id", (F.size("hits") > 0).alias("contaminated"),
+        F.col("hits.item_id").alias("item_ids"), F.array_min("hits.distance").alias("least_distance"),
+    )
+
+
 def op9_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(table(spark, folder, "documents"), sharding.even_tree(SHARDS))
 
@@ -69,6 +118,7 @@ def op10_piece_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op2_nonnegative_pu_toxicity, op4_secret_scan, op5_bpe_prefix_encoding, op9_hash_tree_shards,
+    found = [op1_exact_dedup, op2_nonnegative_pu_toxicity, op3_revisit_resolution,
+             op4_secret_scan, op5_bpe_prefix_encoding, op8_benchmark_passages, op9_hash_tree_shards,
              op10_piece_language]
     return {f.__name__: f for f in found}
