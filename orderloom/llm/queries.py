@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact_dedup, language, revisits, secret_scan, sharding, toxicity
+from . import (
+    bpe, decontaminate, exact_dedup, language, ngram_join, revisits, secret_scan, sharding, toxicity,
+)
 
 SHARDS = 8
 #: Vocabulary of op5; the operator takes any file of its kind.
@@ -90,6 +92,10 @@ def op5_bpe_prefix_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encoded(docs, WORDS_49K))
 
 
+def op6_adaptive_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, folder, "documents"))
+
+
 def op8_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.with_hits(docs, table(spark, folder, "benchmark"), keep_text=False)
@@ -119,6 +125,7 @@ def op10_piece_language(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_exact_dedup, op2_nonnegative_pu_toxicity, op3_revisit_resolution,
-             op4_secret_scan, op5_bpe_prefix_encoding, op8_benchmark_passages, op9_hash_tree_shards,
+             op4_secret_scan, op5_bpe_prefix_encoding, op6_adaptive_prefix_join,
+             op8_benchmark_passages, op9_hash_tree_shards,
              op10_piece_language]
     return {f.__name__: f for f in found}
