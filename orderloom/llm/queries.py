@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    bpe, decontaminate, exact_dedup, language, ngram_join, revisits, secret_scan, sharding, toxicity,
+    bpe, decontaminate, exact_dedup, language, line_templates, ngram_join, revisits, secret_scan,
+    sharding, toxicity,
 )
 
 SHARDS = 8
@@ -96,6 +97,11 @@ def op6_adaptive_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, folder, "documents"))
 
 
+def op7_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_templates.without_recurring_lines(docs)
+
+
 def op8_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.with_hits(docs, table(spark, folder, "benchmark"), keep_text=False)
@@ -126,6 +132,6 @@ def op10_piece_language(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_exact_dedup, op2_nonnegative_pu_toxicity, op3_revisit_resolution,
              op4_secret_scan, op5_bpe_prefix_encoding, op6_adaptive_prefix_join,
-             op8_benchmark_passages, op9_hash_tree_shards,
+             op7_line_templates, op8_benchmark_passages, op9_hash_tree_shards,
              op10_piece_language]
     return {f.__name__: f for f in found}
