@@ -272,14 +272,17 @@ def fit(
     return Model(languages, pieces, np.log(probability))
 
 
-def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns, and lang_pred and score.
+def identified(
+    docs: DataFrame, model: Model, text: str = "text", keep_text: bool = True
+) -> DataFrame:
+    """All columns, the text only if asked for, and lang_pred and score.
 
     ``lang_pred`` is ``und``, with score 0, for texts that are null or have no letter, and for all
     texts if the model knows no language. Equally likely languages: the first by name.
     """
     held = docs.sparkSession.sparkContext.broadcast({"model": tuple(model)})
-    others = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    made = ("lang_pred", "score", *(() if keep_text else (text,)))
+    others = [c for c in docs.columns if c not in made]
     schema = docs.select(*others).schema.add("lang_pred", "string").add("score", "double")
 
     def score(batches):
@@ -288,7 +291,7 @@ def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         if scorer is None:  # one for all tasks of a worker
             scorer = value["scorer"] = Scorer(Model(*value["model"]))
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("_scored")).to_pylist()
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             names, scores = [], []
             for at in range(0, len(texts), 500):
                 n, s = scorer.texts(texts[at:at + 500])
@@ -300,7 +303,7 @@ def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 names=[*others, "lang_pred", "score"],
             )
 
-    return docs.select(*others, content(text).alias("_scored")).mapInArrow(score, schema)
+    return docs.select(*dict.fromkeys([*others, text])).mapInArrow(score, schema)
 
 
 def held_out(key: str, folds: int, fold: int) -> Column:

@@ -120,25 +120,23 @@ def without_recurring_lines(
     touched = row_filter(places, F.struct("_id", "_text_hash"), filter_bits)
     touched = handed_over(touched, "touched")
     others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*others).withColumns({
-        "_text_hash": F.xxhash64(content(text)), "_key": F.col(key),
-    })
-    marked = with_pass(rows, touched, F.struct(F.col("_key").alias("_id"), "_text_hash"), "_go", filter_bits)
-    lines = F.split(content(text), "\n")
-    # texts without such a line stay where they are
-    still = marked.where("NOT _go").withColumns({
-        "n_lines": F.size(lines).cast("long"), "n_dropped": F.lit(0).cast("long"),
-    })
-    met = marked.where("_go").join(
-        places.withColumnRenamed("_text_hash", "_h"),
-        F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_h")), "left",
+    rows = docs.select(
+        F.struct(*others).alias("_row"), F.col(key).alias("_key"),
+        F.xxhash64(content(text)).alias("_hash"),
     )
+    # the filter was built from a struct of these two
+    pair = F.struct(F.col("_key").alias("_id"), F.col("_hash").alias("_text_hash"))
+    marked = with_pass(rows, touched, pair, "_go", filter_bits)
+    # texts without such a line stay where they are
+    still = marked.where("NOT _go").select("_row", F.lit(None).cast("array<int>").alias("_drop"))
+    moved = marked.where("_go").join(
+        places, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text_hash")), "left"
+    ).select("_row", "_drop")
+    lines = F.split(F.coalesce(F.col("_row")[text], F.lit("")), "\n")
     kept = F.filter(lines, lambda line, at: ~F.array_contains("_drop", at))
-    cut = F.when(F.col("_drop").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text))
-    moved = met.withColumns({
-        "n_lines": F.size(lines).cast("long"),
-        "n_dropped": F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long"),
-        text: cut,
-    })
-    final = [*others, "n_lines", "n_dropped"]
-    return still.select(*final).unionByName(moved.select(*final))
+    cut = F.when(F.col("_drop").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("_row")[text])
+    return still.unionByName(moved).select(
+        *[(cut if c == text else F.col("_row")[c]).alias(c) for c in others],
+        F.size(lines).cast("long").alias("n_lines"),
+        F.coalesce(F.array_size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
+    )

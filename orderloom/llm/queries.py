@@ -123,7 +123,9 @@ def language_model(docs: DataFrame) -> language.Model:
 
 def op10_piece_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    known = language.identified(docs.select("doc_id", "text"), language_model(docs))
+    known = language.identified(
+        docs.select("doc_id", "text"), language_model(docs), keep_text=False
+    )
     return known.select(
         "doc_id", language.held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score"
     )

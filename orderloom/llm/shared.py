@@ -7,6 +7,8 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import handed_over
+
 #: Bits of a row filter: 2**26 bits are 8 MB, sent to every executor.
 FILTER_BITS = 2**26
 #: One row of Spark's bitmap functions holds so many bits.
@@ -18,11 +20,6 @@ def travels(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
-def own_columns(docs: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns; others, clashing names among them, are left behind."""
-    return docs.select(*names)
-
-
 def content(text: str = "text") -> Column:
     """A text, null counting as empty."""
     return F.coalesce(F.col(text), F.lit(""))
@@ -59,3 +56,18 @@ def with_pass(
         .withColumn(out, F.coalesce(hit, F.lit(False)))
         .drop("_place", "_of", "_bitmap", "_byte", "_bit")
     )
+
+
+def without_keys(
+    rows: DataFrame, keys: DataFrame, key: str, bits: int = FILTER_BITS
+) -> DataFrame:
+    """Rows whose key is not among the keys; rows with a null key stay.
+
+    Only rows that may have such a key are joined, so most texts stay where they are.
+    """
+    gone = handed_over(keys.select(F.col(key).alias("_gone")).distinct(), "gone")
+    filtered = handed_over(row_filter(gone, F.col("_gone"), bits), "gone-filter")
+    packed = rows.select(F.struct(*rows.columns).alias("_row"), F.col(key).alias("_key"))
+    marked = with_pass(packed, filtered, F.col("_key"), "_go", bits)
+    moved = marked.where("_go").join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    return marked.where("NOT _go").unionByName(moved).select("_row.*")

@@ -118,11 +118,11 @@ FROM s
 OP7 = """
 WITH l AS (
   SELECT doc_id, t, unnest(string_split(t, chr(10))) AS line,
-         generate_subscripts(string_split(t, chr(10)), 1) - 1 AS at
+         generate_subscripts(string_split(t, chr(10)), 1) - 1 AS line_at
   FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 ),
 w AS (
-  SELECT doc_id, md5(t) AS h, at,
+  SELECT doc_id, md5(t) AS h, line_at,
          list_transform(list_filter(string_split(line, ' '), lambda x: x <> ''),
              lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens
   FROM l
@@ -130,7 +130,7 @@ w AS (
 n AS (SELECT *, len(tokens) AS size, tokens[1:3] AS lead FROM w WHERE len(tokens) >= 3),
 leaves AS (SELECT size, lead FROM n GROUP BY size, lead HAVING count(DISTINCT h) >= 10),
 cells AS (
-  SELECT size, lead, doc_id, h, at, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place
+  SELECT size, lead, doc_id, h, line_at, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place
   FROM n SEMI JOIN leaves USING (size, lead)
 ),
 constants AS (
@@ -138,21 +138,21 @@ constants AS (
   GROUP BY size, lead, place, token HAVING count(DISTINCT h) >= 10
 ),
 lined AS (
-  SELECT size, lead, doc_id, h, at, string_agg(place || ' ' || token, ' ' ORDER BY place) AS pattern
+  SELECT size, lead, doc_id, h, line_at, string_agg(place || ' ' || token, ' ' ORDER BY place) AS pattern
   FROM cells JOIN constants USING (size, lead, place, token)
-  GROUP BY size, lead, doc_id, h, at HAVING count(*) * 100 >= size * 60
+  GROUP BY size, lead, doc_id, h, line_at HAVING count(*) * 100 >= size * 60
 ),
 common AS (
-  SELECT size, lead, pattern, min((doc_id, at)) AS first FROM lined
+  SELECT size, lead, pattern, min((doc_id, line_at)) AS first FROM lined
   GROUP BY size, lead, pattern HAVING count(DISTINCT h) >= 10
 ),
 dropped AS (
-  SELECT DISTINCT doc_id, at FROM lined JOIN common USING (size, lead, pattern)
-  WHERE (doc_id, at) <> first
+  SELECT DISTINCT doc_id, line_at FROM lined JOIN common USING (size, lead, pattern)
+  WHERE (doc_id, line_at) <> first
 )
-SELECT l.doc_id, count(*) AS n_lines, count(dropped.at) AS n_dropped,
-       coalesce(string_agg(line, chr(10) ORDER BY l.at) FILTER (dropped.at IS NULL), '') AS text
-FROM l LEFT JOIN dropped ON l.doc_id = dropped.doc_id AND l.at = dropped.at
+SELECT l.doc_id, count(*) AS n_lines, count(dropped.line_at) AS n_dropped,
+       coalesce(string_agg(line, chr(10) ORDER BY l.line_at) FILTER (dropped.line_at IS NULL), '') AS text
+FROM l LEFT JOIN dropped ON l.doc_id = dropped.doc_id AND l.line_at = dropped.line_at
 GROUP BY l.doc_id
 """
 
