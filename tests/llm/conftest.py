@@ -1,0 +1,16 @@
+import pytest
+from odd_rows import ROWS
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """The awkward rows; further columns clash with names that operators use."""
+    rows = [(*r, "x", 0, "y") for r in ROWS]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, _row string, _n int, hits string"
+    )
+
+
+@pytest.fixture(scope="session")
+def empty(odd):
+    return odd.limit(0)
