@@ -30,22 +30,25 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return found
 
 
-def _mark(edges: DataFrame):
-    """A count and a sum that differ whenever two sets of edges do (but for chance)."""
-    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on a node that hangs on none."""
+    roots = edges.select(F.col("v").alias("u")).distinct()
+    twice = edges.groupBy("u").count().where("count > 1").select("u")
+    deep = edges.join(roots, "u", "left_semi").select("u")
+    return twice.unionByName(deep).isEmpty()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Node and smallest node that it reaches, for every node that has a link.
 
-    Each round of stars at least halves the depth of the deepest tree, whatever its width.
+    Each round of stars brings every node nearer to the smallest of its component, whatever the
+    width of the tree.
     """
     edges = handed_over(
-        links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "links"
+        links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+        .where("u <> v").distinct(), "links",
     )
-    before = None
-    while (now := _mark(edges)) != before:
-        before = now
+    while not _settled(edges):
         wide = _stars(edges, large=True)
         narrow = _stars(wide, large=False)
         release(edges, wide)

@@ -32,8 +32,9 @@ WORDS, PERCENT = 5, 80
 SKETCH_BITS, SKETCH_BLOCK = 21, 2**14
 #: Largest m, and how many postings one comparison of two sets costs.
 LONGEST, COMPARISON = 8, 20.0
-#: Rounds of pivots end when so few pairs per posting remain, or after so many.
-FEW_PAIRS, ROUNDS = 4, 6
+#: Rounds of pivots end when so few pairs per posting remain, when a later round leaves more than this
+#: share of the pairs, or after so many rounds. The rest is enumerated, whatever its number.
+FEW_PAIRS, STUCK, ROUNDS = 4, 0.8, 6
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -199,6 +200,18 @@ def _similar_size(n: Column, other: Column, percent: int) -> Column:
     return (F.greatest(n, other) * percent <= F.least(n, other) * 100)
 
 
+def _slack(n: str, m: str, other_n: str, other_m: str, percent: int) -> Column:
+    """How many shingles two sets can share outside the shared part of their prefixes, less how
+    many they must share in all.
+
+    One prefix ends before the other in the common order, so what its set shares beyond the
+    prefixes lies behind its own: all but its first n - ceil(t n) + m shingles.
+    """
+    behind = lambda size, held: F.ceil(F.col(size) * percent / 100) - F.col(held)
+    need = F.ceil((F.col(n) + F.col(other_n)) * percent / (100 + percent))
+    return F.greatest(behind(n, m), behind(other_n, other_m)) - need
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     ours = sets.select(F.col("_id").alias("a"), F.col("_set").alias("_ours"))
@@ -268,8 +281,7 @@ def similar_groups(
 
 def _connected(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Components (node, component) of the documents in posting lists."""
-    links = tried = None
-    groups = None
+    links = tried = groups = before = None
     total = live.count()
     placed = live.withColumn("_group", F.col("_id"))
     for number in range(ROUNDS + 1):
@@ -294,8 +306,10 @@ def _connected(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         ).first()[0]
         some = handed_over(held.join(mixed.select("_token", "_largest"), "_token"), "in-mixed")
         release(held, mixed)
-        if pairs_left <= FEW_PAIRS * total or number == ROUNDS:
+        stuck = number > 2 and pairs_left > before * STUCK
+        if pairs_left <= FEW_PAIRS * total or stuck or number == ROUNDS:
             break
+        before = pairs_left
         found, tried = _pivot_links(some, sets, number, tried, percent)
         links = found if links is None else handed_over(links.unionByName(found), "links")
         release(some)
@@ -309,19 +323,25 @@ def _connected(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _pivot_links(
     some: DataFrame, sets: DataFrame, number: int, tried: DataFrame | None, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Compare every document with the pivot that it meets in most of its lists."""
-    draw = F.xxhash64("_id", F.lit(number))
+    """Compare every document with the pivot that it meets in most of its lists.
+
+    A list's pivot is drawn anew in each round, from its largest group once there is one.
+    """
+    outside = F.lit(False) if number == 0 else F.col("_group") != F.col("_largest")
+    draw = F.struct(outside.alias("outside"), F.xxhash64("_id", F.lit(number)).alias("draw"))
     pivots = handed_over(
         some.groupBy("_token").agg(F.min(F.struct(
             draw.alias("draw"), F.col("_id").alias("b"), F.col("_group").alias("_b_group"),
-            F.col("_n").alias("_b_n"),
+            F.col("_n").alias("_b_n"), F.col("_m").alias("_b_m"),
         )).alias("_pivot")).select("_token", "_pivot.*").drop("draw"),
         "pivots",
     )
     pairs = (
         some.join(pivots, "_token")
         .where((F.col("_group") != F.col("_b_group")) & _similar_size(F.col("_n"), F.col("_b_n"), percent))
-        .groupBy(F.col("_id").alias("a"), "b").agg(F.count("*").alias("_met"))
+        .groupBy(F.col("_id").alias("a"), "b").agg(
+            F.count("*").alias("_met"), F.max(_slack("_n", "_m", "_b_n", "_b_m", percent)).alias("_slack"))
+        .where("_met >= -_slack")
     )
     if tried is not None:
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -355,8 +375,9 @@ def _remaining_links(
     )
     pairs = (
         met.groupBy(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).agg(
-            F.count("*").alias("_met"), F.min(F.least("_a_m", "_b_m")).alias("_need"))
-        .where("_met >= _need").select("a", "b")
+            F.count("*").alias("_met"), F.min(F.least("_a_m", "_b_m")).alias("_need"),
+            F.max(_slack("_a_n", "_a_m", "_b_n", "_b_m", percent)).alias("_slack"))
+        .where("_met >= _need AND _met >= -_slack").select("a", "b")
     )
     if tried is not None:
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
