@@ -35,6 +35,9 @@ LONGEST, COMPARISON = 8, 20.0
 #: Rounds of pivots end when so few pairs per posting remain, when a later round leaves more than this
 #: share of the pairs, or after so many rounds. The rest is enumerated, whatever its number.
 FEW_PAIRS, STUCK, ROUNDS = 4, 0.8, 6
+#: Words of 64 bits in the parity bitmap of a set.
+BIT_WORDS = 4
+BITS = [f"_bits{i}" for i in range(BIT_WORDS)]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -90,6 +93,17 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, mean: float, percent: int) ->
     return tokens[: shortest + chosen - 1], chosen
 
 
+def parity(tokens: np.ndarray) -> list[int]:
+    """Which bits an odd number of shingles falls on, as signed 64-bit words.
+
+    Every shingle that only one of two sets has changes one bit, so the sets differ in at least as
+    many shingles as their bitmaps do in bits.
+    """
+    place = (tokens.view(np.uint64) % np.uint64(64 * BIT_WORDS)).astype(np.int64)
+    odd = (np.bincount(place, minlength=64 * BIT_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).tolist()
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0] + [len(a) for a in arrays])
     flat = np.concatenate(arrays) if arrays else np.zeros(0, dtype=np.int64)
@@ -162,28 +176,32 @@ def _summaries(texts: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def _prefixes(texts: DataFrame, counts: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Prefix of every set: _id, _n, _m, _tokens."""
+    """Prefix of every set: _id, _n, _m, _tokens, and the words of its parity bitmap."""
     mean = float(counts.mean())
     held = texts.sparkSession.sparkContext.broadcast(counts.astype(np.float32))
 
     def cut(batches):
         seen = held.value
         for batch in batches:
-            sizes, chosen, tokens = [], [], []
+            sizes, chosen, tokens, bits = [], [], [], []
             for text in batch.column(1).to_pylist():
                 whole = shingles(text, words)
                 first, m = prefix(whole, seen, mean, percent) if len(whole) else (whole, 0)
                 sizes.append(len(whole))
                 chosen.append(m)
                 tokens.append(first)
+                bits.append(parity(whole))
+            columns = list(zip(*bits)) if bits else [()] * BIT_WORDS
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(chosen, pa.int32()),
-                 _lists(tokens)],
-                names=["_id", "_n", "_m", "_tokens"],
+                 _lists(tokens), *[pa.array(c, pa.int64()) for c in columns]],
+                names=["_id", "_n", "_m", "_tokens", *BITS],
             )
 
     schema = texts.select("_id").schema.add("_n", "long").add("_m", "integer").add(
         "_tokens", T.ArrayType(T.LongType()))
+    for word in BITS:
+        schema = schema.add(word, "long")
     return texts.mapInArrow(cut, schema)
 
 
@@ -258,12 +276,12 @@ def similar_groups(
         .join(classes.select(F.col("_rep").alias("_id")), "_id", "left_semi"),
         "live",
     )
-    release(prefixes, shared, reps)
+    release(shared, reps)
     live_filter = handed_over(row_filter(live, F.col("_id"), filter_bits), "live-filter")
     passing = with_pass(texts.where("_id IS NOT NULL"), live_filter, F.col("_id"), "_go", filter_bits)
     sets = handed_over(_sets(passing.where("_go").select("_id", "_text"), words), "sets")
-    groups = _connected(live, sets, percent)
-    release(live, live_filter, sets)
+    groups = _connected(live, prefixes.select("_id", *BITS), sets, percent)
+    release(prefixes, live, live_filter, sets)
     in_class = handed_over(
         classes.join(groups, F.col("_rep") == F.col("node"), "left").select(
             "_n", "_s1", "_s2", F.coalesce("component", "_rep").alias("component_id")
@@ -279,7 +297,7 @@ def similar_groups(
     return alone.unionByName(met)
 
 
-def _connected(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _connected(live: DataFrame, bitmaps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Components (node, component) of the documents in posting lists."""
     links = tried = groups = before = None
     total = live.count()
@@ -314,7 +332,7 @@ def _connected(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         links = found if links is None else handed_over(links.unionByName(found), "links")
         release(some)
         groups = handed_over(components(links), "groups")
-    found = _remaining_links(some, sets, tried, percent)
+    found = _remaining_links(some.join(bitmaps, "_id"), sets, tried, percent)
     release(some)
     links = found if links is None else links.unionByName(found)
     return handed_over(components(links), "groups")
@@ -359,18 +377,25 @@ def _remaining_links(
     """All links between documents of different groups.
 
     A pair of different groups has at least one document outside the largest group of the list,
-    so that side is the smaller one.
+    so that side is the smaller one. Pairs whose bitmaps differ in more bits than their sets may
+    differ in shingles are left out while the lists are met.
     """
+    some = handed_over(some, "with-bitmaps")
     left = some.where("_group <> _largest").select(
+        *[F.col(w).alias(f"_a{w}") for w in BITS],
         "_token", F.col("_id").alias("_a"), F.col("_n").alias("_a_n"), F.col("_m").alias("_a_m"),
         F.col("_group").alias("_a_group"),
     )
     right = some.select(
+        *[F.col(w).alias(f"_b{w}") for w in BITS],
         "_token", F.col("_id").alias("_b"), F.col("_n").alias("_b_n"), F.col("_m").alias("_b_m"),
         F.col("_group").alias("_b_group"), (F.col("_group") == F.col("_largest")).alias("_b_large"),
     )
+    differing = sum(F.bit_count(F.col(f"_a{w}").bitwiseXOR(F.col(f"_b{w}"))) for w in BITS)
+    sizes = F.col("_a_n") + F.col("_b_n")
     met = left.join(right, "_token").where(
-        (F.col("_a_group") != F.col("_b_group")) & (F.col("_b_large") | (F.col("_a") < F.col("_b")))
+        (differing <= sizes - 2 * F.ceil(sizes * percent / (100 + percent)))
+        & (F.col("_a_group") != F.col("_b_group")) & (F.col("_b_large") | (F.col("_a") < F.col("_b")))
         & _similar_size(F.col("_a_n"), F.col("_b_n"), percent)
     )
     pairs = (
@@ -384,5 +409,5 @@ def _remaining_links(
         pairs = pairs.join(known, ["a", "b"], "left_anti")
     pairs = handed_over(pairs, "pairs")
     found = handed_over(_verified(pairs, sets, percent), "found")
-    release(pairs)
+    release(pairs, some)
     return found
