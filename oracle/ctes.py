@@ -54,8 +54,8 @@ join nation on n_nationkey = (c_nationkey + if(o_orderkey % 10 = 0, 1, 0)) % 25"
 
 CTES["src_order_items"] = """
 select l_orderkey as order_id,
-       l_linenumber + 8 * (date_diff('day', date '1990-01-01', l_shipdate)
-           + 10000 * (l_suppkey % 10000 + 10000 * l_partkey)) as order_item_id,
+       ('0x' || substr(md5(concat_ws('|', l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d'),
+           l_linenumber)), 1, 15))::bigint as order_item_id,
        l_partkey as product_id, l_suppkey as seller_id, l_shipdate as shipping_limit_date,
        l_extendedprice as price, floor(l_extendedprice * 5) / 100.0e0 as freight_value
 from lineitem"""
@@ -68,7 +68,7 @@ select l_orderkey as order_id, l_linenumber as payment_sequential,
            as payment_type,
        cast(1 + l_orderkey % 12 as int) as payment_installments,
        l_extendedprice + floor(l_extendedprice * 5) / 100.0e0 as payment_value
-from lineitem where l_linenumber < 3"""
+from lineitem"""
 
 CTES["src_order_reviews"] = """
 select format('r{}_{}', order_id, j) as review_id, order_id,

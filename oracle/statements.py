@@ -114,7 +114,7 @@ S["materialise_table"] = f"""
 select order_status, count(*) as orders, cast({total('total_payment_value')} as double) as paid
 from int_orders group by order_status"""
 S["write_predictions"] = "select * from scores"
-S["rows_out"] = "select * from kpi_monthly order by order_month limit 12"
+S["rows_out"] = "select * from kpi_monthly order by order_month"
 
 # ---- projections and filters
 
@@ -501,8 +501,7 @@ select seller_id, category_en, orders, avg_delivery_days, on_time_pct, avg_revie
        performance_flag from seller_flagged"""
 S["seller_ranking"] = _SELLERS + " where delivery_rank_in_category <= 5"
 S["seller_flag"] = """
-select seller_id, category_en, performance_flag from seller_flagged
-where delivery_rank_in_category <= 1000"""
+select seller_id, category_en, performance_flag from seller_flagged"""
 S["cohort_retention"] = f"select * from ({_COHORT}) where cohort_size >= 50"
 
 # ---- sorting and limiting
@@ -534,7 +533,7 @@ S["topk_per_group"] = """
 select category_en, seller_id, delivery_rank_in_category from seller_ranked
 where delivery_rank_in_category <= 5"""
 S["dynamic_sort"] = """
-select * from state_dashboard order by csat_pct desc nulls last, state limit 7"""
+select * from state_dashboard order by csat_pct desc nulls last, state"""
 S["limit_clamp"] = """
 select customer_unique_id, total_orders from dim_customers
 order by total_spend_brl desc nulls last, customer_unique_id limit 500"""
@@ -588,7 +587,7 @@ select order_month, {r('csat_rate * 100.0e0', 2)} as csat_pct,
        {r('total_gmv_brl / 1e6', 3)} as gmv_m_brl from kpi_monthly"""
 S["fn_priority_score"] = f"""
 select customer_unique_id, churn_prob, total_spend_brl, priority_score
-from ({_PRIORITY} limit 500)"""
+from ({_PRIORITY})"""
 S["fn_upper"] = "select distinct upper(city) as city, state from stg_customers"
 S["fn_md5_key"] = "select order_id, order_item_id, order_item_sk from stg_order_items"
 S["fn_string_agg"] = """
@@ -627,17 +626,32 @@ select date_trunc('hour', ts) as window_start, function, count(*) as calls,
        cast(sum(k * 20) as bigint) as rows_returned, {r(mean('duration'), 4)} as avg_ms
 from audit_calls group by 1, 2"""
 
+S["audit_live"] = S["audit_rollup"]
+
 # ---- models and statistics
 
 S["column_medians"] = f"select column_name, {r('median', 6)} as median from medians"
-S["impute_median"] = """
-select customer_unique_id,
-       ifnull(total_spend_brl, (select median(total_spend_brl) from churn_features))
-           as total_spend_brl,
-       ifnull(avg_order_value_brl, (select median(avg_order_value_brl) from churn_features))
-           as avg_order_value_brl,
-       cast(days_since_last_order as double) as days_since_last_order,
-       ifnull(state, 'unknown') as state from churn_features"""
+_NUMBERS = """days_since_last_order days_since_first_order customer_lifespan_days
+recency_to_lifespan_ratio total_orders delivered_orders canceled_orders cancel_rate total_spend_brl
+avg_order_value_brl avg_freight_brl freight_to_value_ratio avg_review_score review_count
+has_low_review pct_reviews_with_comment avg_days_to_deliver on_time_delivery_rate had_late_delivery
+used_voucher_ever used_credit_card_ever avg_item_count avg_distinct_products
+avg_distinct_sellers""".split()
+_CATEGORIES = "state order_frequency_segment satisfaction_segment primary_payment_type".split()
+_FILLED = ", ".join(
+    [f"ifnull({c}::double, (select median({c}::double) from churn_features)) as {c}" for c in _NUMBERS]
+    + [f"ifnull({c}, 'unknown') as {c}" for c in _CATEGORIES]
+)
+S["impute_median"] = f"select customer_unique_id, {_FILLED} from churn_features"
+S["standard_scale"] = "with filled as (" + S["impute_median"] + ") select customer_unique_id, " + (
+    ", ".join(
+        r(f"({c} - (select avg({c}) from filled)) / (select if(stddev_pop({c}) = 0, 1, stddev_pop({c})) from filled)", 4)
+        + f" as {c}" for c in _NUMBERS)
+) + " from filled"
+S["one_hot"] = "with filled as (" + S["impute_median"] + ") " + " union all ".join(
+    f"""select customer_unique_id, '{c}_' || label as feature, if({c} = label, 1e0, 0e0) as value
+    from filled, (select distinct {c} as label from filled)""" for c in _CATEGORIES
+)
 S["stratified_split"] = """
 select ('0x' || substr(md5('42-' || customer_unique_id), 1, 8))::bigint % 10000 < 8000
            as is_train, is_churned, count(*) as n from churn_features group by all"""
@@ -677,11 +691,6 @@ S["roc_points"] = f"""
 select score, {r('sum(zeros) over down / sum(zeros) over ()', 8)} as fpr,
        {r('sum(ones) over down / sum(ones) over ()', 8)} as tpr
 from score_counts window down as (order by score desc)"""
-_GAPS = " union all ".join(
-    f"""select '{c}' as feature, {r(f"abs(avg({c}) filter (where is_churned = 1) - avg({c}) filter (where is_churned = 0))", 6)} as importance from churn_features"""
-    for c in ("review_count", "total_orders", "delivered_orders", "canceled_orders")
-)
-S["top_features"] = f"select * from ({_GAPS}) order by importance desc, feature limit 3"
 S["ab_groups"] = f"""
 select fast_n, slow_n, {r('fast_mean', 6)} as fast_mean, {r('slow_mean', 6)} as slow_mean,
        {r('fast_variance', 6)} as fast_variance, {r('slow_variance', 6)} as slow_variance,
@@ -693,10 +702,27 @@ select {r('difference / sqrt(a + b)', 4)} as t_statistic,
 _EFFECT = """case when abs(d) >= 0.8 then 'Large' when abs(d) >= 0.5 then 'Medium'
        when abs(d) >= 0.2 then 'Small' else 'Negligible' end"""
 S["ab_cohens_d"] = f"select {r('d', 5)} as cohens_d, {_EFFECT} as effect from ab_tested"
-S["ab_conclusion"] = f"""
+
+
+def _tail(start: str) -> str:
+    """Area under the density of t from sinh(start) on, Simpson's rule in s with x = sinh(s)."""
+    at = f"({start} + i * 0.01e0)"
+    return f"""list_sum(list_transform(range(0, 4001), lambda i:
+        case when i in (0, 4000) then 1e0 when i % 2 = 1 then 4e0 else 2e0 end
+        * exp(-(dof + 1) / 2 * ln(1e0 + sinh({at}) ** 2 / dof)) * cosh({at})))"""
+
+
+_TESTED = f"""
+with tested as (
+    select *, difference / sqrt(a + b) as t,
+           (a + b) ** 2 / (a ** 2 / (fast_n - 1) + b ** 2 / (slow_n - 1)) as dof from ab_tested),
+valued as (select *, {_tail('asinh(abs(t))')} / {_tail('0e0')} as p from tested)"""
+S["ab_p_value"] = _TESTED + f"""
+select {r('t', 4)} as t_statistic, {r('dof', 4)} as degrees_of_freedom, {r('p', 6)} as p_value
+from valued"""
+S["ab_conclusion"] = _TESTED + f"""
 select fast_n, slow_n, {r('difference', 4)} as difference, {r('d', 4)} as cohens_d,
-       {_EFFECT} as effect, abs(difference / sqrt(a + b)) > 1.97 as significant,
-       abs(d) >= 0.2 as worth_investing from ab_tested"""
+       {_EFFECT} as effect, p < 0.05 as significant, abs(d) >= 0.2 as worth_investing from valued"""
 
 # ---- data quality
 

@@ -6,25 +6,25 @@ counts, model parameters and one row of metrics.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import ratio, rounded
 from ..session import fresh_path, handed_over
 from .churn import CATEGORICAL_FEATURES, LEAKY_FEATURES, NUMERIC_FEATURES
-from .ranking import medians
+from .ranking import medians, with_running_totals
 
 LABEL, WEIGHT, FEATURES = "is_churned", "weight", "features"
 SEED = 42
-ROWS_PER_TASK = 100_000
-LOGISTIC, FOREST, BOOSTED = "logistic_regression", "random_forest", "gradient_boosting"
+MODELS = LOGISTIC, FOREST, BOOSTED = "logistic_regression", "random_forest", "gradient_boosting"
 
 
 # ---- preparation --------------------------------------------------------------------------
@@ -35,7 +35,9 @@ def impute(
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
 ) -> DataFrame:
     """NULL numbers become the exact column median, NULL categories ``unknown``."""
-    middle = {r.column_name: r.median for r in medians(df, numeric).collect()}
+    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numeric]).first()
+    lacking = [c for c in numeric if missing[c]]  # others need no median
+    middle = {r.column_name: r.median for r in medians(df, lacking).collect()} if lacking else {}
     filled = {
         c: F.coalesce(F.col(c).cast("double"), F.lit(middle.get(c))) for c in numeric
     }
@@ -75,25 +77,34 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def _weighted(df: DataFrame, model: str) -> DataFrame:
-    """Training rows with class weights, in partitions worth a task each.
-
-    Iterative fits start many short jobs over the same rows, so tiny partitions cost more than
-    they help; large tables keep the partitions they have.
-    """
-    sizes, weights = label_counts(df).first(), class_weights(df).first()
-    churned = weights.ratio_churned if model == BOOSTED else weights.balanced_churned
-    retained = 1.0 if model == BOOSTED else weights.balanced_retained
+    """Training rows with their class weights, in the partitions they have."""
+    sizes = label_counts(df).first()
+    n = sizes.retained + sizes.churned
+    if model == BOOSTED:
+        retained, churned = 1.0, sizes.retained and sizes.churned / sizes.retained
+    else:
+        retained, churned = (k and n / (2.0 * k) for k in (sizes.retained, sizes.churned))
     # a class without rows has no weight and needs none
-    weighted = df.withColumn(
-        WEIGHT, F.when(F.col(LABEL) == 1, churned or 1.0).otherwise(retained or 1.0)
+    return df.withColumn(
+        WEIGHT, F.when(F.col(LABEL) == 1, float(churned or 1.0)).otherwise(float(retained or 1.0))
     )
-    return weighted.coalesce(max(1, (sizes.retained + sizes.churned) // ROWS_PER_TASK))
 
 
-def scaling_stages(numeric: Sequence[str]) -> list:
+def scaling_stages(rows: DataFrame, numeric: Sequence[str]) -> list:
+    """Numbers less their mean, over the deviation of the whole population of ``rows``.
+
+    Spark's own scaler divides by n - 1. A number without spread becomes 0.
+    """
+    sums = rows.agg(*[f(c).alias(f"{p}{c}") for c in numeric
+                      for p, f in (("mean_", F.mean), ("std_", F.stddev_pop))]).first()
+    literal = lambda value: f"{float(value or 0.0)!r}D"
+    scaled = ", ".join(
+        f"({c} - {literal(sums[f'mean_{c}'])}) / {literal(sums[f'std_{c}'] or 1.0)} AS scaled_{c}"
+        for c in numeric
+    )
     return [
-        VectorAssembler(inputCols=list(numeric), outputCol="numbers"),
-        StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
+        SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"scaled_{c}" for c in numeric], outputCol="scaled"),
     ]
 
 
@@ -109,11 +120,13 @@ def encoding_stages(categorical: Sequence[str]) -> list:
 
 
 def feature_pipeline(
-    numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES
+    rows: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
+    categorical: Sequence[str] = CATEGORICAL_FEATURES,
 ) -> Pipeline:
+    """Preparation scaled by ``rows``; fit it on the same rows."""
     parts = ["scaled", *[f"{c}_onehot" for c in categorical]]
     return Pipeline(stages=[
-        *scaling_stages(numeric), *encoding_stages(categorical),
+        *scaling_stages(rows, numeric), *encoding_stages(categorical),
         VectorAssembler(inputCols=parts, outputCol=FEATURES),
     ])
 
@@ -173,7 +186,8 @@ def fit(
     numeric = [c for c in NUMERIC_FEATURES if not (drop_leaky and c in LEAKY_FEATURES)]
     rows = with_split(impute(features, numeric)).persist()
     try:
-        prepared = feature_pipeline(numeric).fit(rows.where("is_train"))
+        train = rows.where("is_train")
+        prepared = feature_pipeline(train, numeric).fit(train)
         ready = prepared.transform(rows)
         train = _weighted(ready.where("is_train"), model).select(LABEL, FEATURES, WEIGHT).persist()
         try:
@@ -186,48 +200,34 @@ def fit(
 
 
 def scores(fitted, ready: DataFrame) -> DataFrame:
-    """Churn probability of every row, six decimals."""
+    """Churn probability of every row, as the model gives it."""
     chance = vector_to_array("probability").getItem(1)
     return fitted.transform(ready).select(
-        "customer_unique_id", "is_train", F.col(LABEL).alias("label"),
-        F.round(chance, 6).alias("score"),
+        "customer_unique_id", "is_train", F.col(LABEL).alias("label"), chance.alias("score"),
     )
 
 
 # ---- evaluation ---------------------------------------------------------------------------
-# Scores are cut to six decimals, so counting per score first leaves at most 1,000,001 rows;
-# the cumulative windows below run over those, never over the scored rows.
-
-
-def _score() -> Column:
-    return F.round("score", 6).alias("score")
+# Metrics are taken on the scores as they are. Rows of one score are counted first; cumulative
+# counts run over slices of the ordered scores (``ranking``), never over a window in one task.
 
 
-def _counts(scored: DataFrame) -> DataFrame:
-    return scored.groupBy(_score()).agg(
+def _curve(scored: DataFrame, falling: bool) -> DataFrame:
+    """Per distinct score: both counts, and both counts of everything up to it in the order."""
+    counts = scored.groupBy("score").agg(
         F.count_if(F.col("label") == 1).alias("ones"),
         F.count_if(F.col("label") == 0).alias("zeros"),
     )
-
-
-def _upto(c: str, order: Column) -> Column:
-    window = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.sum(c).over(window)
-
-
-def _whole(c: str) -> Column:
-    return F.sum(c).over(Window.partitionBy())
+    by = F.desc("score") if falling else F.asc("score")
+    return with_running_totals(counts, [by], {"ones": "ones_upto", "zeros": "zeros_upto"})
 
 
 def best_threshold(scored: DataFrame) -> DataFrame:
     """Score at which calling everything up to it retained gives the best F1 of that class."""
-    rising = F.col("score").asc()
-    curve = _counts(scored).select(
-        "score", _upto("zeros", rising).alias("tp"), _upto("ones", rising).alias("fp"),
-        _whole("zeros").alias("all_zeros"),
-    )
-    f1 = ratio(F.col("tp") * 2, F.col("tp") + F.col("fp") + F.col("all_zeros"))
-    return curve.withColumn("f1", f1).agg(
+    curve = _curve(scored, falling=False)
+    whole = scored.agg(F.count_if(F.col("label") == 0)).scalar()
+    f1 = ratio(F.col("zeros_upto") * 2, F.col("zeros_upto") + F.col("ones_upto") + F.col("_zeros"))
+    return curve.withColumn("_zeros", whole).withColumn("f1", f1).agg(
         F.coalesce(
             F.max_by(F.when(F.col("f1") > 0, F.col("score")), F.struct("f1", "score")),
             F.lit(0.5),
@@ -238,25 +238,26 @@ def best_threshold(scored: DataFrame) -> DataFrame:
 
 def roc_points(scored: DataFrame) -> DataFrame:
     """False and true positive rate at every score, highest score first."""
-    falling = F.col("score").desc()
-    return _counts(scored).select(
+    curve = _curve(scored, falling=True)
+    sizes = scored.agg(
+        F.struct(F.count_if(F.col("label") == 0).alias("zeros"),
+                 F.count_if(F.col("label") == 1).alias("ones"))
+    ).scalar()
+    return curve.withColumn("_sizes", sizes).select(
         "score",
-        rounded(ratio(_upto("zeros", falling), _whole("zeros")), 8).alias("fpr"),
-        rounded(ratio(_upto("ones", falling), _whole("ones")), 8).alias("tpr"),
+        rounded(ratio("zeros_upto", F.col("_sizes")["zeros"]), 8).alias("fpr"),
+        rounded(ratio("ones_upto", F.col("_sizes")["ones"]), 8).alias("tpr"),
     ).orderBy(F.desc("score"))
 
 
 def ranking_quality(scored: DataFrame) -> DataFrame:
     """Area under the ROC curve and average precision, from the score counts."""
-    falling = F.col("score").desc()
-    curve = _counts(scored).select(
-        "ones", "zeros", _upto("ones", falling).alias("tp"), _upto("zeros", falling).alias("fp")
-    )
+    curve = _curve(scored, falling=True)
     ones, zeros = F.sum("ones"), F.sum("zeros")
     # pairs won: positives against the negatives scored below, ties count half
-    above = F.col("fp") - F.col("zeros") * 0.5
+    above = F.col("zeros_upto") - F.col("zeros") * 0.5
     lost = F.sum(F.col("ones") * above)
-    precision = ratio("tp", F.col("tp") + F.col("fp"))
+    precision = ratio("ones_upto", F.col("ones_upto") + F.col("zeros_upto"))
     gained = F.sum((F.col("ones") * precision).cast("decimal(38,12)")).cast("double")
     return curve.agg(
         (F.lit(1.0) - ratio(lost, ones * zeros)).alias("roc_auc"),
@@ -266,7 +267,7 @@ def ranking_quality(scored: DataFrame) -> DataFrame:
 
 def threshold_quality(scored: DataFrame, threshold: Column | float) -> DataFrame:
     """Accuracy, F1 of both classes and recall of the retained at a threshold."""
-    called = _score() >= (threshold if isinstance(threshold, Column) else F.lit(threshold))
+    called = F.col("score") >= (threshold if isinstance(threshold, Column) else F.lit(threshold))
     one = F.col("label") == 1
     cells = scored.agg(
         F.count_if(one & called).alias("hit"), F.count_if(one & ~called).alias("missed"),
@@ -287,14 +288,15 @@ def threshold_quality(scored: DataFrame, threshold: Column | float) -> DataFrame
 def evaluation(scored: DataFrame, digits: int = 4) -> DataFrame:
     """One row with every metric at the best threshold."""
     scored = handed_over(scored.select("label", "score"))  # read by each of the three parts
-    best = best_threshold(scored)
-    at_best = threshold_quality(scored, best.select("threshold").scalar())
-    # three one-row frames side by side, met on a constant
-    rows = [ranking_quality(scored), at_best, best.select("threshold")]
-    merged = rows[0].withColumn("_one", F.lit(1))
-    for row in rows[1:]:
-        merged = merged.join(row.withColumn("_one", F.lit(1)), "_one")
-    return merged.drop("_one").select(
+    threshold = best_threshold(scored).select("threshold").scalar()
+    quality = ranking_quality(scored).agg(
+        F.struct(F.first("roc_auc").alias("roc_auc"),
+                 F.first("average_precision").alias("average_precision"))
+    ).scalar()
+    merged = threshold_quality(scored, threshold).withColumns(
+        {"_quality": quality, "threshold": threshold}
+    ).withColumns({c: F.col("_quality")[c] for c in ("roc_auc", "average_precision")})
+    return merged.select(
         *[rounded(c, digits).alias(c) for c in (
             "roc_auc", "average_precision", "f1_macro", "f1_retained", "recall_retained",
             "accuracy",
@@ -303,6 +305,15 @@ def evaluation(scored: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
+def comparison(scored: Mapping[str, DataFrame]) -> DataFrame:
+    """Metrics of several models on the same held-out rows, best ROC-AUC first."""
+    rows = [evaluation(df).withColumn("model", F.lit(name)) for name, df in scored.items()]
+    table = reduce(DataFrame.unionByName, rows)
+    return table.select("model", *[c for c in table.columns if c != "model"]).orderBy(
+        F.desc("roc_auc"), F.desc("average_precision"), "model"
+    )
+
+
 def importance(fitted, names: Sequence[str]) -> DataFrame:
     """Importance of every vector slot: tree gains, or the size of the coefficients."""
     values = (
@@ -322,7 +333,7 @@ def predictions(scored: DataFrame, threshold: DataFrame, model_name: str) -> Dat
     bound = threshold.select("threshold").scalar()
     return scored.select(
         "customer_unique_id",
-        F.col("score").alias("churn_probability"),
+        F.round("score", 6).alias("churn_probability"),
         (F.col("score") >= bound).cast("int").alias("predicted_label"),
         F.lit(model_name).alias("model_name"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")

@@ -66,13 +66,27 @@ def enriched(orders: DataFrame, payments: DataFrame, reviews: DataFrame) -> Data
 
 
 def item_rollup(items: DataFrame) -> DataFrame:
-    """Basket of each order."""
-    return items.groupBy("order_id").agg(
-        F.count("*").alias("item_count"),
-        F.count_distinct("product_id").alias("distinct_products"),
-        F.count_distinct("seller_id").alias("distinct_sellers"),
-        money_sum("price").cast("double").alias("items_subtotal_brl"),
-        money_sum("freight_value").cast("double").alias("freight_total_brl"),
+    """Basket of each order.
+
+    Two rollups that end on the same key, each combining on the map side: counting products and
+    sellers together on the lines would triple every line before it is aggregated, and a set of
+    products would hold a very large order in one row.
+    """
+    by_product = items.groupBy("order_id", "product_id").agg(
+        F.count("*").alias("_lines"), money_sum("price").alias("_price"),
+        money_sum("freight_value").alias("_freight"),
+    )
+    by_seller = items.groupBy("order_id", "seller_id").agg(F.lit(1).alias("_one"))
+    baskets = by_product.groupBy("order_id").agg(
+        F.sum("_lines").alias("item_count"),
+        F.count("product_id").alias("distinct_products"),
+        F.sum("_price").cast("double").alias("items_subtotal_brl"),
+        F.sum("_freight").cast("double").alias("freight_total_brl"),
+    )
+    sellers = by_seller.groupBy("order_id").agg(F.count("seller_id").alias("distinct_sellers"))
+    return baskets.join(sellers, "order_id").select(
+        "order_id", "item_count", "distinct_products", "distinct_sellers", "items_subtotal_brl",
+        "freight_total_brl",
     )
 
 

@@ -8,7 +8,7 @@ and that is one number per slice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -59,24 +59,36 @@ def with_position(df: DataFrame, order: Sequence[Column | str], out: str) -> Dat
     )
 
 
-def with_running_total(
-    df: DataFrame, order: Sequence[Column | str], weight: str, out: str
+def with_running_totals(
+    df: DataFrame, order: Sequence[Column | str], weights: Mapping[str, str]
 ) -> DataFrame:
-    """Sum of ``weight`` over this row and all rows ordered before it."""
+    """For each ``weight: out``: sum of the weight over this row and all ordered before it."""
     order = [as_column(c) for c in order]
     sliced = handed_over(
-        df.repartitionByRange(*order).withColumn(SLICE, F.spark_partition_id())
+        df.repartitionByRange(*order).withColumn(SLICE, F.spark_partition_id()), "slices"
+    )
+    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per slice, so never large
+    starts = sliced.groupBy(SLICE).agg(*[F.sum(w).alias(f"_all_{w}") for w in weights]).select(
+        SLICE, *[F.coalesce(F.sum(f"_all_{w}").over(earlier), F.lit(0)).alias(f"_before_{w}")
+                 for w in weights]
     )
-    sizes = sliced.groupBy(SLICE).agg(F.sum(weight).alias("_size"))
     inside = Window.partitionBy(SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    here = {f"_here_{w}": F.sum(w).over(inside) for w in weights}
     return (
-        sliced.withColumn(AT, F.sum(weight).over(inside))
-        .join(F.broadcast(_starts(sizes)), SLICE)
-        .withColumn(out, F.col(BEFORE) + F.col(AT))
-        .drop(SLICE, AT, BEFORE)
+        sliced.withColumns(here).join(F.broadcast(starts), SLICE)
+        .withColumns({out: F.col(f"_before_{w}") + F.col(f"_here_{w}") for w, out in weights.items()})
+        .drop(SLICE, *here, *[f"_before_{w}" for w in weights])
     )
 
 
+def with_running_total(
+    df: DataFrame, order: Sequence[Column | str], weight: str, out: str
+) -> DataFrame:
+    """Sum of ``weight`` over this row and all rows ordered before it."""
+    return with_running_totals(df, order, {weight: out})
+
+
 def ntile(df: DataFrame, value: str, key: str, tiles: int, out: str) -> DataFrame:
     """Equal-sized tiles over the whole table; the first ones take the remainder."""
     placed = with_position(df, [F.col(value).asc_nulls_last(), key], "_place")

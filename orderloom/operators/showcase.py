@@ -69,11 +69,10 @@ def top_decile_spenders(people: DataFrame, limit: int = 100) -> DataFrame:
     a prefix of the top list; everyone who outspends a listed person is on the list too, so
     both ranks follow from the list plus one count of ties at its lower end.
     """
-    # read three times below, so computed once
-    spenders = handed_over(people.where(F.col("total_spend_brl") > 0).select(
+    spenders = people.where(F.col("total_spend_brl") > 0).select(
         "customer_unique_id", "state", "total_orders", "total_spend_brl", "avg_review_score",
         "order_frequency_segment", "satisfaction_segment",
-    ))
+    )
     total = spenders.agg(F.count("*")).scalar()
     downwards = [F.desc("total_spend_brl"), F.desc("customer_unique_id")]
     # a report of at most `limit` rows: its windows may run in one task
@@ -136,9 +135,12 @@ def cohort_retention(fact: DataFrame, min_size: int = 50) -> DataFrame:
 
 def retention_priority(
     scores: DataFrame, people: DataFrame, today: str = "2018-10-17", min_spend: float = 100,
-    limit: int = 50,
+    limit: int | None = 50,
 ) -> DataFrame:
-    """Whom to contact first: churn risk, spend relative to the best customer, loyalty."""
+    """Whom to contact first: churn risk, spend relative to the best customer, loyalty.
+
+    ``limit`` None lists everybody.
+    """
     risk = scores.select(
         "customer_unique_id",
         rounded("churn_probability", 3).alias("churn_prob"),
@@ -149,8 +151,7 @@ def retention_priority(
         "customer_unique_id", "state", "total_orders", "total_spend_brl", "avg_review_score",
         "order_frequency_segment", "satisfaction_segment", "last_order_at",
     )
-    # read for the highest spend and for the list
-    listed = handed_over(risk.join(context, "customer_unique_id"))
+    listed = risk.join(context, "customer_unique_id")
     highest = listed.agg(F.max(spend)).scalar()
     priority = rounded(
         F.col("churn_prob") * 0.5
@@ -158,11 +159,13 @@ def retention_priority(
         + loyalty_weight("order_frequency_segment"),
         4,
     )
-    return (
+    ranked = (
         listed.withColumn("_highest", highest)
         .withColumn("_priority", priority)
         .orderBy(F.desc_nulls_last("_priority"), "customer_unique_id")
-        .limit(limit)
+    )
+    return (
+        (ranked if limit is None else ranked.limit(limit))
         .select(
             "customer_unique_id", "churn_prob", "churn_risk_tier", "state", "total_orders",
             rounded(spend, 2).alias("total_spend_brl"),
@@ -236,10 +239,12 @@ def category_places(performance: DataFrame) -> DataFrame:
     )
 
 
-def seller_ranking(performance: DataFrame, worst: int = 5) -> DataFrame:
-    """Slowest sellers of each category, ties included."""
+def seller_ranking(performance: DataFrame, worst: int | None = 5) -> DataFrame:
+    """Slowest sellers of each category, ties included; all sellers if ``worst`` is None."""
     performance = handed_over(performance)  # read for the places and for the rows
-    places = category_places(performance).where(F.col("delivery_rank_in_category") <= worst)
+    places = category_places(performance)
+    if worst is not None:
+        places = places.where(F.col("delivery_rank_in_category") <= worst)
     return (
         performance.join(places, ["category_en", "avg_delivery_days"])
         .select(

@@ -236,7 +236,7 @@ def _(s):
 
 @query("rows_out")
 def _(s):
-    return s.kpi_monthly.orderBy("order_month").limit(serving.limit_rows(12))
+    return s.kpi_monthly.orderBy("order_month")
 
 
 # ---- projections and filters --------------------------------------------------------------
@@ -873,7 +873,7 @@ def _(s):
 
 @query("seller_flag")
 def _(s):
-    return showcase.seller_ranking(_performance(s), 1000).select(
+    return showcase.seller_ranking(_performance(s), None).select(
         "seller_id", "category_en", "performance_flag"
     )
 
@@ -933,7 +933,7 @@ def _(s):
 def _(s):
     return serving.sorted_states(
         kpis.state_dashboard(s.fct_orders, s.dim_customers), "csat_pct"
-    ).limit(7)
+    )
 
 
 @query("limit_clamp")
@@ -1067,7 +1067,7 @@ def _(s):
 @query("fn_priority_score")
 def _(s):
     return showcase.retention_priority(
-        churn.tiered(s.src["churn_predictions"]), s.dim_customers, TODAY, limit=500
+        churn.tiered(s.src["churn_predictions"]), s.dim_customers, TODAY, limit=None
     ).select("customer_unique_id", "churn_prob", "total_spend_brl", "priority_score")
 
 
@@ -1159,12 +1159,13 @@ def _(s):
     spark = _spark(s)
     log, out = fresh_path(spark, "audit-log"), fresh_path(spark, "audit-live")
     state = fresh_path(spark, "audit-state")
-    noon = F.col("timestamp") < "2024-01-15"
-    for part in (noon, ~noon):
+    early = F.col("timestamp") < "2024-01-15"
+    for part in (early, ~early):
         files.append_audit(s.audit_log.where(part), log)
         rolled = audit_live.rollup(audit_live.read_log_stream(spark, log))
         audit_live.follow(rolled, out, state).awaitTermination()
-    return spark.read.schema(rolled.schema).parquet(out)
+    newest = audit_live.newest(spark.read.schema(audit_live.written_schema(rolled)).parquet(out))
+    return newest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("audit_rollup")
@@ -1178,11 +1179,8 @@ def _(s):
 
 @query("impute_median")
 def _(s):
-    filled = ml.impute(s.churn_features, ["total_spend_brl", "avg_order_value_brl",
-                                          "days_since_last_order"])
-    return filled.select(
-        "customer_unique_id", "total_spend_brl", "avg_order_value_brl",
-        "days_since_last_order", "state",
+    return ml.impute(s.churn_features).select(
+        "customer_unique_id", *churn.NUMERIC_FEATURES, *churn.CATEGORICAL_FEATURES
     )
 
 
@@ -1208,62 +1206,100 @@ def _features(s: Shop) -> DataFrame:
     return handed_over(s.churn_features)
 
 
-def _slots(prepared_rows: DataFrame, names: list[str]) -> DataFrame:
-    values = ml.vector_to_array(ml.FEATURES)
-    return prepared_rows.select("customer_unique_id", values.alias("v")).select(
-        "customer_unique_id", *[F.col("v")[i].alias(n) for i, n in enumerate(names)]
-    )
+def _prepared(s: Shop) -> tuple[DataFrame, list[str]]:
+    """All rows with their feature vector, and the names of its slots."""
+    rows = ml.impute(_features(s))
+    prepared = ml.feature_pipeline(rows).fit(rows)
+    vector = ml.vector_to_array(ml.FEATURES).alias("v")
+    return prepared.transform(rows).select("customer_unique_id", vector), ml.feature_names(prepared)
 
 
 @query("standard_scale")
 def _(s):
-    rows = ml.impute(_features(s))
-    prepared = ml.feature_pipeline().fit(rows)
-    return _slots(prepared.transform(rows), list(churn.NUMERIC_FEATURES))
+    rows, _ = _prepared(s)
+    return rows.select("customer_unique_id", *[
+        rounded(F.col("v")[i], 4).alias(c) for i, c in enumerate(churn.NUMERIC_FEATURES)
+    ])
 
 
 @query("one_hot")
 def _(s):
-    rows = ml.impute(_features(s))
-    prepared = ml.feature_pipeline().fit(rows)
-    names = ml.feature_names(prepared)
-    return _slots(prepared.transform(rows), names).select(
-        "customer_unique_id", *[n for n in names if n.startswith("primary_payment_type_")]
+    """One row per person and slot of a category."""
+    rows, names = _prepared(s)
+    first = len(churn.NUMERIC_FEATURES)
+    slots = F.arrays_zip(
+        F.array(*map(F.lit, names[first:])).alias("feature"),
+        F.slice("v", first + 1, len(names) - first).alias("value"),
     )
+    return rows.select("customer_unique_id", F.inline(slots))
+
 
+#: Fits of a session, by its tables and model. They are stored in the shared folder, and queries
+#: that ask for the same fit read it back.
+_FITS: dict[tuple, tuple] = {}
 
-def _fitted_scores(s: Shop, model: str, **size) -> DataFrame:
-    _, fitted, ready = ml.fit(_features(s), model, **size)
-    return ml.scores(fitted, ready)
+
+def _fit(s: Shop, model: str) -> tuple:
+    """Slot names, classifier, and the scores of all people."""
+    known = (_spark(s).sparkContext.applicationId, s.src.folder, model)
+    if known not in _FITS:
+        prepared, fitted, ready = ml.fit(_features(s), model)
+        scored = handed_over(ml.scores(fitted, ready), "scores")
+        _FITS[known] = ml.feature_names(prepared), fitted, scored
+    return _FITS[known]
+
+
+def _comparison(s: Shop) -> DataFrame:
+    held_out = {m: _fit(s, m)[2].where("NOT is_train") for m in ml.MODELS}
+    return ml.comparison(held_out)
+
+
+def _chosen(s: Shop) -> str:
+    """The model of the best ROC-AUC on the held-out side."""
+    return _comparison(s).first().model
 
 
 @query("fit_logreg")
 def _(s):
-    return _fitted_scores(s, ml.LOGISTIC)
+    return _fit(s, ml.LOGISTIC)[2]
 
 
 @query("fit_forest")
 def _(s):
-    return _fitted_scores(s, ml.FOREST)
+    return _fit(s, ml.FOREST)[2]
 
 
 @query("fit_gbt")
 def _(s):
-    return _fitted_scores(s, ml.BOOSTED)
+    return _fit(s, ml.BOOSTED)[2]
+
+
+@query("model_comparison")
+def _(s):
+    return _comparison(s)
 
 
 @query("feature_importance")
 def _(s):
-    prepared, fitted, _ = ml.fit(_features(s), ml.LOGISTIC, drop_leaky=True)
-    numeric = [c for c in churn.NUMERIC_FEATURES if c not in churn.LEAKY_FEATURES]
-    return ml.top_features(ml.importance(fitted, ml.feature_names(prepared, numeric)))
+    """All inputs in all three models."""
+    tables = []
+    for model in ml.MODELS:
+        names, fitted, _ = _fit(s, model)
+        tables.append(ml.importance(fitted, names).withColumn("model", F.lit(model)))
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
+@query("top_features")
+def _(s):
+    names, fitted, _ = _fit(s, _chosen(s))
+    return ml.top_features(ml.importance(fitted, names))
 
 
 @query("score_customers")
 def _(s):
-    scored = handed_over(_fitted_scores(s, ml.LOGISTIC, maxIter=100))
-    threshold = ml.best_threshold(scored.where("NOT is_train"))
-    return ml.predictions(scored, threshold, ml.LOGISTIC)
+    chosen = _chosen(s)
+    scored = _fit(s, chosen)[2]
+    return ml.predictions(scored, ml.best_threshold(scored.where("NOT is_train")), chosen)
 
 
 def _given_scores(s: Shop) -> DataFrame:
@@ -1291,19 +1327,6 @@ def _(s):
     return ml.roc_points(_given_scores(s))
 
 
-@query("top_features")
-def _(s):
-    """Largest mean differences between churned and retained people, as a feature ranking."""
-    gaps = [
-        F.abs(F.avg(F.when(F.col("is_churned") == 1, F.col(c).cast("double")))
-              - F.avg(F.when(F.col("is_churned") == 0, F.col(c).cast("double")))).alias(c)
-        for c in ("review_count", "total_orders", "delivered_orders", "canceled_orders")
-    ]
-    wide = s.churn_features.agg(*gaps)
-    table = wide.unpivot([], wide.columns, "feature", "importance")
-    return ml.top_features(table.withColumn("importance", rounded("importance", 6)), 3)
-
-
 @query("retention_priority")
 def _(s):
     return showcase.retention_priority(
@@ -1329,7 +1352,11 @@ def _(s):
 @query("ab_p_value")
 def _(s):
     tested = stats.with_p_value(stats.with_welch(stats.group_moments(_rated(s))))
-    return tested.select("t_statistic", "degrees_of_freedom", "p_value")
+    return tested.select(
+        rounded("t_statistic", 4).alias("t_statistic"),
+        rounded("degrees_of_freedom", 4).alias("degrees_of_freedom"),
+        rounded("p_value", 6).alias("p_value"),
+    )
 
 
 @query("ab_cohens_d")

@@ -8,6 +8,7 @@ from functools import cached_property, partial
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import audit, churn, customers, geography, kpis, orders, staging
+from ..session import handed_over
 from ..sources import fixtures, files, schemas
 
 MODELS = (
@@ -21,8 +22,11 @@ MODELS = (
 class Sources(Mapping):
     """Sources by name, each opened when it is first asked for."""
 
-    def __init__(self, spark: SparkSession, openers: Mapping[str, Callable[[], DataFrame]]):
-        self.spark = spark
+    def __init__(
+        self, spark: SparkSession, openers: Mapping[str, Callable[[], DataFrame]],
+        folder: str | None = None,
+    ):
+        self.spark, self.folder = spark, folder
         self._openers = dict(openers)
         self._open: dict[str, DataFrame] = {}
 
@@ -48,7 +52,8 @@ class Shop:
     def over_fixtures(cls, spark: SparkSession, folder: str) -> Shop:
         """Sources derived from the supplied star-schema tables."""
         names = (*schemas.SOURCES, "churn_predictions", "audit_calls", "contacts")
-        return cls(Sources(spark, {n: partial(getattr(fixtures, n), spark, folder) for n in names}))
+        return cls(Sources(spark, {n: partial(getattr(fixtures, n), spark, folder) for n in names},
+                           folder))
 
     @classmethod
     def over_csv(cls, spark: SparkSession, folder: str, file_names: Mapping[str, str]) -> Shop:
@@ -136,7 +141,15 @@ class Shop:
 
     @cached_property
     def churn_features(self) -> DataFrame:
-        return churn.features(self.fct_orders, self.dim_customers)
+        """Personal history, order signals and newest date all read the order grain, so it is
+        stored once instead of being rolled up for each of them."""
+        grain = handed_over(self.int_orders, "order-grain")
+        history = customers.order_history(self.stg_customers, grain)
+        people = customers.dimension(history, geography.city_centroids(self.stg_geolocation))
+        fact = handed_over(
+            orders.fact(grain, self.stg_customers, self.stg_order_items), "order-fact"
+        )
+        return churn.features(fact, people)
 
     @cached_property
     def mart_churn(self) -> DataFrame:
@@ -171,9 +184,10 @@ class Shop:
         return customers.gold_segments(self.silver_customers, centroids)
 
     def gold_delivery_by_state(self, min_orders: int = 100) -> DataFrame:
-        return kpis.gold_by_state(
-            self.silver_orders, self.bronze("customers"), self.silver_customers, min_orders
-        )
+        """Orders are read for their states and for the people in them, and stored for that."""
+        grain = handed_over(self.silver_orders, "order-grain")
+        people = customers.silver(self.bronze("customers"), grain)
+        return kpis.gold_by_state(grain, self.bronze("customers"), people, min_orders)
 
     # ---- access log
 

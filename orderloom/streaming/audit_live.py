@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions.numeric import exact, ratio, rounded
 from ..sources import schemas
@@ -39,16 +40,33 @@ def rollup(log: DataFrame, window: str = WINDOW, lateness: str = LATENESS) -> Da
     )
 
 
-def follow(
-    rolled: DataFrame, table_path: str, checkpoint: str, output_mode: str = "append"
-) -> StreamingQuery:
+def written_schema(rolled: DataFrame) -> StructType:
+    """Schema of what ``follow`` writes: the rollup and the number of the batch."""
+    return StructType([*rolled.schema.fields]).add("batch", "long")
+
+
+def follow(rolled: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
     """Process what has arrived and stop; call again for newer files.
 
-    Appending writes a window once it can no longer change. The checkpoint belongs into the
-    shared folder, so another driver can go on where this one ended.
+    Every batch writes the windows it changed under its number, so windows that are still open
+    are there as well, and a batch that is repeated after a failure replaces what it wrote. The
+    checkpoint belongs into the shared folder, so another driver can go on where this one ended.
+    The state stays bounded by the watermark.
     """
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite").parquet(
+            f"{table_path}/run={batch}"
+        )
+
     return (
-        rolled.writeStream.format("parquet").outputMode(output_mode)
-        .option("checkpointLocation", checkpoint).option("path", table_path)
-        .trigger(availableNow=True).start()
+        rolled.writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def newest(written: DataFrame) -> DataFrame:
+    """Each window as the last batch that changed it left it."""
+    keys = ("window_start", "function")
+    values = [c for c in written.columns if c not in (*keys, "batch", "run")]
+    last = F.max_by(F.struct(*values), "batch").alias("_last")
+    return written.groupBy(*keys).agg(last).select(*keys, "_last.*")
