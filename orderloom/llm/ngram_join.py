@@ -14,6 +14,7 @@ per posting list, and only pairs that are not connected by that are enumerated.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -230,14 +231,25 @@ def _slack(n: str, m: str, other_n: str, other_m: str, percent: int) -> Column:
     return F.greatest(behind(n, m), behind(other_n, other_m)) - need
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def _verified(
+    pairs: DataFrame, texts: DataFrame, words: int, percent: int, filter_bits: int
+) -> DataFrame:
+    """The stored pairs (a, b) whose whole sets are similar enough, stored.
+
+    Only documents of a pair are shingled again; their texts stay where they are.
+    """
+    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id")))
+    wanted = handed_over(row_filter(ids, F.col("_id"), filter_bits), "pair-filter")
+    passing = with_pass(texts.where("_id IS NOT NULL"), wanted, F.col("_id"), "_go", filter_bits)
+    sets = handed_over(_sets(passing.where("_go").select("_id", "_text"), words), "sets")
     ours = sets.select(F.col("_id").alias("a"), F.col("_set").alias("_ours"))
     theirs = sets.select(F.col("_id").alias("b"), F.col("_set").alias("_theirs"))
     met = pairs.select("a", "b").join(ours, "a").join(theirs, "b")
     both = F.size(F.array_intersect("_ours", "_theirs")).cast("long")
     either = F.size("_ours") + F.size("_theirs") - both
-    return met.where(both * 100 >= either * percent).select("a", "b")
+    found = handed_over(met.where(both * 100 >= either * percent).select("a", "b"), "found")
+    release(wanted, sets)
+    return found
 
 
 def similar_groups(
@@ -266,7 +278,7 @@ def similar_groups(
         _prefixes(passing.where("_go").select("_id", "_text"), counts, words, percent).where("_n > 0"),
         "prefixes",
     )
-    postings = prefixes.select("_id", "_n", "_m", F.explode("_tokens").alias("_token"))
+    postings = prefixes.select(F.explode("_tokens").alias("_token"), "_id")
     shared = handed_over(
         postings.groupBy("_token").agg(F.count("*").alias("_d")).where("_d > 1").select("_token"),
         "shared",
@@ -276,12 +288,18 @@ def similar_groups(
         .join(classes.select(F.col("_rep").alias("_id")), "_id", "left_semi"),
         "live",
     )
-    release(shared, reps)
-    live_filter = handed_over(row_filter(live, F.col("_id"), filter_bits), "live-filter")
-    passing = with_pass(texts.where("_id IS NOT NULL"), live_filter, F.col("_id"), "_go", filter_bits)
-    sets = handed_over(_sets(passing.where("_go").select("_id", "_text"), words), "sets")
-    groups = _connected(live, prefixes.select("_id", *BITS), sets, percent)
-    release(prefixes, live, live_filter, sets)
+    facts = handed_over(
+        prefixes.select("_id", "_n", "_m", *BITS)
+        .join(live.select("_id").distinct(), "_id", "left_semi"),
+        "facts",
+    )
+    release(prefixes, shared, reps)
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, texts, words, percent, filter_bits)
+
+    groups = _connected(live, facts, similar, percent)
+    release(live, facts)
     in_class = handed_over(
         classes.join(groups, F.col("_rep") == F.col("node"), "left").select(
             "_n", "_s1", "_s2", F.coalesce("component", "_rep").alias("component_id")
@@ -297,17 +315,25 @@ def similar_groups(
     return alone.unionByName(met)
 
 
-def _connected(live: DataFrame, bitmaps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Components (node, component) of the documents in posting lists."""
+def _connected(
+    live: DataFrame, facts: DataFrame, similar: Callable[[DataFrame], DataFrame], percent: int
+) -> DataFrame:
+    """Components (node, component) of the documents in posting lists.
+
+    ``facts`` has a row per document: size, m and bitmap of its set.
+    """
     links = tried = groups = before = None
     total = live.count()
-    placed = live.withColumn("_group", F.col("_id"))
+    sizes = facts.select("_id", "_n", "_m")
     for number in range(ROUNDS + 1):
-        if groups is not None:
-            placed = live.join(
+        if groups is None:
+            grouped = sizes.withColumn("_group", F.col("_id"))
+        else:
+            grouped = sizes.join(
                 groups.select(F.col("node").alias("_id"), F.col("component").alias("_group")),
                 "_id", "left",
             ).withColumn("_group", F.coalesce("_group", "_id"))
+        placed = live.join(grouped, "_id")
         # lists that hold several groups, and how many pairs of different groups they hold
         held = handed_over(placed, "placed")
         by_group = held.groupBy("_token", "_group").agg(F.count("*").alias("_d"))
@@ -328,18 +354,20 @@ def _connected(live: DataFrame, bitmaps: DataFrame, sets: DataFrame, percent: in
         if pairs_left <= FEW_PAIRS * total or stuck or number == ROUNDS:
             break
         before = pairs_left
-        found, tried = _pivot_links(some, sets, number, tried, percent)
+        found, tried = _pivot_links(some, similar, number, tried, percent)
         links = found if links is None else handed_over(links.unionByName(found), "links")
         release(some)
         groups = handed_over(components(links), "groups")
-    found = _remaining_links(some.join(bitmaps, "_id"), sets, tried, percent)
+    bitmaps = facts.select("_id", *BITS)
+    found = _remaining_links(some.join(bitmaps, "_id"), similar, tried, percent)
     release(some)
     links = found if links is None else links.unionByName(found)
     return handed_over(components(links), "groups")
 
 
 def _pivot_links(
-    some: DataFrame, sets: DataFrame, number: int, tried: DataFrame | None, percent: int
+    some: DataFrame, similar: Callable[[DataFrame], DataFrame], number: int,
+    tried: DataFrame | None, percent: int,
 ) -> tuple[DataFrame, DataFrame]:
     """Compare every document with the pivot that it meets in most of its lists.
 
@@ -366,13 +394,14 @@ def _pivot_links(
     best = handed_over(
         pairs.groupBy("a").agg(F.max_by("b", F.struct("_met", "b")).alias("b")), "best"
     )
-    found = handed_over(_verified(best, sets, percent), "found")
+    found = similar(best)
     release(pivots)
     return found, best if tried is None else handed_over(tried.unionByName(best), "tried")
 
 
 def _remaining_links(
-    some: DataFrame, sets: DataFrame, tried: DataFrame | None, percent: int
+    some: DataFrame, similar: Callable[[DataFrame], DataFrame], tried: DataFrame | None,
+    percent: int,
 ) -> DataFrame:
     """All links between documents of different groups.
 
@@ -408,6 +437,6 @@ def _remaining_links(
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = pairs.join(known, ["a", "b"], "left_anti")
     pairs = handed_over(pairs, "pairs")
-    found = handed_over(_verified(pairs, sets, percent), "found")
+    found = similar(pairs)
     release(pairs, some)
     return found
