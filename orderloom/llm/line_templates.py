@@ -24,19 +24,16 @@ CONSTANT_PERCENT = 60
 FIELD = "<*>"
 
 
-def _tokens(line: str) -> Column:
-    """Tokens of a line; those with a digit are fields."""
-    return F.expr(
-        f"transform(filter(split({line}, ' '), t -> t <> ''), "
-        f"t -> IF(t RLIKE '[0-9]', '{FIELD}', t))"
-    )
-
-
 def _lines(docs: DataFrame, depth: int, least_tokens: int) -> DataFrame:
     """_id, _text_hash, _at, _tokens, _leaf of every line that has a template."""
     split = docs.select("_id", "_text_hash", F.posexplode(F.split("_text", "\n")).alias("_at", "_line"))
-    tokens = split.select("_id", "_text_hash", "_at", _tokens("_line").alias("_tokens"))
-    leaf = F.xxhash64(F.size("_tokens"), F.slice("_tokens", 1, depth))
+    tokens = split.select(
+        "_id", "_text_hash", "_at", F.array_remove(F.split("_line", " "), "").alias("_tokens")
+    )
+    lead = F.transform(
+        F.slice("_tokens", 1, depth), lambda t: F.when(t.rlike("[0-9]"), FIELD).otherwise(t)
+    )
+    leaf = F.xxhash64(F.size("_tokens"), lead)
     return tokens.where(F.size("_tokens") >= least_tokens).withColumn("_leaf", leaf)
 
 
@@ -69,7 +66,7 @@ def recurring_lines(
         with_pass(lines, in_leaf, F.col("_leaf"), "_go", filter_bits).where("_go").select(
             "_leaf", "_id", "_text_hash", "_at", F.size("_tokens").alias("_size"),
             F.posexplode("_tokens").alias("_place", "_token"),
-        ).select("*", F.xxhash64("_token").alias("_word"), (F.col("_token") == FIELD).alias("_field"))
+        ).select("*", F.xxhash64("_token").alias("_word"), F.col("_token").rlike("[0-9]").alias("_field"))
         .drop("_token"),
         "cells",
     )
