@@ -21,6 +21,9 @@ for _name in (
 ):
     S[_name] = f"select * from {_name}"
 
+S["stored_silver"] = S["silver_customers"]
+S["stored_gold"] = S["gold_customer_segments"]
+S["stored_marts"] = S["fct_orders"]
 S["gold_monthly_kpis"] = S["gold_monthly"] = "select * from gold_monthly"
 S["gold_delivery_by_state"] = "select * from gold_by_state where total_orders >= 100"
 S["churn_features_silver"] = "select * from silver_churn_features"
@@ -33,6 +36,7 @@ select cast(order_id as varchar) as order_id, cast(order_item_id as varchar) as
        shipping_limit_date, price, freight_value from src_order_items"""
 S["bronze_order_payments"] = """
 select * replace (cast(order_id as varchar) as order_id) from src_order_payments"""
+S["stored_bronze"] = S["bronze_order_payments"]
 S["bronze_order_reviews"] = """
 select review_id, cast(order_id as varchar) as order_id, review_score, review_comment_title,
        review_comment_message, review_creation_date as review_created_at,

@@ -17,6 +17,7 @@ from ..operators import (
 from ..session import fresh_path, handed_over
 from ..sources import files, schemas, tables
 from ..streaming import audit_live
+from . import build
 from .shop import MODELS, Shop
 
 Build = Callable[[Shop], DataFrame]
@@ -98,11 +99,46 @@ def _(s):
     name = _table_name("raw_order_reviews")
     files.ingest_csv(
         spark, folder, file_name, schemas.ORDER_REVIEWS, name,
-        files.bronze_shape("order_reviews"), fresh_path(spark, "bronze"),
+        files.bronze_shape("order_reviews"), fresh_path(spark, "bronze"), multi_line=True,
     )
     return spark.table(name).drop("_ingested_at")
 
 
+def _layers(s: Shop) -> dict[str, str]:
+    """All sources as CSV files, through the three stored layers; the schema of each layer."""
+    spark = _spark(s)
+    folder = fresh_path(spark, "csv")
+    names = {source: f"{source}.csv" for source in schemas.SOURCES}
+    for source, file_name in names.items():
+        files.write_csv(s.src[source], f"{folder}/{file_name}")
+    layers = {layer: _table_name(layer) for layer in ("bronze", "silver", "gold")}
+    build.build_layers(spark, folder, names, layers, fresh_path(spark, "layers"))
+    return layers
+
+
+@query("stored_bronze")
+def _(s):
+    return _spark(s).table(f"{_layers(s)['bronze']}.raw_order_payments").drop(
+        "_ingested_at", "_source_file")
+
+
+@query("stored_silver")
+def _(s):
+    return _spark(s).table(f"{_layers(s)['silver']}.silver_customers").drop("_transformed_at")
+
+
+@query("stored_gold")
+def _(s):
+    return _spark(s).table(f"{_layers(s)['gold']}.gold_customer_segments").drop("_updated_at")
+
+
+@query("stored_marts")
+def _(s):
+    schema = _table_name("marts")
+    build.build_marts(_spark(s), s, schema, fresh_path(_spark(s), "marts"))
+    return _spark(s).table(f"{schema}.fct_orders")
+
+
 @query("scan_csv_inferred")
 def _(s):
     folder, file_name = _csv_copy(s, "order_payments")

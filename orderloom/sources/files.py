@@ -137,9 +137,13 @@ def with_lineage(df: DataFrame, file_name: str | None = None, stamp: str = "_ing
 def ingest_csv(
     spark: SparkSession, folder: str, file_name: str, ddl: str, table: str,
     shape: Shape | None = None, path: str | None = None, table_format: str = "parquet",
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> int:
-    """Read one CSV, shape it, add lineage and replace the table; returns its row count."""
+    """Read one CSV, shape it, add lineage and replace the table; returns its row count.
+
+    ``multi_line`` is for texts with line breaks; each file is one task then, so such a source
+    must be a folder of many files of bounded size.
+    """
     df = read_csv(spark, f"{folder.rstrip('/')}/{file_name}", ddl, multi_line)
     if shape is not None:
         df = df.transform(shape)

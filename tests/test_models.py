@@ -156,7 +156,11 @@ def test_run_sql_reads_only(spark, shop):
     assert ok.count() == 4
     for bad in ("DROP VIEW people_view", "SELECT 1; DROP VIEW people_view", "",
                 "WITH x AS (SELECT 1) INSERT INTO t SELECT * FROM x",
-                "SELECT 1) q; DROP VIEW people_view --"):
+                "SELECT 1) q; DROP VIEW people_view --",
+                "SELECT reflect('java.lang.System', 'getProperty', 'user.home')",
+                "SELECT 1 WHERE EXISTS (SELECT java_method('java.util.UUID', 'randomUUID'))",
+                "SELECT * FROM parquet.`/root/testdata/sf0.001/nation.parquet`",
+                "WITH x AS (SELECT * FROM csv.`/etc/hosts`) SELECT * FROM x"):
         with pytest.raises(Exception):
             serving.run_sql(spark, bad).collect()
     assert spark.catalog.tableExists("people_view")

@@ -105,17 +105,13 @@ def test_audit_records(spark):
 def test_followed_log_equals_the_batch_rollup(spark, small_folder):
     log = Shop.over_fixtures(spark, small_folder).audit_log
     path, out, state = (fresh_path(spark, p) for p in ("log", "out", "state"))
-    last = log.agg(F.max("timestamp")).first()[0]
     for part in (F.col("timestamp") < "2024-01-10", F.col("timestamp") >= "2024-01-10"):
         files.append_audit(log.where(part), path)
         rolled = audit_live.rollup(audit_live.read_log_stream(spark, path, 1))
         audit_live.follow(rolled, out, state).awaitTermination()
-    streamed = sorted(values(spark.read.schema(rolled.schema).parquet(out)))
-    batch = sorted(values(audit_live.rollup(files.read_audit_log(spark, path))))
-    # windows the watermark has not passed yet are still open
-    closed = [r for r in batch if r[0].isoformat() < last[:13]]
-    assert streamed and set(streamed) <= set(batch)
-    assert len(streamed) >= len(closed) - 5 and len(set(streamed)) == len(streamed)
+    written = spark.read.schema(audit_live.written_schema(rolled)).parquet(out)
+    streamed = sorted(values(audit_live.newest(written)))
+    assert streamed and streamed == sorted(values(audit_live.rollup(files.read_audit_log(spark, path))))
 
 
 def test_checks_report_every_kind_of_failure(spark):
@@ -167,3 +163,22 @@ def test_layers_from_csv_equal_the_direct_models(spark, small_folder, tmp_path):
         values(shop.gold_customer_segments), key=repr)
     direct = Shop.over_csv(spark, str(tmp_path), names)
     assert direct.int_orders.count() == counts["raw_orders"]
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    from orderloom import session
+    monkeypatch.setattr(session, "_one_machine", lambda master: False)
+    if spark.conf.get(session.CHECKPOINTS, None) is None:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_folder(spark)
+
+
+def test_handed_over_rows_are_released(spark):
+    from orderloom import session
+    kept = session.handed_over(spark.range(5))
+    assert kept.count() == 5 and "parquet" in kept._jdf.queryExecution().toString().lower()
+    session.release(kept)
+    with pytest.raises(Exception):
+        spark.read.parquet(kept._handed_path)
+    with pytest.raises(ValueError):
+        session.remove(spark, "/tmp")

@@ -4,6 +4,8 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
 from orderloom.operators import churn, ml, stats
 from orderloom.plans.shop import Shop
 from orderloom.session import handed_over
@@ -15,18 +17,20 @@ from conftest import values
     (0.0, 5, 1.0), (2.0, 10, 0.0733880348), (-2.0, 10, 0.0733880348), (12.706, 1, 0.05),
     (1.959964, 1e9, 0.05), (0.5, 3, 0.651445),
 ])
-def test_t_tail(t, df, p):
-    assert stats.two_sided_p(t, df) == pytest.approx(p, rel=2e-4)
+def test_t_tail(spark, t, df, p):
+    row = spark.sql(f"SELECT {t}D AS t, {df}D AS df").select(stats.two_sided_p("t", "df")).first()
+    assert row[0] == pytest.approx(p, rel=2e-4)
 
 
 @pytest.mark.parametrize("t, df", [(5.0, 30), (1.3, 4.7), (3.0, 12.5)])
-def test_t_tail_equals_the_integrated_density(t, df):
+def test_t_tail_equals_the_integrated_density(spark, t, df):
     scale = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
     steps, inside = 20_000, 0.0
     for i in range(steps):
         x = (i + 0.5) * t / steps
         inside += scale * (1 + x * x / df) ** (-(df + 1) / 2) * t / steps
-    assert stats.two_sided_p(t, df) == pytest.approx(1 - 2 * inside, rel=1e-3)
+    row = spark.sql(f"SELECT {t}D AS t, {df}D AS df").select(stats.two_sided_p("t", "df")).first()
+    assert row[0] == pytest.approx(1 - 2 * inside, rel=1e-3)
 
 
 def test_group_comparison(spark):
@@ -63,7 +67,9 @@ def scored(spark):
     rows = []
     for i in range(400):
         label = int(random.random() < 0.8)
-        rows.append((f"p{i}", label, round(min(max(random.gauss(0.4 + 0.3 * label, 0.2), 0.0), 1.0), 2)))
+        score = min(max(random.gauss(0.4 + 0.3 * label, 0.2), 0.0), 1.0)
+        # every other score keeps all its digits, the others make ties
+        rows.append((f"p{i}", label, score if i % 2 else round(score, 1)))
     return spark.createDataFrame(rows, "customer_unique_id string, label int, score double")
 
 
@@ -114,23 +120,32 @@ def test_models_fit_and_score(spark, small_folder):
     n = features.count()
     sizes = {ml.LOGISTIC: {"maxIter": 20}, ml.FOREST: {"numTrees": 5, "maxDepth": 3},
              ml.BOOSTED: {"maxIter": 3, "maxDepth": 3}}
+    compared = {}
     for model, size in sizes.items():
         prepared, fitted, ready = ml.fit(features, model, drop_leaky=True, **size)
         scored = handed_over(ml.scores(fitted, ready))
         assert scored.count() == n
         assert scored.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+        pairs = scored.alias("a").join(scored.alias("b"), F.expr("a.label = 1 AND b.label = 0"))
+        won = "avg(CASE WHEN a.score > b.score THEN 1D WHEN a.score = b.score THEN 0.5D ELSE 0D END)"
+        auc = pairs.select(F.expr(won)).first()[0]
+        assert ml.ranking_quality(scored).first().roc_auc == pytest.approx(auc)
+        compared[model] = scored
         numeric = [c for c in churn.NUMERIC_FEATURES if c not in churn.LEAKY_FEATURES]
         names = ml.feature_names(prepared, numeric)
         assert ml.importance(fitted, names).count() == len(names) == ready.first().features.size
         out = ml.predictions(scored, ml.best_threshold(scored), model)
         assert out.where("predicted_label NOT IN (0, 1)").count() == 0
+    table = ml.comparison(compared).collect()
+    assert sorted(r.model for r in table) == sorted(ml.MODELS)
+    assert [r.roc_auc for r in table] == sorted((r.roc_auc for r in table), reverse=True)
     with pytest.raises(ValueError):
         ml.classifier("other")
 
 
 def test_unseen_category_is_all_zeros(spark):
     train = spark.createDataFrame([(1.0, "a"), (3.0, "b")], "n double, c string")
-    prepared = ml.feature_pipeline(["n"], ["c"]).fit(train)
+    prepared = ml.feature_pipeline(train, ["n"], ["c"]).fit(train)
     fresh = spark.createDataFrame([(2.0, "z"), (2.0, "b")], "n double, c string")
     got = [list(r.features.toArray()) for r in prepared.transform(fresh).collect()]
     assert got == [[0.0, 0.0, 0.0], [0.0, 0.0, 1.0]]
