@@ -5,7 +5,7 @@ from collections import defaultdict
 
 from orderloom.llm import exact_dedup, secret_scan, sharding
 
-from odd_rows import ROWS
+from odd_rows import ROWS, empty, odd  # noqa: F401
 
 
 def test_exact_groups_match_brute_force(odd):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from orderloom.llm import decontaminate, line_templates, ngram_join, revisits
 from orderloom.llm.components import components
 
-from odd_rows import ROWS
+from odd_rows import ROWS, empty, odd  # noqa: F401
 
 
 def brute_groups(rows, words=5, percent=80):

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from orderloom.llm import bpe, language, queries, toxicity
 
-from odd_rows import ROWS
+from odd_rows import ROWS, empty, odd  # noqa: F401
 
 TEXTS = [
     "", "hello world's we'll 123 ___", "<|endoftext|> a<|startoftext|>b", "ΣΑΣ İstanbul ẞ café",
