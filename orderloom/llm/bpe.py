@@ -24,7 +24,7 @@ from .shared import content, travels
 travels(__name__)
 
 #: Words a worker remembers; when full it forgets them all, which changes no result.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 WORD_END = "</w>"
 #: Letters whose class and case have long been settled. A text with any other is normalised and
 #: split by the tokenizers library, whose Unicode tables may be older or newer than Python's.
@@ -51,7 +51,7 @@ class Pairs:
 
     NEVER = 1 << 60
 
-    def __init__(self, ranks: dict[tuple[str, str], int], limit: int = 1 << 19):
+    def __init__(self, ranks: dict[tuple[str, str], int], limit: int = 1 << 18):
         self.ranks, self.limit = ranks, limit
         self.parts = {a + b: (a, b) for (a, b) in ranks}
         self.edges: dict[tuple[str, int], list[tuple[str, int]]] = {}

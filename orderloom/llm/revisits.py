@@ -58,7 +58,7 @@ def _latest_full(records: DataFrame) -> DataFrame:
         F.max_by(full, F.when(F.col("_full"), F.struct("_at", "_id"))).alias("_tail")
     )
     ends = by_address.groupBy("_slice").agg(
-        F.min("_address").alias("_first"), F.max(F.struct("_address", "_tail")["_address"]).alias("_last"),
+        F.min("_address").alias("_first"), F.max("_address").alias("_last"),
         F.max_by("_tail", "_address").alias("_tail"),
     )
     # an address that goes on from slice to slice: before its start in a slice comes what the
