@@ -30,7 +30,7 @@ def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     name = unique("raw_reviews")
     n = files.ingest_csv(
         spark, str(tmp_path), "reviews.csv", schemas.ORDER_REVIEWS, name,
-        files.bronze_shape("order_reviews"), fresh_path(spark, "bronze"))
+        files.bronze_shape("order_reviews"), fresh_path(spark, "bronze"), multi_line=True)
     rows = {r.review_id: r for r in spark.table(name).collect()}
     assert n == len(rows) == 2
     assert rows["r1"].review_comment_message == 'good, "very"\nreally'
