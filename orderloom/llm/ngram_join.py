@@ -33,9 +33,10 @@ WORDS, PERCENT = 5, 80
 SKETCH_BITS, SKETCH_BLOCK = 21, 2**14
 #: Largest m, and how many postings one comparison of two sets costs.
 LONGEST, COMPARISON = 8, 20.0
-#: Rounds of pivots end when so few pairs per posting remain, when a later round leaves more than this
-#: share of the pairs, or after so many rounds. The rest is enumerated, whatever its number.
-FEW_PAIRS, STUCK, ROUNDS = 4, 0.8, 6
+#: Rounds of pivots end when so few pairs per posting remain, after a round that links less than
+#: this share of the documents it compares, or after so many rounds. The rest is enumerated,
+#: whatever its number.
+FEW_PAIRS, WORTHWHILE, ROUNDS = 4, 0.5, 5
 #: Words of 64 bits in the parity bitmap of a set.
 BIT_WORDS = 4
 BITS = [f"_bits{i}" for i in range(BIT_WORDS)]
@@ -322,14 +323,14 @@ def _connected(
 
     ``facts`` has a row per document: size, m and bitmap of its set.
     """
-    links = tried = groups = before = None
+    links = tried = groups = None
+    last = False
     total = live.count()
-    sizes = facts.select("_id", "_n", "_m")
     for number in range(ROUNDS + 1):
         if groups is None:
-            grouped = sizes.withColumn("_group", F.col("_id"))
+            grouped = facts.withColumn("_group", F.col("_id"))
         else:
-            grouped = sizes.join(
+            grouped = facts.join(
                 groups.select(F.col("node").alias("_id"), F.col("component").alias("_group")),
                 "_id", "left",
             ).withColumn("_group", F.coalesce("_group", "_id"))
@@ -350,53 +351,65 @@ def _connected(
         ).first()[0]
         some = handed_over(held.join(mixed.select("_token", "_largest"), "_token"), "in-mixed")
         release(held, mixed)
-        stuck = number > 2 and pairs_left > before * STUCK
-        if pairs_left <= FEW_PAIRS * total or stuck or number == ROUNDS:
+        if pairs_left <= FEW_PAIRS * total or last or number == ROUNDS:
             break
-        before = pairs_left
-        found, tried = _pivot_links(some, similar, number, tried, percent)
+        found, best, tried = _pivot_links(some, similar, number, tried, percent)
+        last = found.count() < WORTHWHILE * best.count()
         links = found if links is None else handed_over(links.unionByName(found), "links")
         release(some)
         groups = handed_over(components(links), "groups")
-    bitmaps = facts.select("_id", *BITS)
-    found = _remaining_links(some.join(bitmaps, "_id"), similar, tried, percent)
+    found = _remaining_links(some, similar, tried, percent)
     release(some)
     links = found if links is None else links.unionByName(found)
     return handed_over(components(links), "groups")
 
 
+def _differing(left: str, right: str) -> Column:
+    """Bits in which two bitmaps differ: at most the shingles in which their sets do."""
+    return sum(
+        F.bit_count(F.col(f"{left}{w}").bitwiseXOR(F.col(f"{right}{w}"))) for w in BITS
+    )
+
+
+def _most_differing(n: str, other: str, percent: int) -> Column:
+    """Shingles in which sets of these sizes may differ and still be similar."""
+    both = F.col(n) + F.col(other)
+    return both - 2 * F.ceil(both * percent / (100 + percent))
+
+
 def _pivot_links(
     some: DataFrame, similar: Callable[[DataFrame], DataFrame], number: int,
     tried: DataFrame | None, percent: int,
-) -> tuple[DataFrame, DataFrame]:
-    """Compare every document with the pivot that it meets in most of its lists.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Compare every document with the most alike, by its bitmap, of its lists' pivots.
 
-    A list's pivot is drawn anew in each round, from its largest group once there is one.
+    Each list draws its own pivot in each round, from its largest group once there is one, so a
+    document meets as many of a large group as it has shingles in common with it.
     """
     outside = F.lit(False) if number == 0 else F.col("_group") != F.col("_largest")
-    draw = F.struct(outside.alias("outside"), F.xxhash64("_id", F.lit(number)).alias("draw"))
+    draw = F.struct(outside.alias("outside"), F.xxhash64("_id", "_token", F.lit(number)).alias("draw"))
     pivots = handed_over(
         some.groupBy("_token").agg(F.min(F.struct(
-            draw.alias("draw"), F.col("_id").alias("b"), F.col("_group").alias("_b_group"),
-            F.col("_n").alias("_b_n"), F.col("_m").alias("_b_m"),
+            draw.alias("draw"), F.col("_id").alias("_p_id"), F.col("_group").alias("_p_group"),
+            F.col("_n").alias("_p_n"), *[F.col(w).alias(f"_p{w}") for w in BITS],
         )).alias("_pivot")).select("_token", "_pivot.*").drop("draw"),
         "pivots",
     )
-    pairs = (
-        some.join(pivots, "_token")
-        .where((F.col("_group") != F.col("_b_group")) & _similar_size(F.col("_n"), F.col("_b_n"), percent))
-        .groupBy(F.col("_id").alias("a"), "b").agg(
-            F.count("*").alias("_met"), F.max(_slack("_n", "_m", "_b_n", "_b_m", percent)).alias("_slack"))
-        .where("_met >= -_slack")
+    pairs = some.join(pivots, "_token").withColumn("_far", _differing("", "_p")).where(
+        (F.col("_group") != F.col("_p_group")) & _similar_size(F.col("_n"), F.col("_p_n"), percent)
+        & (F.col("_far") <= _most_differing("_n", "_p_n", percent))
     )
     if tried is not None:
-        pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        known = tried.select(F.col("a").alias("_id"), F.col("b").alias("_p_id"))
+        pairs = pairs.join(known, ["_id", "_p_id"], "left_anti")
     best = handed_over(
-        pairs.groupBy("a").agg(F.max_by("b", F.struct("_met", "b")).alias("b")), "best"
+        pairs.groupBy(F.col("_id").alias("a")).agg(
+            F.min_by("_p_id", F.struct("_far", "_p_id")).alias("b")),
+        "best",
     )
     found = similar(best)
     release(pivots)
-    return found, best if tried is None else handed_over(tried.unionByName(best), "tried")
+    return found, best, best if tried is None else handed_over(tried.unionByName(best), "tried")
 
 
 def _remaining_links(
@@ -409,7 +422,6 @@ def _remaining_links(
     so that side is the smaller one. Pairs whose bitmaps differ in more bits than their sets may
     differ in shingles are left out while the lists are met.
     """
-    some = handed_over(some, "with-bitmaps")
     left = some.where("_group <> _largest").select(
         *[F.col(w).alias(f"_a{w}") for w in BITS],
         "_token", F.col("_id").alias("_a"), F.col("_n").alias("_a_n"), F.col("_m").alias("_a_m"),
@@ -420,10 +432,8 @@ def _remaining_links(
         "_token", F.col("_id").alias("_b"), F.col("_n").alias("_b_n"), F.col("_m").alias("_b_m"),
         F.col("_group").alias("_b_group"), (F.col("_group") == F.col("_largest")).alias("_b_large"),
     )
-    differing = sum(F.bit_count(F.col(f"_a{w}").bitwiseXOR(F.col(f"_b{w}"))) for w in BITS)
-    sizes = F.col("_a_n") + F.col("_b_n")
     met = left.join(right, "_token").where(
-        (differing <= sizes - 2 * F.ceil(sizes * percent / (100 + percent)))
+        (_differing("_a", "_b") <= _most_differing("_a_n", "_b_n", percent))
         & (F.col("_a_group") != F.col("_b_group")) & (F.col("_b_large") | (F.col("_a") < F.col("_b")))
         & _similar_size(F.col("_a_n"), F.col("_b_n"), percent)
     )
@@ -438,5 +448,5 @@ def _remaining_links(
         pairs = pairs.join(known, ["a", "b"], "left_anti")
     pairs = handed_over(pairs, "pairs")
     found = similar(pairs)
-    release(pairs, some)
+    release(pairs)
     return found
