@@ -33,10 +33,9 @@ WORDS, PERCENT = 5, 80
 SKETCH_BITS, SKETCH_BLOCK = 21, 2**14
 #: Largest m, and how many postings one comparison of two sets costs.
 LONGEST, COMPARISON = 8, 20.0
-#: Rounds of pivots end when so few pairs per posting remain, after a round that links less than
-#: this share of the documents it compares, or after so many rounds. The rest is enumerated,
-#: whatever its number.
-FEW_PAIRS, WORTHWHILE, ROUNDS = 4, 0.5, 5
+#: Rounds of pivots end after one that links less than this share of the documents it compares, or
+#: after so many. The rest is enumerated, whatever its number.
+WORTHWHILE, ROUNDS = 0.5, 5
 #: Words of 64 bits in the parity bitmap of a set.
 BIT_WORDS = 4
 BITS = [f"_bits{i}" for i in range(BIT_WORDS)]
@@ -325,7 +324,6 @@ def _connected(
     """
     links = tried = groups = None
     last = False
-    total = live.count()
     for number in range(ROUNDS + 1):
         if groups is None:
             grouped = facts.withColumn("_group", F.col("_id"))
@@ -335,23 +333,17 @@ def _connected(
                 "_id", "left",
             ).withColumn("_group", F.coalesce("_group", "_id"))
         placed = live.join(grouped, "_id")
-        # lists that hold several groups, and how many pairs of different groups they hold
+        # lists that hold several groups, and the largest of these
         held = handed_over(placed, "placed")
         by_group = held.groupBy("_token", "_group").agg(F.count("*").alias("_d"))
-        mixed = handed_over(
-            by_group.groupBy("_token").agg(
-                F.count("*").alias("_groups"), F.sum("_d").alias("_all"),
-                F.sum(F.col("_d") * F.col("_d")).alias("_squares"),
-                F.max_by("_group", F.struct("_d", "_group")).alias("_largest"),
-            ).where("_groups > 1"),
-            "mixed",
-        )
-        pairs_left = mixed.agg(
-            F.coalesce(F.sum(F.expr("(_all * _all - _squares) / 2")), F.lit(0.0))
-        ).first()[0]
-        some = handed_over(held.join(mixed.select("_token", "_largest"), "_token"), "in-mixed")
+        mixed = by_group.groupBy("_token").agg(
+            F.count("*").alias("_groups"),
+            F.max_by("_group", F.struct("_d", "_group")).alias("_largest"),
+        ).where("_groups > 1")
+        mixed = handed_over(mixed.select("_token", "_largest"), "mixed")
+        some = handed_over(held.join(mixed, "_token"), "in-mixed")
         release(held, mixed)
-        if pairs_left <= FEW_PAIRS * total or last or number == ROUNDS:
+        if last or number == ROUNDS:
             break
         found, best, tried = _pivot_links(some, similar, number, tried, percent)
         last = found.count() < WORTHWHILE * best.count()

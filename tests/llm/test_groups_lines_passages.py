@@ -55,9 +55,8 @@ def test_similar_groups_match_brute_force(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_groups(docs).collect()}
     assert found == brute_groups(rows)
-    # the same with pivots until no list holds two groups
-    monkeypatch.setattr(ngram_join, "FEW_PAIRS", 0)
-    monkeypatch.setattr(ngram_join, "ROUNDS", 2)
+    # the same without any pivot
+    monkeypatch.setattr(ngram_join, "ROUNDS", 0)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_groups(docs).collect()}
     assert found == brute_groups(rows)
 
