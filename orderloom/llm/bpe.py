@@ -19,12 +19,12 @@ import regex
 from tokenizers import Tokenizer
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import content, travels
+from .shared import content, slices, travels
 
 travels(__name__)
 
 #: Words a worker remembers; when full it forgets them all, which changes no result.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 WORD_END = "</w>"
 #: Letters whose class and case have long been settled. A text with any other is normalised and
 #: split by the tokenizers library, whose Unicode tables may be older or newer than Python's.
@@ -231,7 +231,7 @@ def encoded(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
         encoder = value.get("encoder")
         if encoder is None:  # one for all tasks of a worker
             encoder = value["encoder"] = Encoder(value["definition"])
-        for batch in batches:
+        for batch in slices(batches):
             found = [encoder.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             columns = batch.columns[:-1]
             columns.append(pa.array([f[2] for f in found], pa.int64()))

@@ -14,7 +14,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import travels
+from .shared import slices, travels
 
 travels(__name__)
 
@@ -149,7 +149,7 @@ def with_hits(
             finder = value.get("finder")
             if finder is None:  # one for all tasks of a worker
                 finder = value["finder"] = Finder(value["items"], error_share)
-            for batch in batches:
+            for batch in slices(batches):
                 texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
                 before = batch.column(batch.schema.get_field_index("hits")).to_pylist()
                 after = [

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import handed_over, release
-from .shared import content, travels
+from .shared import content, slices, travels
 
 travels(__name__)
 
@@ -34,7 +34,7 @@ SMOOTHING = 0.01
 SCALE = 16.0
 LONG = 56
 #: Words a worker remembers; when full it forgets them all, which changes no result.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -290,13 +290,9 @@ def identified(
         scorer = value.get("scorer")
         if scorer is None:  # one for all tasks of a worker
             scorer = value["scorer"] = Scorer(Model(*value["model"]))
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            names, scores = [], []
-            for at in range(0, len(texts), 500):
-                n, s = scorer.texts(texts[at:at + 500])
-                names += n
-                scores += s
+            names, scores = scorer.texts(texts)
             keep = [batch.column(batch.schema.get_field_index(c)) for c in others]
             yield pa.RecordBatch.from_arrays(
                 [*keep, pa.array(names, pa.string()), pa.array(scores, pa.float64())],

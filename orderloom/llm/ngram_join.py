@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import handed_over, release
 from .components import components
-from .shared import FILTER_BITS, content, row_filter, travels, with_pass
+from .shared import FILTER_BITS, content, row_filter, slices, travels, with_pass
 
 travels(__name__)
 
@@ -122,7 +122,7 @@ def _summaries(texts: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
     def summarise(batches):
         counts = np.zeros(2**SKETCH_BITS, dtype=np.int64)
         id_type = None
-        for batch in batches:
+        for batch in slices(batches):
             id_type = batch.column(0).type
             sizes, first, second = [], [], []
             for text in batch.column(1).to_pylist():
@@ -183,7 +183,7 @@ def _prefixes(texts: DataFrame, counts: np.ndarray, words: int, percent: int) ->
 
     def cut(batches):
         seen = held.value
-        for batch in batches:
+        for batch in slices(batches):
             sizes, chosen, tokens, bits = [], [], [], []
             for text in batch.column(1).to_pylist():
                 whole = shingles(text, words)
@@ -208,7 +208,7 @@ def _prefixes(texts: DataFrame, counts: np.ndarray, words: int, percent: int) ->
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
     def whole(batches):
-        for batch in batches:
+        for batch in slices(batches):
             tokens = [shingles(t, words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(tokens)], names=["_id", "_set"])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,6 +12,8 @@ from ..session import handed_over
 
 #: Bits of a row filter: 2**26 bits are 8 MB, sent to every executor.
 FILTER_BITS = 2**26
+#: Rows that a Python worker takes apart at a time.
+SLICE_ROWS = 500
 #: One row of Spark's bitmap functions holds so many bits.
 BITMAP = 32768
 
@@ -20,6 +23,13 @@ def travels(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def slices(batches: Iterator, rows: int = SLICE_ROWS) -> Iterator:
+    """The same rows in smaller Arrow batches, which bounds what a Python worker holds at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def content(text: str = "text") -> Column:
     """A text, null counting as empty."""
     return F.coalesce(F.col(text), F.lit(""))
@@ -71,3 +81,6 @@ def without_keys(
     marked = with_pass(packed, filtered, F.col("_key"), "_go", bits)
     moved = marked.where("_go").join(gone, F.col("_key") == F.col("_gone"), "left_anti")
     return marked.where("NOT _go").unionByName(moved).select("_row.*")
+
+
+travels(__name__)

@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import handed_over, release
-from .shared import content, travels
+from .shared import content, slices, travels
 
 travels(__name__)
 
@@ -32,7 +32,7 @@ FEATURES = 50_000
 LEAST, DEVIATIONS = 3, 4.0
 STEPS, RATE, DECAY = 600, 0.05, 5e-4
 #: Words a worker remembers; when full it forgets them all, which changes no result.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 class Model(NamedTuple):
@@ -198,7 +198,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def score(batches):
         features, weights, bias = held.value
         known: dict[str, tuple[tuple[str, int, int], ...]] = {}
-        for batch in batches:
+        for batch in slices(batches):
             sums = []
             for t in batch.column(batch.num_columns - 1).to_pylist():
                 seen: set[str] = set()
