@@ -34,7 +34,7 @@ SMOOTHING = 0.01
 SCALE = 16.0
 LONG = 56
 #: Words a worker remembers; when full it forgets them all, which changes no result.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 LETTERS = regex.compile(r"\p{L}+")
 
 
