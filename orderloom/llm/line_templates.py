@@ -17,8 +17,8 @@ from .shared import FILTER_BITS, content, row_filter, with_pass
 DEPTH = 3
 #: Different texts that must share a constant, and a template.
 LEAST_TEXTS = 10
-#: Lines of fewer tokens have no template: brackets, rules, headings of a word.
-LEAST_TOKENS = 3
+#: Lines of a token or two have leaves too, their tokens; blank lines, of white space alone, have none.
+LEAST_TOKENS = 1
 #: Share of a line's tokens that must be constants, in a hundred.
 CONSTANT_PERCENT = 60
 FIELD = "<*>"
@@ -27,7 +27,7 @@ FIELD = "<*>"
 def _lines(docs: DataFrame, depth: int, least_tokens: int) -> DataFrame:
     """_id, _text_hash, _at, _tokens, _leaf of every line that has a template."""
     split = docs.select("_id", "_text_hash", F.posexplode(F.split("_text", "\n")).alias("_at", "_line"))
-    tokens = split.select(
+    tokens = split.where(F.col("_line").rlike(r"(?U)\S")).select(
         "_id", "_text_hash", "_at", F.array_remove(F.split("_line", " "), "").alias("_tokens")
     )
     lead = F.transform(

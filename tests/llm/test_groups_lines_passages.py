@@ -126,6 +126,16 @@ def test_recurring_lines_match_brute_force(spark):
         assert r.text == (text if len(kept) == len(lines) else "\n".join(kept))
 
 
+def test_short_lines_recur_and_blank_lines_stay(spark):
+    rows = [(i, f"Les.\r\n\r\n\t\nown{chr(97 + i)}\n\u3000\nAnd ornd.\n\n7") for i in range(12)]
+    found = line_templates.without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: (r.n_dropped, r.text) for r in found.where("doc_id > 0").collect()}
+    assert {k: t.split("\n")[:4] for k, (_, t) in got.items()} == {
+        i: ["\r", "\t", f"own{chr(97 + i)}", "\u3000"] for i in range(1, 12)}
+    assert {t.count("Les.") + t.count("And ornd.") for _, t in got.values()} == {0}
+    assert found.where("doc_id = 0").first().text == rows[0][1]
+
+
 def test_lines_of_odd_rows(odd, empty):
     found = line_templates.without_recurring_lines(odd)
     assert found.count() == len(ROWS) and found.columns == [*odd.columns, "n_lines", "n_dropped"]
