@@ -3,7 +3,8 @@
 A line descends a tree of fixed depth: by its number of tokens, then by its leading tokens. In
 the leaf it reaches, a token that many texts have at the same place is a constant; every other
 token, and any token with a digit, is a variable field. The line's template is its constants and
-their places. Templates that many different texts share are boilerplate.
+their places. Templates that many different texts share are boilerplate. How many are many is a
+matter of levels: the longer the lines and the larger the share of constants, the fewer texts do.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ LEAST_TEXTS = 10
 LEAST_TOKENS = 1
 #: Share of a line's tokens that must be constants, in a hundred.
 CONSTANT_PERCENT = 60
+#: Further levels: texts that suffice for lines of so many tokens, of which so many in a hundred
+#: are constants. A level's fewer texts hold for its constants too.
+FIRMER = ((5, 8, 80), (3, 20, 90), (2, 50, 90))
 FIELD = "<*>"
 
 
@@ -37,7 +41,7 @@ def _lines(docs: DataFrame, depth: int, least_tokens: int) -> DataFrame:
     return tokens.where(F.size("_tokens") >= least_tokens).withColumn("_leaf", leaf)
 
 
-def _common(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
+def _common(rows: DataFrame, keys: list[str], least: Column) -> DataFrame:
     """Keys that at least so many different texts have; copies of a text count once."""
     return (
         rows.select(*keys, "_text_hash").distinct()
@@ -45,26 +49,38 @@ def _common(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
     )
 
 
+def _fewest(size: Column, levels: tuple[tuple[int, int, int], ...]) -> Column:
+    """The texts that the easiest level asks for of lines of this size; null if none takes them."""
+    return F.array_min(F.array(*[F.when(size >= tokens, texts) for texts, tokens, _ in levels]))
+
+
 def recurring_lines(
     docs: DataFrame, text: str = "text", key: str = "doc_id", depth: int = DEPTH,
     least_texts: int = LEAST_TEXTS, least_tokens: int = LEAST_TOKENS,
     constant_percent: int = CONSTANT_PERCENT, filter_bits: int = FILTER_BITS,
+    firmer: tuple[tuple[int, int, int], ...] = FIRMER,
 ) -> DataFrame:
     """Lines to drop: _id, _text_hash, _at (from 0), _template; one row per line.
 
     The first occurrence of a template, by key and place, is not among them, so nothing
-    disappears from the corpus altogether.
+    disappears from the corpus altogether: a level that asks for fewer texts has all constants of
+    one that asks for more, its templates part those of the other, and the first line of the
+    widest template is the first of all its templates.
     """
+    levels = ((least_texts, least_tokens, constant_percent), *firmer)
     texts = docs.select(F.col(key).alias("_id"), content(text).alias("_text")).withColumn(
         "_text_hash", F.xxhash64("_text")
     )
-    lines = _lines(texts, depth, least_tokens)
-    leaves = handed_over(_common(lines, ["_leaf"], least_texts).select("_leaf"), "leaves")
+    lines = _lines(texts, depth, min(tokens for _, tokens, _ in levels))
+    lines = lines.withColumn("_fewest", _fewest(F.size("_tokens"), levels))
+    leaves = handed_over(
+        _common(lines, ["_leaf", "_fewest"], F.col("_fewest")).select("_leaf"), "leaves"
+    )
     in_leaf = handed_over(row_filter(leaves, F.col("_leaf"), filter_bits), "leaf-filter")
     # only lines of common leaves are taken apart; a few others pass the filter and change nothing
     cells = handed_over(
         with_pass(lines, in_leaf, F.col("_leaf"), "_go", filter_bits).where("_go").select(
-            "_leaf", "_id", "_text_hash", "_at", F.size("_tokens").alias("_size"),
+            "_leaf", "_id", "_text_hash", "_at", F.size("_tokens").alias("_size"), "_fewest",
             F.posexplode("_tokens").alias("_place", "_token"),
         ).select("*", F.xxhash64("_token").alias("_word"), F.col("_token").rlike("[0-9]").alias("_field"))
         .drop("_token"),
@@ -72,16 +88,27 @@ def recurring_lines(
     )
     spot = ["_leaf", "_place", "_word"]
     constants = handed_over(
-        _common(cells.where("NOT _field"), spot, least_texts).select(*spot), "constants"
+        _common(cells.where("NOT _field"), [*spot, "_fewest"], F.col("_fewest")).select(*spot, "_texts"),
+        "constants",
     )
     # constants come straight from a file: AQE may split the cells of a very common one
     held = cells.where("NOT _field").join(constants, spot)
+    word = F.xxhash64("_place", "_word")
+    line = ["_leaf", "_id", "_text_hash", "_at", "_size"]
+    by_level = held.groupBy(*line).agg(*[
+        F.struct(
+            F.lit(least).alias("least"), F.lit(tokens).alias("tokens"), F.lit(percent).alias("percent"),
+            F.count_if(F.col("_texts") >= least).alias("held"),
+            F.bit_xor(F.when(F.col("_texts") >= least, word)).alias("pattern"),
+        ).alias(f"_level{n}") for n, (least, tokens, percent) in enumerate(levels)
+    ])
     lined = handed_over(
-        held.groupBy("_leaf", "_id", "_text_hash", "_at", "_size").agg(
-            F.count("*").alias("_held"), F.bit_xor(F.xxhash64("_place", "_word")).alias("_pattern")
-        ).where(F.col("_held") * 100 >= F.col("_size") * constant_percent)
-        .withColumn("_template", F.xxhash64("_leaf", "_held", "_pattern"))
-        .select("_id", "_text_hash", "_at", "_template"),
+        by_level.select(*line, F.explode(F.array(*[f"_level{n}" for n in range(len(levels))])).alias("_of"))
+        .where("_size >= _of.tokens AND _of.held > 0 AND _of.held * 100 >= _size * _of.percent")
+        .select(
+            "_id", "_text_hash", "_at", F.col("_of.least").alias("_least"),
+            F.xxhash64("_leaf", "_of.least", "_of.held", "_of.pattern").alias("_template"),
+        ),
         "lined",
     )
     release(leaves, in_leaf, cells, constants)
@@ -89,14 +116,17 @@ def recurring_lines(
         F.min(F.struct("_id", "_at", "_text_hash")).alias("_first")
     )
     common = handed_over(
-        _common(lined, ["_template"], least_texts).join(firsts, "_template").select("_template", "_first"),
+        _common(lined, ["_template", "_least"], F.col("_least")).join(firsts, "_template").select("_template", "_first"),
         "templates",
     )
     same = (
         F.col("_id").eqNullSafe(F.col("_first")["_id"]) & (F.col("_at") == F.col("_first")["_at"])
         & (F.col("_text_hash") == F.col("_first")["_text_hash"])
     )
-    return lined.join(common, "_template").where(~same).drop("_first")
+    return (
+        lined.join(common, "_template").where(~same)
+        .groupBy("_id", "_text_hash", "_at").agg(F.min("_template").alias("_template"))
+    )
 
 
 def without_recurring_lines(

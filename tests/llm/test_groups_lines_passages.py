@@ -136,6 +136,23 @@ def test_short_lines_recur_and_blank_lines_stay(spark):
     assert found.where("doc_id = 0").first().text == rows[0][1]
 
 
+def test_long_lines_need_fewer_texts(spark):
+    own = lambda i, n: " ".join(f"{chr(97 + i)}{chr(97 + j // 20)}{chr(97 + j % 20)}" for j in range(n))
+    passage = {n: own(20, n) for n in (7, 12, 30, 60)}
+    held = {7: 9, 12: 5, 30: 3, 60: 2}  # so many texts have the passage
+    rows = [(i, "\n".join([own(i, 25), *[p for n, p in passage.items() if i < held[n]]])) for i in range(9)]
+    edited = passage[60].split()
+    edited[40] = "else"
+    rows.append((9, own(9, 25) + "\n" + " ".join(edited)))  # equal but for a word
+    rows.append((10, own(10, 25) + "\n" + own(21, 12)))
+    rows.append((11, own(11, 25) + "\n" + own(21, 12)))  # twelve words in two texts stay
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_templates.without_recurring_lines(docs).collect()}
+    expected = {i: own(i, 25) + "\n" + passage[7] for i in range(1, 9)}
+    expected |= {0: rows[0][1], 9: own(9, 25), 10: rows[10][1], 11: rows[11][1]}
+    assert got == expected
+
+
 def test_lines_of_odd_rows(odd, empty):
     found = line_templates.without_recurring_lines(odd)
     assert found.count() == len(ROWS) and found.columns == [*odd.columns, "n_lines", "n_dropped"]
