@@ -533,10 +533,9 @@ def _(s):
 
 @query("join_customer_orders_left")
 def _(s):
-    placed = s.stg_orders.where("order_status = 'delivered'")
-    return customers.order_history(s.stg_customers, s.int_orders.join(
-        placed.select("order_id"), "order_id", "left_semi")
-    ).select("customer_unique_id", "state", "total_orders", "first_order_at")
+    return customers.order_history(s.stg_customers, s.int_orders).select(
+        "customer_unique_id", "state", "total_orders", "first_order_at"
+    )
 
 
 @query("join_orders_customer_left")

@@ -54,6 +54,16 @@ def test_no_query_pairs_all_rows(spark, small_folder, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_customers_meet_orders_of_every_status(spark, small_folder, con):
+    rows = QUERIES["join_customer_orders_left"](spark, small_folder).collect()
+    mine = {r.customer_unique_id: (r.total_orders, r.first_order_at) for r in rows}
+    assert mine == {k: (n, at) for k, n, at in con.execute("""
+        select md5(cast(c_custkey as varchar)), count(o_orderkey),
+               min(o_orderdate + to_seconds(o_orderkey * 7919 % 86400))
+        from read_parquet(?) left join orders on o_custkey = c_custkey group by c_custkey
+    """, [f"{small_folder}/customer.parquet"]).fetchall()}
+
+
 def test_lines_are_read_once_per_need(spark, small_folder):
     """Payments, baskets by product and baskets by seller each read the lines once."""
     from orderloom.plans.shop import Shop
