@@ -5,6 +5,7 @@ the leaf it reaches, a token that many texts have at the same place is a constan
 token, and any token with a digit, is a variable field. The line's template is its constants and
 their places. Templates that many different texts share are boilerplate. How many are many is a
 matter of levels: the longer the lines and the larger the share of constants, the fewer texts do.
+Lines with digits that are equal as a whole recur also where they have too few constants.
 """
 
 from __future__ import annotations
@@ -102,15 +103,22 @@ def recurring_lines(
             F.bit_xor(F.when(F.col("_texts") >= least, word)).alias("pattern"),
         ).alias(f"_level{n}") for n, (least, tokens, percent) in enumerate(levels)
     ])
-    lined = handed_over(
+    by_template = (
         by_level.select(*line, F.explode(F.array(*[f"_level{n}" for n in range(len(levels))])).alias("_of"))
         .where("_size >= _of.tokens AND _of.held > 0 AND _of.held * 100 >= _size * _of.percent")
         .select(
             "_id", "_text_hash", "_at", F.col("_of.least").alias("_least"),
             F.xxhash64("_leaf", "_of.least", "_of.held", "_of.pattern").alias("_template"),
-        ),
-        "lined",
+        )
     )
+    # constants leave digits out; a line that is equal as a whole needs none
+    whole = with_pass(lines, in_leaf, F.col("_leaf"), "_go", filter_bits).where("_go").where(
+        F.exists("_tokens", lambda t: t.rlike("[0-9]"))
+    ).select(
+        "_id", "_text_hash", "_at", F.col("_fewest").alias("_least"),
+        F.xxhash64("_leaf", F.lit("whole"), "_tokens").alias("_template"),
+    )
+    lined = handed_over(by_template.unionByName(whole), "lined")
     release(leaves, in_leaf, cells, constants)
     firsts = lined.groupBy("_template").agg(
         F.min(F.struct("_id", "_at", "_text_hash")).alias("_first")
