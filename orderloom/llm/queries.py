@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    bpe, decontaminate, exact_dedup, language, line_templates, ngram_join, revisits, secret_scan,
-    sharding, toxicity,
+    bpe, decontaminate, exact_dedup, hard_negatives, language, line_templates, ngram_join,
+    quality_limits, revisits, secret_scan, sharding, toxicity, vector_codes,
 )
 
 SHARDS = 8
@@ -131,9 +131,35 @@ def op10_piece_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_vertical_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 100; every seventh label is shifted."""
+    rows = table(spark, folder, "embeddings").withColumn(
+        "label", F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    )
+    return hard_negatives.hard_negatives(rows)
+
+
+def op12_walsh_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded = vector_codes.compressed(table(spark, folder, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256"
+    )
+
+
+def op13_certified_quality(spark: SparkSession, folder: str) -> DataFrame:
+    verdicts, _ = quality_limits.judged(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    )
+    return verdicts.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_exact_dedup, op2_nonnegative_pu_toxicity, op3_revisit_resolution,
              op4_secret_scan, op5_bpe_prefix_encoding, op6_adaptive_prefix_join,
              op7_line_templates, op8_benchmark_passages, op9_hash_tree_shards,
-             op10_piece_language]
+             op10_piece_language, op11_vertical_hard_negatives, op12_walsh_vector_codes,
+             op13_certified_quality]
     return {f.__name__: f for f in found}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .quality_limits import RULES
+
 OP1 = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -157,10 +159,177 @@ GROUP BY l.doc_id
 """
 
 
+FINITE = """embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+OP11 = f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND {FINITE}
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM s JOIN p USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+def _codebook_round(r: int) -> str:
+    """Assignment ``a{r}`` to the entries ``c{r}``, and the entries after it."""
+    return f"""
+a{r} AS MATERIALIZED (
+  SELECT row_id, part, any_value(p.v) AS v, min((d, entry)) AS best
+  FROM (
+    SELECT row_id, p.part, p.v, entry,
+           list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM p JOIN c{r} c USING (part)
+  ) p GROUP BY row_id, part
+),
+m{r} AS (
+  SELECT part, entry, list((t - ((t % n) + n) % n) // n ORDER BY place) AS v
+  FROM (
+    SELECT part, entry, place, sum(x)::BIGINT AS t, count(*) AS n
+    FROM (SELECT part, best[2] AS entry, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{r})
+    GROUP BY part, entry, place
+  ) GROUP BY part, entry
+),
+c{r + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m{r} m USING (part, entry)
+)"""
+
+
+OP12 = f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row_id, vec_id, label,
+         list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE {FINITE}
+),
+p AS MATERIALIZED (
+  SELECT row_id, part, q[part * (len(q) // 8) + 1: (part + 1) * (len(q) // 8)] AS v
+  FROM (SELECT row_id, q, unnest(range(8)) AS part FROM e)
+),
+c0 AS MATERIALIZED (SELECT part, row_id - 1 AS entry, v FROM p WHERE row_id <= 16),
+{",".join(_codebook_round(r) for r in range(7))},
+books AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+  FROM c6
+),
+coded AS (
+  SELECT row_id, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code,
+         sum(best[1])::BIGINT AS error
+  FROM a6 GROUP BY row_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       codebooks_sha256
+FROM coded JOIN e USING (row_id), books
+"""
+
+_CUTOFFS = " UNION ALL ".join(
+    f"SELECT '{r.name}' AS rule, unnest({list(r.cutoffs)})::DOUBLE AS cutoff, "
+    f"unnest(range({len(r.cutoffs)})) AS step" for r in RULES
+)
+_SIGNALS = " UNION ALL ".join(
+    f"SELECT row_id, lang, h, base_failed, '{r.name}' AS rule, "
+    f"coalesce({' / nullif('.join(r.signal.split(' / '))}, 0), 0) AS signal FROM counted"
+    for r in RULES
+)
+RISK, ERROR = f"(0.02 / {len(RULES)})", "(1 - 0.95)"
+
+OP13 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, lang, coalesce(text, '') AS t FROM documents
+),
+w AS (
+  SELECT *, md5(t) AS h, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words,
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS ls
+  FROM d
+),
+shingles AS (
+  SELECT row_id, unnest(range(1, len(words) - 3)) AS place,
+         unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS s
+  FROM w WHERE len(words) >= 5
+),
+again AS (SELECT row_id, s FROM shingles GROUP BY row_id, s HAVING count(*) > 1),
+covered AS (
+  SELECT row_id, count(DISTINCT word) AS n
+  FROM (SELECT row_id, unnest(range(place, place + 5)) AS word FROM shingles SEMI JOIN again USING (row_id, s))
+  GROUP BY row_id
+),
+counts AS (
+  SELECT row_id, doc_id, lang, h, len(words)::BIGINT AS n_words,
+         length(array_to_string(words, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN covered USING (row_id)
+),
+counted AS MATERIALIZED (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
+),
+signals AS MATERIALIZED ({_SIGNALS}),
+marks AS (
+  SELECT row_id, bool_and(quality = 1) AS good
+  FROM counted JOIN labels USING (doc_id) WHERE quality IN (0, 1) GROUP BY row_id
+),
+texts AS (
+  SELECT lang, h, rule, any_value(signal) AS signal, bool_and(good) AS good
+  FROM signals JOIN marks USING (row_id) WHERE NOT base_failed GROUP BY lang, h, rule
+),
+sizes AS (
+  SELECT lang, count(*) FILTER (good) AS n FROM texts WHERE rule = '{RULES[0].name}' GROUP BY lang
+),
+upto AS (
+  SELECT lang, n, i, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK})
+                             + (n - i) * ln(1 - {RISK}))) OVER (PARTITION BY lang ORDER BY i) AS risk
+  FROM (SELECT lang, n, unnest(range(0, ceil(n * {RISK})::BIGINT + 1)) AS i FROM sizes WHERE n > 0)
+),
+allowed AS (
+  SELECT lang, max(i) AS allowed FROM upto
+  WHERE risk <= {ERROR} / ((SELECT count(*) FROM sizes) * {len(RULES)}) GROUP BY lang
+),
+tried AS (
+  SELECT texts.lang, rule, step, cutoff, count(*) FILTER (good AND signal > cutoff) AS lost,
+         count(*) FILTER (NOT good AND signal > cutoff) AS gained
+  FROM texts JOIN ({_CUTOFFS}) USING (rule) GROUP BY ALL
+),
+chosen AS (
+  SELECT tried.lang, rule, cutoff FROM tried
+  JOIN allowed ON tried.lang IS NOT DISTINCT FROM allowed.lang
+  WHERE lost <= allowed AND gained > 0
+  QUALIFY row_number() OVER (PARTITION BY tried.lang, rule ORDER BY gained DESC, step) = 1
+),
+failed AS (
+  SELECT row_id, list(signals.rule) AS rules
+  FROM signals JOIN chosen ON signals.rule = chosen.rule AND signals.lang IS NOT DISTINCT FROM chosen.lang
+  WHERE signal > cutoff GROUP BY row_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rules IS NULL AS kept,
+       coalesce(array_to_string(list_filter({[r.name for r in RULES]}, lambda r: list_contains(rules, r)), ','), '')
+         AS failed_rules
+FROM counted LEFT JOIN failed USING (row_id)
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_exact_dedup": OP1,
         "op4_secret_scan": OP4,
         "op7_line_templates": OP7,
         "op9_hash_tree_shards": OP9,
+        "op11_vertical_hard_negatives": OP11,
+        "op12_walsh_vector_codes": OP12,
+        "op13_certified_quality": OP13,
     }
