@@ -267,12 +267,11 @@ select order_id, total_payment_value, primary_payment_type, review_score, has_re
 from int_orders"""
 S["join_translation"] = "select product_id, category_name_en, category_name_pt from stg_products"
 S["join_customer_orders_left"] = """
-with placed as (select * from stg_orders where order_status = 'delivered')
 select customer_unique_id,
        first(state order by purchased_at desc, customer_id desc)
            filter (where purchased_at is not null) as state,
        count(order_id) as total_orders, min(purchased_at) as first_order_at
-from stg_customers left join placed using (customer_id) group by 1"""
+from stg_customers left join stg_orders using (customer_id) group by 1"""
 S["join_orders_customer_left"] = """
 select customer_unique_id, total_orders, last_order_at from silver_customers"""
 S["join_fact_star"] = """
@@ -423,17 +422,24 @@ select speed, review_score, count(*) as reviews,
 from rated group by speed, review_score"""
 
 
-def _quartiles(segment: str) -> str:
+def _quartiles(
+    segment: str, value: str = "churn_prob", source: str = "score_listing",
+    count: str = "customers",
+) -> str:
     marks = {"minimum": 0, "lower_quartile": 0.25, "median": 0.5, "upper_quartile": 0.75,
              "maximum": 1}
     columns = ", ".join(
-        f"{r(f'quantile_cont(churn_prob, {q})', 6)} as {n}" for n, q in marks.items()
+        f"{r(f'quantile_cont({value}, {q})', 6)} as {n}" for n, q in marks.items()
     )
-    return f"select {segment}, count(*) as customers, {columns} from score_listing group by 1"
+    return f"""select {segment}, count({value}) as {count}, {columns} from {source}
+        where {value} is not null group by 1"""
 
 
 S["score_quartiles"] = _quartiles("freq_segment")
 S["score_quartiles_by_satisfaction"] = _quartiles("sat_segment")
+S["payment_quartiles"] = _quartiles(
+    "payment_type", "payment_value", "src_order_payments", "payments")
+S["spend_quartiles_by_state"] = _quartiles("state", "total_spend_brl", "dim_customers")
 S["having_min"] = """
 select city, state, count(*) as accounts from stg_customers group by all having count(*) > 49"""
 S["group_by_alias"] = f"""
@@ -631,6 +637,7 @@ select date_trunc('hour', ts) as window_start, function, count(*) as calls,
 from audit_calls group by 1, 2"""
 
 S["audit_live"] = S["audit_rollup"]
+S["kpi_monthly_live"] = S["kpi_monthly"]
 
 # ---- models and statistics
 
@@ -656,9 +663,16 @@ S["one_hot"] = "with filled as (" + S["impute_median"] + ") " + " union all ".jo
     f"""select customer_unique_id, '{c}_' || label as feature, if({c} = label, 1e0, 0e0) as value
     from filled, (select distinct {c} as label from filled)""" for c in _CATEGORIES
 )
-S["stratified_split"] = """
-select ('0x' || substr(md5('42-' || customer_unique_id), 1, 8))::bigint % 10000 < 8000
-           as is_train, is_churned, count(*) as n from churn_features group by all"""
+_SPLIT = """(
+    select *, row_number() over (
+               partition by is_churned
+               order by ('0x' || substr(md5('42-' || customer_unique_id), 1, 15))::bigint,
+                        customer_unique_id)
+           <= floor(0.8e0 * count(*) over (partition by is_churned) + 0.5e0) as is_train
+    from churn_features)"""
+S["stratified_split"] = f"""
+select is_train, is_churned, count(*) as n from {_SPLIT} group by all"""
+S["stratified_split_members"] = f"select customer_unique_id, is_churned, is_train from {_SPLIT}"
 S["class_weights"] = """
 select count(*) / (2.0e0 * count(*) filter (where is_churned = 0)) as balanced_retained,
        count(*) / (2.0e0 * count(*) filter (where is_churned = 1)) as balanced_churned,

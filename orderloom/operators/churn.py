@@ -8,6 +8,7 @@ from ..functions.dates import date_of, days_between, days_earlier
 from ..functions.keys import any_true, value_at_max
 from ..functions.numeric import flag, money_mean, ratio, rounded
 from ..functions.segments import risk_tier, risk_tier_rank
+from .ranking import quantiles
 
 # Inputs of the model, and those from which its label can be read off.
 NUMERIC_FEATURES = (
@@ -56,18 +57,30 @@ def _inactive(last: str, cutoff: str, inclusive: bool) -> Column:
     return F.col(last) <= F.col(cutoff) if inclusive else F.col(last) < F.col(cutoff)
 
 
-def features(
-    fact: DataFrame, people: DataFrame, horizon_days: int = 90, inclusive: bool = True
+def eligible(
+    people: DataFrame, purchases: DataFrame, horizon_days: int = 90, inclusive: bool = True
 ) -> DataFrame:
-    """Feature row of everyone whose first order lies at least ``horizon_days`` back.
+    """Everyone whose first order lies at least ``horizon_days`` back, with the label.
 
-    Label 1: no order within the horizon before the newest purchase of the data.
+    Label 1: no order within the horizon before the newest of ``purchases``. Needs the dates of
+    the first and the last order only.
     """
-    base = people.withColumn("reference_date", reference_date(fact)).withColumn(
-        "churn_cutoff_date", days_earlier("reference_date", horizon_days)
-    ).where(F.col("first_order_at") <= F.col("churn_cutoff_date"))
     return (
-        base.join(order_signals(fact), "customer_unique_id", "left")
+        people.withColumn("reference_date", reference_date(purchases))
+        .withColumn("churn_cutoff_date", days_earlier("reference_date", horizon_days))
+        .where(F.col("first_order_at") <= F.col("churn_cutoff_date"))
+        .withColumn(
+            "is_churned", flag(_inactive("last_order_at", "churn_cutoff_date", inclusive))
+        )
+    )
+
+
+def features(
+    fact: DataFrame, people: DataFrame, horizon_days: int = 90, inclusive: bool = True
+) -> DataFrame:
+    """Feature row of everyone who is ``eligible``."""
+    return (
+        eligible(people, fact, horizon_days, inclusive).join(order_signals(fact), "customer_unique_id", "left")
         .withColumns({
             "days_since_last_order": days_between("last_order_at", "reference_date"),
             "days_since_first_order": days_between("first_order_at", "reference_date"),
@@ -100,8 +113,7 @@ def features(
             _or("avg_item_count", 1.0).alias("avg_item_count"),
             _or("avg_distinct_products", 1.0).alias("avg_distinct_products"),
             _or("avg_distinct_sellers", 1.0).alias("avg_distinct_sellers"),
-            "reference_date", "churn_cutoff_date",
-            flag(_inactive("last_order_at", "churn_cutoff_date", inclusive)).alias("is_churned"),
+            "reference_date", "churn_cutoff_date", "is_churned",
         )
     )
 
@@ -187,24 +199,14 @@ def score_histogram(listing: DataFrame, bins: int = 40) -> DataFrame:
     )
 
 
-def score_quartiles(listing: DataFrame, segment: str) -> DataFrame:
-    """Five-number summary of the probability per segment.
-
-    Listed probabilities have three decimals, so counting them first leaves at most 1,001
-    values per segment and the exact percentile works on those.
-    """
-    counts = listing.where("churn_prob IS NOT NULL").groupBy(segment, "churn_prob").agg(
-        F.count("*").alias("_n")
-    )
-    marks = ("minimum", "lower_quartile", "median", "upper_quartile", "maximum")
-    summary = counts.groupBy(segment).agg(
-        F.percentile("churn_prob", [0.0, 0.25, 0.5, 0.75, 1.0], F.col("_n")).alias("q"),
-        F.sum("_n").alias("customers"),
-    )
-    return summary.select(
-        segment, "customers",
-        *[rounded(F.element_at("q", i + 1), 6).alias(m) for i, m in enumerate(marks)],
-    )
+def score_quartiles(
+    rows: DataFrame, segment: str, value: str = "churn_prob", count: str = "customers"
+) -> DataFrame:
+    """Five-number summary of a value per segment, exact at any precision and segment size."""
+    marks = {"minimum": 0.0, "lower_quartile": 0.25, "median": 0.5, "upper_quartile": 0.75,
+             "maximum": 1.0}
+    summary = quantiles(rows, [segment], value, marks, count)
+    return summary.select(segment, count, *[rounded(m, 6).alias(m) for m in marks])
 
 
 def at_risk(

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import date_of, month_label
 from ..functions.numeric import (
-    exact, exact_mean, exact_sum, money_mean, money_sum, percent, ratio, rounded,
+    exact, exact_mean, exact_sum, money_mean, money_part, money_sum, money_total, money_whole,
+    percent, ratio, rounded,
 )
 from ..functions.segments import delivery_bucket
 
@@ -48,22 +49,17 @@ def _money_columns() -> list[Column]:
     ]
 
 
-def monthly(fact: DataFrame) -> DataFrame:
-    """Delivered orders per calendar month.
-
-    Orders are counted distinctly. Coming from the enriched orders, which are already
-    partitioned by ``order_id``, that adds no shuffle.
-    """
-    score, on_time = F.col("review_score"), F.col("delivered_on_time")
+def _monthly(orders: DataFrame, counted: Column, on_time: Column) -> DataFrame:
+    score = F.col("review_score")
     return (
-        with_status(fact, DELIVERED)
+        with_status(orders, DELIVERED)
         .groupBy("order_month")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
+            counted.alias("total_orders"),
             rounded(F.avg(score), 3).alias("avg_review_score"),
             rounded(F.avg("days_to_deliver"), 2).alias("avg_days_to_deliver"),
             rounded(ratio(F.count_if(score >= 4), F.count(score)), 4).alias("csat_rate"),
-            rounded(ratio(F.count_if(on_time), F.count("order_id")), 4).alias("on_time_rate"),
+            rounded(ratio(on_time, F.count("order_id")), 4).alias("on_time_rate"),
             *_money_columns(),
             *_volume_columns(),
         )
@@ -71,26 +67,89 @@ def monthly(fact: DataFrame) -> DataFrame:
     )
 
 
+def monthly(fact: DataFrame) -> DataFrame:
+    """Delivered orders per calendar month.
+
+    Orders are counted distinctly. Coming from the enriched orders, which are already
+    partitioned by ``order_id``, that adds no shuffle.
+    """
+    return _monthly(fact, F.count_distinct("order_id"), F.count_if(F.col("delivered_on_time")))
+
+
 def gold_monthly(silver_orders: DataFrame) -> DataFrame:
     """Twin of ``monthly``: plain order count, and no rate in a month without any date."""
-    score = F.col("review_score")
     on_time = F.sum(F.col("delivered_on_time").cast("int"))
-    return (
-        with_status(silver_orders, DELIVERED)
-        .groupBy("order_month")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            rounded(F.avg(score), 3).alias("avg_review_score"),
-            rounded(F.avg("days_to_deliver"), 2).alias("avg_days_to_deliver"),
-            rounded(ratio(F.count_if(score >= 4), F.count(score)), 4).alias("csat_rate"),
-            rounded(ratio(on_time, F.count("order_id")), 4).alias("on_time_rate"),
-            *_money_columns(),
-            *_volume_columns(),
-        )
-        .orderBy("order_month")
+    return _monthly(silver_orders, F.count("order_id"), on_time)
+
+
+# ---- the same indicators from additive sums, which can be merged, and taken back again
+
+
+def _one_if(condition: Column | str) -> Column:
+    condition = F.expr(condition) if isinstance(condition, str) else condition
+    return F.coalesce(condition.cast("long"), F.lit(0).cast("long"))
+
+
+def order_addends() -> dict[str, Column]:
+    """What one order adds to its month: whole numbers, so sums are exact in any order."""
+    or_zero = lambda c: F.coalesce(c.cast("long"), F.lit(0).cast("long"))
+    value = "total_payment_value"
+    return {
+        "orders": F.lit(1).cast("long"),
+        "score_sum": or_zero(F.col("review_score")),
+        "scored": _one_if("review_score IS NOT NULL"),
+        "high_scores": _one_if("review_score >= 4"),
+        "low_scores": _one_if("review_score = 1"),
+        "days_sum": or_zero(F.col("days_to_deliver")),
+        "dated": _one_if("days_to_deliver IS NOT NULL"),
+        "on_time": _one_if("delivered_on_time"),
+        "value_whole": or_zero(money_whole(value)),
+        "value_part": or_zero(money_part(value)),
+        "valued": _one_if(f"{value} IS NOT NULL"),
+        "commented": _one_if("has_review_comment"),
+        "vouchers": _one_if("used_voucher"),
+    }
+
+
+ADDENDS = (
+    "orders", "score_sum", "scored", "high_scores", "low_scores", "days_sum", "dated", "on_time",
+    "value_whole", "value_part", "valued", "commented", "vouchers",
+)
+
+
+def monthly_sums(orders: DataFrame) -> DataFrame:
+    """Additive sums per month over rows of one order each."""
+    addends = order_addends()
+    return with_status(orders, DELIVERED).groupBy("order_month").agg(
+        *[F.sum(addends[a]).alias(a) for a in ADDENDS]
     )
 
 
+def merged_sums(sums: DataFrame) -> DataFrame:
+    """Sums of several parts, some of which may take others back; empty months disappear."""
+    added = sums.groupBy("order_month").agg(*[F.sum(a).alias(a) for a in ADDENDS])
+    return added.where("orders <> 0")
+
+
+def monthly_from_sums(sums: DataFrame) -> DataFrame:
+    """The columns of ``monthly`` from one row of sums per month."""
+    value = money_total("value_whole", "value_part")
+    some = F.col("valued") > 0
+    return sums.select(
+        "order_month",
+        F.col("orders").alias("total_orders"),
+        rounded(ratio("score_sum", "scored"), 3).alias("avg_review_score"),
+        rounded(ratio("days_sum", "dated"), 2).alias("avg_days_to_deliver"),
+        rounded(ratio("high_scores", "scored"), 4).alias("csat_rate"),
+        rounded(ratio("on_time", "orders"), 4).alias("on_time_rate"),
+        rounded(ratio(value, "valued"), 2).alias("avg_order_value_brl"),
+        rounded(F.when(some, value), 2).alias("total_gmv_brl"),
+        F.col("commented").alias("orders_with_comment"),
+        F.col("low_scores").alias("low_score_orders"),
+        F.col("vouchers").alias("voucher_orders"),
+    ).orderBy("order_month")
+
+
 def monthly_view(kpi: DataFrame) -> DataFrame:
     """Presentation of the monthly table: percentages and thousands."""
     return kpi.select(

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.numeric import ratio, rounded
 from ..session import fresh_path, handed_over
 from .churn import CATEGORICAL_FEATURES, LEAKY_FEATURES, NUMERIC_FEATURES
-from .ranking import medians, with_running_totals
+from .ranking import medians, thresholds, with_running_totals
 
 LABEL, WEIGHT, FEATURES = "is_churned", "weight", "features"
 SEED = 42
@@ -45,17 +45,35 @@ def impute(
     return df.withColumns(filled)
 
 
+def split_draw(key: Column | str, seed: int = SEED) -> Column:
+    """Number between 0 and 2**60 that only the key and the seed decide."""
+    key = F.col(key) if isinstance(key, str) else key
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}-"), key.cast("string"))), 1, 15)
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
 def with_split(
-    df: DataFrame, key: str = "customer_unique_id", train_share: float = 0.8, seed: int = SEED
+    df: DataFrame, key: str = "customer_unique_id", train_share: float = 0.8, seed: int = SEED,
+    label: str = LABEL,
 ) -> DataFrame:
-    """Reproducible train/test mark from a hash of the key.
+    """Reproducible train/test mark: of each label exactly the rounded share is training.
 
-    Both labels are split in the same proportion in expectation; no shuffle, and a person
-    keeps the side when rows are added.
+    People are ordered by a hash of their key within their label, and the first ones train. The
+    last of those is the threshold of its label; it comes from ordered slices of narrow rows, one
+    threshold per label goes back to the rows, and the rows stay where they are. With more rows
+    a threshold moves, so some people may change sides. Keys must be unique and not NULL.
     """
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string"))), 1, 8)
-    draw = F.conv(digits, 16, 10).cast("bigint") % 10000
-    return df.withColumn("is_train", draw < int(round(train_share * 10000)))
+    drawn = df.withColumn("_draw", split_draw(key, seed))
+    take = F.floor(F.lit(float(train_share)) * F.col("_size") + 0.5)
+    last = thresholds(drawn, [label], ["_draw", key], take).select(
+        F.col(label).alias("_of"), F.struct(F.col("_draw"), F.col(key)).alias("_last")
+    )
+    here = F.struct(F.col("_draw"), F.col(key))
+    return (
+        drawn.join(last, F.col(label).eqNullSafe(F.col("_of")), "left")
+        .withColumn("is_train", F.coalesce(here <= F.col("_last"), F.lit(False)))
+        .drop("_draw", "_of", "_last")
+    )
 
 
 def label_counts(df: DataFrame, label: str = LABEL) -> DataFrame:

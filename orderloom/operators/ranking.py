@@ -150,30 +150,68 @@ def number_within(
     )
 
 
+def quantiles(
+    df: DataFrame, group: Sequence[str], value: str, shares: Mapping[str, float],
+    count: str | None = None,
+) -> DataFrame:
+    """Exact quantiles of every group, interpolated between neighbours: one row per group.
+
+    ``shares`` names a column for each share in [0, 1]; ``count`` names one for the rows with a
+    value. Rows of one value are counted first; the counts of all groups are ordered together
+    and cut into slices, so a group may be as large as the table. NULL keys form a group, NULL
+    values are left out. Without group columns there is always one row.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(
+        F.count("*").alias("_n")
+    )
+    by = [*[F.col(g).asc_nulls_first() for g in group], F.col(value)]
+    run = with_running_total(counts, by, "_n", "_upto")
+    bounds = handed_over(run.groupBy(*group).agg(
+        F.min(F.col("_upto") - F.col("_n")).alias("_first"), F.max("_upto").alias("_last")
+    ), "bounds")
+    size = F.col("_last") - F.col("_first")
+    met = _meet(run, bounds, group) if group else run.join(F.broadcast(bounds))
+    met = met.withColumns({"_size": size, "_to": F.col("_upto") - F.col("_first")})
+    holds = lambda place: (place < F.col("_to")) & (place >= F.col("_to") - F.col("_n"))
+    at = {name: F.lit(float(share)) * (F.col("_size") - 1) for name, share in shares.items()}
+    found = met.groupBy(*group).agg(
+        F.first("_size").alias("_size"),
+        *[F.max(F.when(holds(edge(at[name])), F.col(value))).alias(f"_{side}_{name}")
+          for name in shares for side, edge in (("low", F.floor), ("high", F.ceil))],
+    )
+    between = lambda name: F.col(f"_low_{name}") + (
+        F.col(f"_high_{name}") - F.col(f"_low_{name}")
+    ) * (at[name] - F.floor(at[name]))
+    counted = [F.col("_size").alias(count)] if count else []
+    return found.select(*group, *counted, *[between(name).alias(name) for name in shares])
+
+
+def thresholds(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], place: Column
+) -> DataFrame:
+    """For each group the values of ``order`` on its row number ``place``, counted from 1.
+
+    ``place`` may use ``_size``, the rows of the group; a place below 1 gives no row, one beyond
+    the last gives none either. ``order`` must end in a unique key. Only these columns move, and
+    no group has to fit one task: places come from ordered slices.
+    """
+    placed = with_position(df.select(*group, *order), [*group, *order], "_place")
+    sizes = handed_over(placed.groupBy(*group).agg(
+        F.min("_place").alias("_first"), F.count("*").alias("_size")
+    ), "sizes")
+    return (
+        _meet(placed, sizes, group)
+        .where(F.col("_place") - F.col("_first") + 1 == place)
+        .select(*group, *order)
+    )
+
+
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact median of many numeric columns at once: one row (column_name, median).
 
-    All columns are unpivoted, reduced to value counts and ordered together, so no task sees
-    more than its slice. The middle pair is averaged.
+    All columns are unpivoted and each is a group of its own.
     """
     long = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column_name", "value"
-    ).where("value IS NOT NULL")
-    counts = long.groupBy("column_name", "value").agg(F.count("*").alias("_n"))
-    run = with_running_total(counts, ["column_name", "value"], "_n", "_upto")
-    bounds = run.groupBy("column_name").agg(
-        F.min(F.col("_upto") - F.col("_n")).alias("_first"), F.max("_upto").alias("_last")
-    )
-    size = F.col("_last") - F.col("_first")
-    low = F.col("_first") + F.floor((size + 1) / 2)
-    high = F.col("_first") + F.floor((size + 2) / 2)
-    holds = lambda place: (place <= F.col("_upto")) & (place > F.col("_upto") - F.col("_n"))
-    return (
-        run.join(F.broadcast(bounds), "column_name")
-        .groupBy("column_name")
-        .agg(
-            F.max(F.when(holds(low), F.col("value"))).alias("_low"),
-            F.max(F.when(holds(high), F.col("value"))).alias("_high"),
-        )
-        .select("column_name", ((F.col("_low") + F.col("_high")) / 2.0).alias("median"))
     )
+    return quantiles(long, ["column_name"], "value", {"median": 0.5})

@@ -16,7 +16,7 @@ from ..operators import (
 )
 from ..session import fresh_path, handed_over
 from ..sources import files, schemas, tables
-from ..streaming import audit_live
+from ..streaming import audit_live, kpi_live
 from . import build
 from .shop import MODELS, Shop
 
@@ -755,7 +755,7 @@ def _(s):
 
 @query("class_balance_90")
 def _(s):
-    return kpis.class_balance(s.churn_features, "is_churned")
+    return kpis.class_balance(s.churn_labels, "is_churned")
 
 
 @query("delivery_sanity")
@@ -783,6 +783,18 @@ def _(s):
     return churn.score_quartiles(churn.score_listing(s.mart_churn), "freq_segment")
 
 
+@query("payment_quartiles")
+def _(s):
+    """Payments by kind at full precision; one kind has about half of all rows."""
+    return churn.score_quartiles(
+        s.src["order_payments"], "payment_type", "payment_value", "payments")
+
+
+@query("spend_quartiles_by_state")
+def _(s):
+    return churn.score_quartiles(s.dim_customers, "state", "total_spend_brl")
+
+
 @query("score_quartiles_by_satisfaction")
 def _(s):
     return churn.score_quartiles(churn.score_listing(s.mart_churn), "sat_segment")
@@ -1203,6 +1215,36 @@ def _(s):
     return newest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+@query("kpi_monthly_live")
+def _(s):
+    """The orders in three deliveries, whose statuses change; equals the batch indicators.
+
+    First every third order is still on its way. Then those arrive, and every fifth is called
+    off. Then every fifth is delivered after all, and old news of every seventh comes once more.
+    """
+    spark = _spark(s)
+    key, status = F.col("order_id"), F.col("order_status")
+    final = handed_over(kpi_live.order_events(s.dated_orders, F.lit(9)), "final")
+    as_status = lambda rows, other, version: rows.withColumns({
+        "order_status": F.when(status == kpis.DELIVERED, F.lit(other)).otherwise(status),
+        "version": F.lit(version).cast("long"),
+    })
+    third, fifth = key % 3 == 0, key % 5 == 0
+    deliveries = (
+        as_status(final.where(third), "shipped", 1).unionByName(final.where(~third & ~fifth))
+        .unionByName(final.where(~third & fifth).withColumn("version", F.lit(1).cast("long"))),
+        final.where(third & ~fifth).unionByName(as_status(final.where(fifth), "canceled", 2)),
+        final.where(fifth).unionByName(as_status(final.where(key % 7 == 0), "unavailable", 0)),
+    )
+    arrived, out = fresh_path(spark, "order-events"), fresh_path(spark, "kpi-live")
+    state = fresh_path(spark, "kpi-state")
+    for rows in deliveries:
+        rows.write.mode("append").parquet(arrived)
+        changes = kpi_live.changes(spark.readStream.schema(final.schema).parquet(arrived))
+        kpi_live.follow(changes, out, state).awaitTermination()
+    return kpis.monthly_from_sums(kpi_live.current(spark, out))
+
+
 @query("audit_rollup")
 def _(s):
     rolled = audit_live.rollup(s.audit_log)
@@ -1225,15 +1267,24 @@ def _(s):
     return table.withColumn("median", rounded("median", 6))
 
 
+def _split(s: Shop) -> DataFrame:
+    """Who trains; keys and labels alone, stored because thresholds and rows read them."""
+    return ml.with_split(handed_over(s.churn_labels, "labels"))
+
+
 @query("stratified_split")
 def _(s):
-    return ml.with_split(s.churn_features).groupBy("is_train", "is_churned").agg(
-        F.count("*").alias("n"))
+    return _split(s).groupBy("is_train", "is_churned").agg(F.count("*").alias("n"))
+
+
+@query("stratified_split_members")
+def _(s):
+    return _split(s)
 
 
 @query("class_weights")
 def _(s):
-    return ml.class_weights(s.churn_features)
+    return ml.class_weights(s.churn_labels)
 
 
 def _features(s: Shop) -> DataFrame:
@@ -1339,7 +1390,7 @@ def _(s):
 
 def _given_scores(s: Shop) -> DataFrame:
     """Fixed scores against the real labels, so that metrics can be checked exactly."""
-    return s.churn_features.select("customer_unique_id", F.col("is_churned").alias("label")).join(
+    return s.churn_labels.select("customer_unique_id", F.col("is_churned").alias("label")).join(
         s.src["churn_predictions"].select(
             "customer_unique_id", F.col("churn_probability").alias("score")),
         "customer_unique_id",

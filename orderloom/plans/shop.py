@@ -151,6 +151,12 @@ class Shop:
         )
         return churn.features(fact, people)
 
+    @cached_property
+    def churn_labels(self) -> DataFrame:
+        """Who is eligible and who has churned, from the dates of orders alone."""
+        people = churn.eligible(self.int_customer_orders, self.int_orders)
+        return people.select("customer_unique_id", "is_churned")
+
     @cached_property
     def mart_churn(self) -> DataFrame:
         return churn.scored_mart(self.src["churn_predictions"], self.dim_customers)

@@ -135,3 +135,54 @@ def test_partition_of_a_hot_group_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+# ---- quantiles and thresholds of groups -----------------------------------------------------
+
+
+def test_quantiles_of_groups_with_one_hot_group(spark):
+    import numpy as np
+
+    draw = random.Random(11)
+    values_of = {"hot": [draw.gauss(0, 1) for _ in range(900)], "one": [3.25], "two": [1.0, 2.5],
+                 None: [draw.choice([0.1, 0.2]) for _ in range(40)], "same": [7.5] * 30}
+    rows = [(g, v) for g, vs in values_of.items() for v in vs] + [("hot", None), ("empty", None)]
+    draw.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    shares = {"least": 0.0, "low": 0.25, "mid": 0.5, "odd": 0.937, "most": 1.0}
+    found = {r.g: r for r in ranking.quantiles(df, ["g"], "v", shares, "n").collect()}
+    assert set(found) == set(values_of)
+    for g, vs in values_of.items():
+        assert found[g].n == len(vs)
+        for name, share in shares.items():
+            assert found[g][name] == pytest.approx(np.quantile(vs, share), abs=1e-12)
+
+
+def test_quantiles_without_groups_and_without_rows(spark):
+    df = spark.range(11).selectExpr("double(id) AS v")
+    assert [tuple(r) for r in ranking.quantiles(df, [], "v", {"q": 0.25}).collect()] == [(2.5,)]
+    nothing = df.where("false")
+    assert [tuple(r) for r in ranking.quantiles(nothing, [], "v", {"q": 0.25}).collect()] == [(None,)]
+    assert ranking.quantiles(nothing.selectExpr("1 AS g", "v"), ["g"], "v", {"q": 0.25}).count() == 0
+
+
+def test_quantiles_use_no_window_over_a_group(spark):
+    df = spark.range(50).selectExpr("id % 2 AS g", "double(id) AS v")
+    plan = ranking.quantiles(df, ["g"], "v", {"q": 0.5})._jdf.queryExecution().sparkPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line]
+    assert windows and all("_slice" in line for line in windows)
+
+
+def test_thresholds_are_the_rows_of_a_place(spark):
+    draw = random.Random(2)
+    rows = [(draw.choice(["a", "a", "a", "b", None]), draw.randrange(20), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, x int, k int").repartition(5)
+    from pyspark.sql import functions as F
+
+    found = ranking.thresholds(df, ["g"], ["x", "k"], F.floor(F.col("_size") * 0.5)).collect()
+    expected = {}
+    for g in {r[0] for r in rows}:
+        own = sorted((x, k) for h, x, k in rows if h == g)
+        expected[g] = own[len(own) // 2 - 1]
+    assert {r.g: (r.x, r.k) for r in found} == expected
+    assert ranking.thresholds(df, ["g"], ["x", "k"], F.lit(0)).count() == 0

@@ -149,3 +149,28 @@ def test_unseen_category_is_all_zeros(spark):
     fresh = spark.createDataFrame([(2.0, "z"), (2.0, "b")], "n double, c string")
     got = [list(r.features.toArray()) for r in prepared.transform(fresh).collect()]
     assert got == [[0.0, 0.0, 0.0], [0.0, 0.0, 1.0]]
+
+
+@pytest.mark.parametrize("share", [0.8, 0.5, 0.0, 1.0])
+def test_split_takes_exactly_the_rounded_share_of_each_label(spark, share):
+    draw = random.Random(5)
+    rows = [(f"p{i}", draw.choice([1, 1, 1, 0, None])) for i in range(487)] + [("alone", 7)]
+    df = spark.createDataFrame(rows, "customer_unique_id string, is_churned int")
+    got = {r.customer_unique_id: r for r in ml.with_split(df.repartition(3), train_share=share).collect()}
+    assert len(got) == len(rows)
+    for label in (0, 1, None, 7):
+        own = [k for k, y in rows if y == label]
+        assert sum(got[k].is_train for k in own) == math.floor(share * len(own) + 0.5)
+    again = {r.customer_unique_id: r.is_train for r in ml.with_split(df.repartition(7), train_share=share).collect()}
+    assert again == {k: r.is_train for k, r in got.items()}
+    other = {r.customer_unique_id: r.is_train
+             for r in ml.with_split(df, train_share=share, seed=1).collect()}
+    assert (other != again) == (0 < share < 1)
+
+
+def test_split_moves_no_row_and_knows_no_window_over_a_label(spark):
+    df = spark.range(40).selectExpr("id AS customer_unique_id", "int(id % 2) AS is_churned",
+                                    "repeat('wide', 10) AS wide")
+    plan = ml.with_split(df)._jdf.queryExecution().sparkPlan().toString()
+    assert all("_slice" in line for line in plan.splitlines() if "windowspecdefinition(" in line)
+    assert not any("wide" in line for line in plan.splitlines() if "Exchange hash" in line)
