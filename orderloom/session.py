@@ -65,6 +65,12 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, wherever it is stored."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def handed_over(df: DataFrame, purpose: str = "rows") -> DataFrame:
     """The same rows, written as Parquet to the shared folder and read back.
 

@@ -10,8 +10,8 @@ from tools.compare import connect, difference
 QUERIES, STATEMENTS = driver.queries(), driver.oracle_sql()
 #: No SQL equivalent: fitted models.
 ROWS_ONLY = {
-    "fit_logreg", "fit_forest", "fit_gbt", "model_comparison", "feature_importance",
-    "top_features", "score_customers",
+    "logreg_scores", "forest_scores", "gbt_scores", "model_comparison", "importance_values",
+    "top_features", "customer_scores",
 }
 OWN = sorted(q for q in QUERIES if not re.match(r"op\d+_|pipeline$", q))
 SAMPLE = (
