@@ -136,7 +136,8 @@ def test_fits_are_named_by_rows_and_settings(spark, features, monkeypatch):
     again = ml.fitted_once(features.repartition(3), ml.FOREST, **size)
     assert len(calls) == 1 and again.path == first.path
     # a changed value, a repeated row and another size are other fits
-    changed = features.withColumn("total_orders", F.col("total_orders") + F.expr("int(total_orders = 1)"))
+    one = F.col("customer_unique_id") == features.first().customer_unique_id
+    changed = features.withColumn("total_orders", F.col("total_orders") + one.cast("int"))
     names = {ml.digest(df) for df in (features, changed, features.limit(5), features.union(features))}
     assert len(names) == 4
     assert ml.digest(features, 1) != ml.digest(features, 2)
