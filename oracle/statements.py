@@ -60,8 +60,48 @@ S["bronze_category_translation"] = "select * from src_category_translation"
 S["ingest_csv"] = f"""
 select * replace (nullif(review_comment_message, '') as review_comment_message),
        'order_reviews.csv' as _source_file from ({S['bronze_order_reviews']})"""
-S["scan_csv_inferred"] = """
-select * replace (cast(order_id as varchar) as order_id) from src_order_payments"""
+# the narrowest type that holds all values; written numbers are small or not by their size
+_CHOICE = """case when count({c}) = 0 then 'void'
+     when any_value(typeof({c})) in ('BIGINT', 'INTEGER') then
+          if(max(abs(try_cast({c} as hugeint))) <= 2147483647, 'int', 'bigint')
+     when any_value(typeof({c})) = 'DOUBLE' then 'double'
+     when any_value(typeof({c})) = 'DATE' then 'date'
+     when any_value(typeof({c})) like 'TIMESTAMP%' then 'timestamp_ntz' else 'string' end"""
+_SMALL = "(select max(order_id) <= 2147483647 from src_order_payments)"
+S["scan_csv_inferred"] = f"""
+select * replace (cast(order_id as int) as order_id,
+                  cast(payment_sequential as int) as payment_sequential),
+       'order_id int, payment_sequential int, payment_type string, payment_installments int, '
+       || 'payment_value double' as types
+from src_order_payments where {_SMALL}"""
+_FILES = {
+    "orders": """order_id customer_id order_status order_purchase_timestamp order_approved_at
+        order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date""",
+    "customers": """customer_id customer_unique_id customer_zip_code_prefix customer_city
+        customer_state""",
+    "order_items": """order_id order_item_id product_id seller_id shipping_limit_date price
+        freight_value""",
+    "order_payments": """order_id payment_sequential payment_type payment_installments
+        payment_value""",
+    "order_reviews": """review_id order_id review_score review_comment_title
+        review_comment_message review_creation_date review_answer_timestamp""",
+    "products": """product_id product_category_name product_name_lenght
+        product_description_lenght product_photos_qty product_weight_g product_length_cm
+        product_height_cm product_width_cm""",
+    "sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
+    "geolocation": """geolocation_zip_code_prefix geolocation_lat geolocation_lng
+        geolocation_city geolocation_state""",
+    "category_translation": "product_category_name product_category_name_english",
+}
+S["inferred_types"] = " union all ".join(
+    f"select '{source}' as source, {i}::int as position, '{c}' as column_name,"
+    f" {_CHOICE.format(c=c)} as data_type from src_{source}"
+    for source, columns in _FILES.items() for i, c in enumerate(columns.split())
+) + " union all " + " union all ".join(
+    f"select 'odd_payments', {i}::int, '{c}', "
+    + ("'string'" if c == "payment_installments" else _CHOICE.format(c=c) + " from src_order_payments")
+    for i, c in enumerate(_FILES["order_payments"].split())
+)
 S["scan_csv_declared"] = "select * from src_churn_predictions"
 S["scan_table"] = "select * from src_sellers"
 S["scan_jsonl_audit"] = """
@@ -637,6 +677,12 @@ select date_trunc('hour', ts) as window_start, function, count(*) as calls,
 from audit_calls group by 1, 2"""
 
 S["audit_live"] = S["audit_rollup"]
+S["audit_live_late"] = """
+select cast(max(timestamp) as timestamp) as seen,
+       count(*) + count(*) filter (where day = first_day) as events,
+       count(*) filter (where day = first_day) as late
+from (select timestamp, substr(timestamp, 1, 10) as day,
+             min(substr(timestamp, 1, 10)) over () as first_day from audit_log)"""
 S["kpi_monthly_live"] = S["kpi_monthly"]
 
 # ---- models and statistics

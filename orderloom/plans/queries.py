@@ -15,7 +15,7 @@ from ..operators import (
     stats,
 )
 from ..session import fresh_path, handed_over
-from ..sources import files, schemas, tables
+from ..sources import files, inference, quoted, schemas, tables
 from ..streaming import audit_live, kpi_live
 from . import build
 from .shop import MODELS, Shop
@@ -141,10 +141,34 @@ def _(s):
 
 @query("scan_csv_inferred")
 def _(s):
+    """Payments as their values say, and the types that were found."""
     folder, file_name = _csv_copy(s, "order_payments")
-    return files.read_csv(
-        _spark(s), f"{folder}/{file_name}", schemas.ORDER_PAYMENTS, multi_line=False, typed=True
-    )
+    found = files.read_csv_inferred(_spark(s), f"{folder}/{file_name}")
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)
+    return found.withColumn("types", F.lit(types))
+
+
+@query("inferred_types")
+def _(s):
+    """Types of all nine files, and of payments with an odd last row, in one job."""
+    spark = _spark(s)
+    copies = {source: "/".join(_csv_copy(s, source)) for source in schemas.SOURCES}
+    odd, _ = _csv_copy(s, "order_payments")
+    last = s.src["order_payments"].limit(1).select(
+        "order_id", "payment_sequential", "payment_type", F.lit("none").alias("payment_installments"),
+        "payment_value")
+    last.write.options(header=True).csv(f"{odd}/order_payments.csv/odd")
+    copies["odd_payments"] = f"{odd}/order_payments.csv"
+    texts = {}
+    for source, path in copies.items():
+        header = inference.header_schema(
+            spark, path if source != "odd_payments" else copies["order_payments"])
+        if source == "order_reviews":
+            texts[source] = quoted.read(spark, path, header)
+        else:
+            texts[source] = spark.read.schema(header).options(
+                header=True, recursiveFileLookup=True).csv(path)
+    return inference.column_types(texts)
 
 
 @query("scan_csv_declared")
@@ -1200,19 +1224,33 @@ def _(s):
 # ---- streaming ----------------------------------------------------------------------------
 
 
-@query("audit_live")
-def _(s):
-    """The log in two deliveries, followed to the end; equals the batch rollup."""
+def _followed(s: Shop) -> str:
+    """The log in two deliveries, followed to the end; then late news of its first day."""
     spark = _spark(s)
-    log, out = fresh_path(spark, "audit-log"), fresh_path(spark, "audit-live")
+    log, table = fresh_path(spark, "audit-log"), fresh_path(spark, "audit-live")
     state = fresh_path(spark, "audit-state")
     early = F.col("timestamp") < "2024-01-15"
-    for part in (early, ~early):
-        files.append_audit(s.audit_log.where(part), log)
-        rolled = audit_live.rollup(audit_live.read_log_stream(spark, log))
-        audit_live.follow(rolled, out, state).awaitTermination()
-    newest = audit_live.newest(spark.read.schema(audit_live.written_schema(rolled)).parquet(out))
-    return newest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    first_day = F.substring("timestamp", 1, 10) == s.audit_log.agg(
+        F.substring(F.min("timestamp"), 1, 10)).scalar()
+    for rows in (s.audit_log.where(early), s.audit_log.where(~early), s.audit_log.where(first_day)):
+        files.append_audit(rows, log)
+        stream = audit_live.read_log_stream(spark, log)
+        audit_live.follow(stream, table, state).awaitTermination()
+    return table
+
+
+@query("audit_live")
+def _(s):
+    """Equals the batch rollup of the log: what came too late has changed nothing."""
+    rolled = audit_live.current(_spark(s), _followed(s))
+    return rolled.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("audit_live_late")
+def _(s):
+    """How many events came, and how many of them too late."""
+    report = audit_live.lateness_report(_spark(s), _followed(s))
+    return report.withColumn("seen", F.col("seen").cast("timestamp_ntz"))
 
 
 @query("kpi_monthly_live")

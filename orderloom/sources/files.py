@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import schemas
+from . import inference, quoted, schemas
 from .tables import write_table
 
 Shape = Callable[[DataFrame], DataFrame]
+#: Layout of timestamps in the files.
+SECONDS = "yyyy-MM-dd HH:mm:ss"
 
 
 def read_csv(
@@ -18,21 +20,32 @@ def read_csv(
     """CSV with header, quotes doubled inside quotes.
 
     Columns come as text, for shaping with ``try_cast``, unless ``typed``. ``multi_line``
-    allows line breaks inside quotes but makes each file one task; switch it off for sources
-    without free text so that large files are split.
+    allows line breaks inside quotes; large files are split either way, but finding out how each
+    split starts takes two more passes, so switch it off for sources without free text.
     """
     schema = schemas.struct(ddl) if typed else schemas.as_text(ddl)
+    if multi_line:
+        return quoted.read(spark, path, schema, timestampNTZFormat=SECONDS)
     return (
         spark.read.schema(schema)
-        .options(header=True, quote='"', escape='"', multiLine=multi_line,
-                 timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
-        .csv(path)
+        .options(header=True, quote='"', escape='"', timestampNTZFormat=SECONDS).csv(path)
+    )
+
+
+def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with header whose types come from all of its values (``inference``)."""
+    texts = spark.read.schema(inference.header_schema(spark, path)).options(
+        header=True, quote='"', escape='"').csv(path)
+    types = inference.column_types({"file": texts})
+    return (
+        spark.read.schema(inference.schema_of(types))
+        .options(header=True, quote='"', escape='"', timestampNTZFormat=SECONDS).csv(path)
     )
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.options(header=True, quote='"', escape='"',
-                     timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(path)
+                     timestampNTZFormat=SECONDS).csv(path)
 
 
 # ---- shaping of raw columns ----------------------------------------------------------------
@@ -141,8 +154,7 @@ def ingest_csv(
 ) -> int:
     """Read one CSV, shape it, add lineage and replace the table; returns its row count.
 
-    ``multi_line`` is for texts with line breaks; each file is one task then, so such a source
-    must be a folder of many files of bounded size.
+    ``multi_line`` is for texts with line breaks; such files are split as well (``quoted``).
     """
     df = read_csv(spark, f"{folder.rstrip('/')}/{file_name}", ddl, multi_line)
     if shape is not None:

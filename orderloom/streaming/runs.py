@@ -32,7 +32,7 @@ def write_run(df: DataFrame, table: str, kind: str, run: int) -> None:
 
 
 def read_runs(
-    spark: SparkSession, table: str, chosen: list[tuple[str, int]], schema: StructType
+    spark: SparkSession, table: str, chosen: list[tuple[str, int]], schema: StructType | str
 ) -> DataFrame:
     """Rows of some runs; no runs, no rows."""
     paths = [run_path(table, kind, run) for kind, run in chosen]
