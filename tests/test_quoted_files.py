@@ -53,7 +53,7 @@ def test_rows_are_those_of_the_multi_line_reader(spark, tmp_path, small_splits,
     expected = rows_of(one_task(spark, str(tmp_path)))
     small_splits(size)
     found = quoted.read(spark, str(tmp_path), one_task(spark, str(tmp_path)).schema)
-    assert rows_of(found) == expected and len(expected) == 350
+    assert rows_of(found) == expected and len(expected) == 450
     assert quoted.lines(spark, str(tmp_path)).select("file", "start").distinct().count() > 3
     if size < 4096:
         assert quoted.lines(spark, str(tmp_path)).rdd.getNumPartitions() > 8
@@ -73,7 +73,7 @@ def test_carriage_returns_blank_lines_and_a_missing_last_newline(spark, tmp_path
     for size in (11, 10_000):
         small_splits(size)
         found = quoted.read(spark, str(tmp_path), one_task(spark, str(tmp_path)).schema)
-        assert rows_of(found) == expected and len(expected) == 3
+        assert rows_of(found) == expected and len(expected) == 4
 
 
 def test_quotes_that_do_not_pair_are_an_error(spark, tmp_path):
