@@ -117,39 +117,56 @@ FROM s
 """
 
 
-OP7 = """
+#: White space of any script; a line of nothing else is blank.
+_INK = r"[^\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+OP7 = f"""
 WITH l AS (
   SELECT doc_id, t, unnest(string_split(t, chr(10))) AS line,
          generate_subscripts(string_split(t, chr(10)), 1) - 1 AS line_at
   FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 ),
 w AS (
-  SELECT doc_id, md5(t) AS h, line_at,
-         list_transform(list_filter(string_split(line, ' '), lambda x: x <> ''),
-             lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens
-  FROM l
+  SELECT doc_id, md5(t) AS h, line_at, list_filter(string_split(line, ' '), lambda x: x <> '') AS tokens
+  FROM l WHERE regexp_matches(line, '{_INK}')
+),
+n AS MATERIALIZED (
+  SELECT *, len(tokens) AS size,
+         list_transform(tokens[1:3], lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS lead
+  FROM w WHERE len(tokens) > 0
 ),
-n AS (SELECT *, len(tokens) AS size, tokens[1:3] AS lead FROM w WHERE len(tokens) >= 3),
-leaves AS (SELECT size, lead FROM n GROUP BY size, lead HAVING count(DISTINCT h) >= 10),
-cells AS (
-  SELECT size, lead, doc_id, h, line_at, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place
-  FROM n SEMI JOIN leaves USING (size, lead)
+levels(least, tokens_from, percent) AS (VALUES (10, 1, 60), (5, 8, 80), (3, 20, 90), (2, 50, 90)),
+cells AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT size, lead, doc_id, h, line_at, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place
+    FROM n
+  ) WHERE NOT regexp_matches(token, '[0-9]')
 ),
 constants AS (
-  SELECT size, lead, place, token FROM cells WHERE token <> '<*>'
-  GROUP BY size, lead, place, token HAVING count(DISTINCT h) >= 10
+  SELECT size, lead, place, token, count(DISTINCT h) AS texts FROM cells
+  GROUP BY size, lead, place, token HAVING texts >= 2
 ),
-lined AS (
-  SELECT size, lead, doc_id, h, line_at, string_agg(place || ' ' || token, ' ' ORDER BY place) AS pattern
+held AS (
+  SELECT size, lead, doc_id, h, line_at, least, any_value(percent) AS percent, count(*) AS n,
+         string_agg(place || ' ' || token, ' ' ORDER BY place) AS pattern
   FROM cells JOIN constants USING (size, lead, place, token)
-  GROUP BY size, lead, doc_id, h, line_at HAVING count(*) * 100 >= size * 60
+       JOIN levels ON texts >= least AND size >= tokens_from
+  GROUP BY size, lead, doc_id, h, line_at, least
+),
+lined AS (
+  SELECT size, lead, doc_id, h, line_at, least, 'constants' AS kind, pattern
+  FROM held WHERE n * 100 >= size * percent
+  UNION ALL
+  SELECT size, lead, doc_id, h, line_at, (SELECT min(least) FROM levels WHERE size >= tokens_from),
+         'whole', array_to_string(tokens, ' ')
+  FROM n WHERE len(list_filter(tokens, lambda x: regexp_matches(x, '[0-9]'))) > 0
 ),
 common AS (
-  SELECT size, lead, pattern, min((doc_id, line_at)) AS first FROM lined
-  GROUP BY size, lead, pattern HAVING count(DISTINCT h) >= 10
+  SELECT size, lead, least, kind, pattern, min((doc_id, line_at)) AS first FROM lined
+  GROUP BY size, lead, least, kind, pattern HAVING count(DISTINCT h) >= least
 ),
 dropped AS (
-  SELECT DISTINCT doc_id, line_at FROM lined JOIN common USING (size, lead, pattern)
+  SELECT DISTINCT doc_id, line_at FROM lined JOIN common USING (size, lead, least, kind, pattern)
   WHERE (doc_id, line_at) <> first
 )
 SELECT l.doc_id, count(*) AS n_lines, count(dropped.line_at) AS n_dropped,

@@ -75,32 +75,39 @@ def test_components(spark):
     assert found == {**{n: 1 for n in (1, 2, 3, 4, 5)}, **{n: 10 for n in (10, 11, 12)}, **{n: 100 for n in range(100, 140)}}
 
 
-def brute_lines(rows, least=10):
-    """The template tree on one machine."""
+#: Texts that suffice, from so many tokens on, of which so many in a hundred are constants.
+LEVELS = ((10, 1, 60), (5, 8, 80), (3, 20, 90), (2, 50, 90))
+
+
+def brute_lines(rows):
+    """The template tree on one machine, from the words of its rule."""
     from collections import defaultdict
-    lines = []
-    for key, text in rows:
-        for at, line in enumerate((text or "").split("\n")):
-            tokens = ["<*>" if any(c in "0123456789" for c in t) else t for t in line.split(" ") if t]
-            if len(tokens) >= 3:
-                lines.append((key, text, at, tokens))
-    leaf = lambda tokens: (len(tokens), *tokens[:3])
-    in_leaf, spots, templates, firsts = (defaultdict(set) for _ in range(4))
+    digit = lambda token: any(c in "0123456789" for c in token)
+    lines = [
+        (key, text or "", at, [t for t in line.split(" ") if t])
+        for key, text in rows for at, line in enumerate((text or "").split("\n")) if line.strip()
+    ]
+    leaf = lambda tokens: (len(tokens), *["<*>" if digit(t) else t for t in tokens[:3]])
+    spots, templates, firsts = (defaultdict(set) for _ in range(3))
     for key, text, at, tokens in lines:
-        in_leaf[leaf(tokens)].add(text)
         for place, token in enumerate(tokens):
-            spots[leaf(tokens), place, token].add(text)
+            if not digit(token):
+                spots[leaf(tokens), place, token].add(text)
     named = []
     for key, text, at, tokens in lines:
-        held = tuple(
-            (p, t) for p, t in enumerate(tokens)
-            if t != "<*>" and len(in_leaf[leaf(tokens)]) >= least and len(spots[leaf(tokens), p, t]) >= least
-        )
-        if len(held) * 100 >= len(tokens) * 60:
-            named.append((key, text, at, (leaf(tokens), held)))
-            templates[leaf(tokens), held].add(text)
-            firsts[leaf(tokens), held].add((key, at))
-    return {(k, at) for k, text, at, n in named if len(templates[n]) >= least and (k, at) != min(firsts[n])}
+        own = []
+        for least, from_, percent in LEVELS:
+            held = tuple((p, t) for p, t in enumerate(tokens)
+                         if not digit(t) and len(spots[leaf(tokens), p, t]) >= least)
+            if held and len(tokens) >= from_ and len(held) * 100 >= len(tokens) * percent:
+                own.append((least, leaf(tokens), held))
+        if any(map(digit, tokens)):
+            own.append((min(least for least, from_, _ in LEVELS if len(tokens) >= from_), tuple(tokens)))
+        for name in own:
+            named.append((key, at, name))
+            templates[name].add(text)
+            firsts[name].add((key, at))
+    return {(k, at) for k, at, n in named if len(templates[n]) >= n[0] and (k, at) != min(firsts[n])}
 
 
 def test_recurring_lines_match_brute_force(spark):
