@@ -305,6 +305,7 @@ where function in ('error', 'click') and status in ('error', 'success')"""
 S["join_order_payment_review"] = """
 select order_id, total_payment_value, primary_payment_type, review_score, has_review_comment
 from int_orders"""
+S["join_order_payment_review_bucketed"] = S["join_order_payment_review"]
 S["join_translation"] = "select product_id, category_name_en, category_name_pt from stg_products"
 S["join_customer_orders_left"] = """
 select customer_unique_id,
@@ -317,6 +318,7 @@ select customer_unique_id, total_orders, last_order_at from silver_customers"""
 S["join_fact_star"] = """
 select order_id, customer_unique_id, customer_sk, item_count, items_subtotal_brl
 from fct_orders"""
+S["join_fact_star_bucketed"] = S["join_fact_star"]
 S["join_geo_composite"] = "select customer_unique_id, city, state, lat, lng from dim_customers"
 S["cross_reference_date"] = """
 select customer_unique_id, last_order_at, reference_date
@@ -683,7 +685,7 @@ select cast(max(timestamp) as timestamp) as seen,
        count(*) filter (where day = first_day) as late
 from (select timestamp, substr(timestamp, 1, 10) as day,
              min(substr(timestamp, 1, 10)) over () as first_day from audit_log)"""
-S["kpi_monthly_live"] = S["kpi_monthly"]
+S["kpi_monthly_live"] = S["kpi_monthly_refreshed"] = S["kpi_monthly"]
 
 # ---- models and statistics
 

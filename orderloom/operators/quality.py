@@ -81,47 +81,92 @@ def duplicated_keys(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def _report_rows(table: str, counted: DataFrame, tests: Sequence[tuple[str, str]]) -> DataFrame:
-    """Turn one row of failure counts into one row per test."""
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"),
-                 F.coalesce(F.col(f"f{i}"), F.lit(0)).alias("failures"))
-        for i, (c, t) in enumerate(tests)
+def _row_tests(checks: Checks) -> list[tuple[str, str, Column]]:
+    """The tests that a row fails or passes alone."""
+    tests = [(c, NOT_NULL, F.col(c).isNull()) for c in checks.not_null if c not in checks.unique]
+    return tests + [
+        (c, ACCEPTED, F.col(c).isNotNull() & ~F.col(c).isin(*v)) for c, v in checks.accepted.items()
+    ]
+
+
+def _hashed(df: DataFrame, checks: Checks) -> DataFrame:
+    """One row per key column (``_k``) and hash of its value (``_h``, NULL for none): rows, and
+    failures of the row tests.
+
+    A row appears once per key column, the first time with its failures, so the table is read
+    once for all of its tests, and what moves is a hash per key, combined before it does.
+    """
+    failed = [e.cast("int").alias(f"f{i}") for i, (_, _, e) in enumerate(_row_tests(checks))]
+    keys = F.array(*[
+        F.struct(F.lit(i).alias("_k"), F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias("_h"))
+        for i, c in enumerate(checks.unique)
     ])
-    return counted.select(F.lit(table).alias("table_name"), F.inline(rows)).withColumn(
-        "passed", F.col("failures") == 0
+    rows = df.select(*failed, F.inline(keys))
+    return rows.groupBy("_k", "_h").agg(
+        F.count("*").alias("n"),
+        *[F.sum(F.when(F.col("_k") == 0, F.col(f"f{i}"))).alias(f"f{i}") for i in range(len(failed))],
     )
 
 
-def _plain(df: DataFrame, checks: Checks) -> DataFrame | None:
-    """All row-wise tests of a table in one pass."""
-    tests = [(c, NOT_NULL, nulls(c)) for c in checks.not_null if c not in checks.unique]
-    tests += [(c, ACCEPTED, outside(c, v)) for c, v in checks.accepted.items()]
-    if not tests:
-        return None
-    counted = df.agg(*[e.alias(f"f{i}") for i, (_, _, e) in enumerate(tests)])
-    return _report_rows(checks.table, counted, [(c, t) for c, t, _ in tests])
+def first_pass(df: DataFrame, checks: Checks) -> DataFrame:
+    """All tests of a table in one scan: table_name, column_name, test, failures.
+
+    For a key the failures of uniqueness are hashes that occur more than once. Where there are
+    none, all values differ; where there are some, equal values are still to be told from equal
+    hashes (``repeated_values``).
+    """
+    tests = [(c, t) for c, t, _ in _row_tests(checks)]
+    if checks.unique:
+        seen, k = _hashed(df, checks), F.col("_k")
+        counted = [F.sum(f"f{i}") for i in range(len(tests))]
+        for i, column in enumerate(checks.unique):
+            tests += [(column, UNIQUE), (column, NOT_NULL)]
+            counted += [
+                F.count_if((k == i) & F.col("_h").isNotNull() & (F.col("n") > 1)),
+                F.sum(F.when((k == i) & F.col("_h").isNull(), F.col("n"))),
+            ]
+    else:
+        seen = df
+        counted = [F.count_if(e) for _, _, e in _row_tests(checks)]
+    row = seen.agg(*[c.alias(f"c{i}") for i, c in enumerate(counted)])
+    listed = F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"),
+                 F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("bigint").alias("failures"))
+        for i, (c, t) in enumerate(tests)
+    ])
+    return row.select(F.lit(checks.table).alias("table_name"), F.inline(listed))
 
 
-def _key_tests(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Uniqueness and completeness of a key from the same grouping."""
-    key, n = F.col(column), F.col("n")
-    counted = df.groupBy(key).agg(F.count("*").alias("n")).agg(
-        F.count_if(key.isNotNull() & (n > 1)).alias("f0"),
-        F.sum(F.when(key.isNull(), n)).alias("f1"),
-    )
-    return _report_rows(table, counted, [(column, UNIQUE), (column, NOT_NULL)])
+def repeated_values(df: DataFrame, checks: Checks, column: str) -> int:
+    """How many values of a key occur more than once, looking only at rows of repeated hashes."""
+    place = checks.unique.index(column)
+    suspects = _hashed(df, checks).where(
+        (F.col("_k") == place) & F.col("_h").isNotNull() & (F.col("n") > 1)
+    ).select("_h")
+    rows = df.select(F.col(column)).withColumn("_h", F.xxhash64(column))
+    return duplicated_keys(rows.join(suspects, "_h", "left_semi"), column).count()
 
 
 def report(tables: Mapping[str, DataFrame], checks: Sequence[Checks] = ALL_CHECKS) -> DataFrame:
-    """One row per declared check: table, column, test, failures, passed."""
-    parts = []
-    for c in checks:
-        df = tables[c.table]
-        plain = _plain(df, c)
-        parts += [plain] if plain is not None else []
-        parts += [_key_tests(df, c.table, key) for key in c.unique]
-    return reduce(DataFrame.unionByName, parts)
+    """One row per declared check: table, column, test, failures, passed.
+
+    One job scans every table once. Only a key with repeated hashes is looked at again, so the
+    report is made when this is called; the driver sees one row per check.
+    """
+    by_table = {c.table: c for c in checks}
+    found = reduce(
+        DataFrame.unionByName, [first_pass(tables[c.table], c) for c in checks]
+    ).collect()
+    rows = []
+    for r in found:
+        failures = r.failures
+        if r.test == UNIQUE and failures:
+            failures = repeated_values(tables[r.table_name], by_table[r.table_name], r.column_name)
+        rows.append((r.table_name, r.column_name, r.test, failures, failures == 0))
+    some = next(iter(tables.values()))
+    return some.sparkSession.createDataFrame(
+        rows, "table_name string, column_name string, test string, failures bigint, passed boolean"
+    )
 
 
 class DataQualityError(RuntimeError):

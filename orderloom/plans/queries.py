@@ -17,7 +17,7 @@ from ..operators import (
 from ..session import fresh_path, handed_over
 from ..sources import files, inference, quoted, schemas, tables
 from ..streaming import audit_live, kpi_live
-from . import build
+from . import build, months
 from .shop import MODELS, Shop
 
 Build = Callable[[Shop], DataFrame]
@@ -25,6 +25,7 @@ REGISTRY: dict[str, Build] = {}
 
 #: The supplied tables cover 1995 to 2001, so date windows are set to that span.
 FIRST_DAY, LAST_DAY = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
+RECENT = dt.datetime(1998, 1, 1)
 DEMO_SECRET = "demo-secret-for-checks"
 TODAY = "2001-08-31"
 
@@ -287,6 +288,53 @@ def _(s):
     )
 
 
+def _by_order(s: Shop) -> Shop:
+    """A shop over stored sources, those with rows per order bucketed alike."""
+    spark, schema = _spark(s), _table_name("by_order")
+    tables.create_schema(spark, schema)
+    wanted = {name: s.src[name] for name in schemas.SOURCES}
+    tables.store_by_order(wanted, schema, 8, fresh_path(spark, "by-order"))
+    return Shop.over_tables(spark, schema)
+
+
+@query("join_order_payment_review_bucketed")
+def _(s):
+    """As ``join_order_payment_review``, over stored tables that meet bucket by bucket."""
+    return _by_order(s).int_orders.select(
+        "order_id", "total_payment_value", "primary_payment_type", "review_score",
+        "has_review_comment",
+    )
+
+
+@query("join_fact_star_bucketed")
+def _(s):
+    return _by_order(s).fct_orders.select(
+        "order_id", "customer_unique_id", "customer_sk", "item_count", "items_subtotal_brl"
+    )
+
+
+@query("kpi_monthly_refreshed")
+def _(s):
+    """Monthly sums of an earlier state, in which of the orders since 1998 every fifth was still
+    on its way and every seventh had not come yet; then the changed months are rebuilt."""
+    spark = _spark(s)
+    now = handed_over(s.dated_orders.select(
+        "order_id", "order_status", "order_month", "review_score", "days_to_deliver",
+        "delivered_on_time", "total_payment_value", "has_review_comment", "used_voucher",
+    ), "orders")
+    recent = F.col("order_month") >= F.lit(RECENT)
+    earlier = handed_over(
+        now.where(~recent | (F.col("order_id") % 7 != 0)).withColumn(
+            "order_status",
+            F.when(recent & (F.col("order_id") % 5 == 0), "shipped").otherwise(F.col("order_status"))),
+        "earlier",
+    )
+    path = fresh_path(spark, "monthly-sums")
+    months.build(earlier, path)
+    months.refresh(now, path, months.changed_months(earlier, now, "order_status"))
+    return months.indicators(spark, path)
+
+
 @query("write_predictions")
 def _(s):
     path = fresh_path(_spark(s), "predictions")
