@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import date_of, days_between, days_earlier
 from ..functions.keys import any_true, value_at_max
-from ..functions.numeric import flag, money_mean, ratio, rounded
+from ..functions.numeric import (
+    flag, money_mean, money_part, money_total, money_whole, ratio, rounded,
+)
 from ..functions.segments import risk_tier, risk_tier_rank
 from .ranking import quantiles
 
@@ -23,6 +25,8 @@ NUMERIC_FEATURES = (
 CATEGORICAL_FEATURES = (
     "state", "order_frequency_segment", "satisfaction_segment", "primary_payment_type",
 )
+#: Counts of a basket whose means are signals.
+BASKET = ("item_count", "distinct_products", "distinct_sellers")
 LEAKY_FEATURES = ("days_since_last_order", "recency_to_lifespan_ratio")
 
 
@@ -48,6 +52,42 @@ def order_signals(fact: DataFrame) -> DataFrame:
     )
 
 
+def signal_sums() -> dict[str, tuple[Column, Column]]:
+    """What ``order_signals`` needs of an account, and how accounts are merged to a person."""
+    value = F.col("total_payment_value")
+    dearest = F.when(
+        value.isNotNull(),
+        F.struct("total_payment_value", "order_id", "primary_payment_type"),
+    )
+    added = lambda column, name: (column, F.sum(name))
+    sums = {"_min_score": (F.min("review_score"), F.min("_min_score")),
+            "_dearest": (F.max(dearest), F.max("_dearest")),
+            "_voucher": (any_true("used_voucher"), any_true("_voucher")),
+            "_credit": (any_true("used_credit_card"), any_true("_credit")),
+            "_commented": added(F.count_if("has_review_comment"), "_commented"),
+            "_freight_whole": added(F.sum(money_whole("freight_total_brl")), "_freight_whole"),
+            "_freight_part": added(F.sum(money_part("freight_total_brl")), "_freight_part"),
+            "_n_freight": added(F.count("freight_total_brl"), "_n_freight")}
+    for name in BASKET:
+        sums[f"_{name}"] = added(F.sum(name), f"_{name}")
+        sums[f"_n_{name}"] = added(F.count(name), f"_n_{name}")
+    return sums
+
+
+def with_signals(people: DataFrame) -> DataFrame:
+    """The columns of ``order_signals`` from merged ``signal_sums``."""
+    freight = money_total("_freight_whole", "_freight_part")
+    return people.withColumns({
+        **{f"avg_{name}": ratio(f"_{name}", f"_n_{name}") for name in BASKET},
+        "avg_freight_brl": ratio(freight, "_n_freight"),
+        "used_voucher_ever": F.col("_voucher"),
+        "used_credit_card_ever": F.col("_credit"),
+        "primary_payment_type": F.col("_dearest.primary_payment_type"),
+        "min_review_score": _or("_min_score", 5),
+        "pct_reviews_with_comment": ratio("_commented", "review_count"),
+    }).drop(*signal_sums())
+
+
 def reference_date(fact: DataFrame) -> Column:
     """Newest purchase as a scalar subquery: one value, nothing brought to the driver."""
     return fact.agg(F.max("purchased_at")).scalar()
@@ -79,9 +119,14 @@ def features(
     fact: DataFrame, people: DataFrame, horizon_days: int = 90, inclusive: bool = True
 ) -> DataFrame:
     """Feature row of everyone who is ``eligible``."""
+    known = eligible(people, fact, horizon_days, inclusive)
+    return feature_columns(known.join(order_signals(fact), "customer_unique_id", "left"))
+
+
+def feature_columns(known: DataFrame) -> DataFrame:
+    """The feature row from history, signals, dates and label."""
     return (
-        eligible(people, fact, horizon_days, inclusive).join(order_signals(fact), "customer_unique_id", "left")
-        .withColumns({
+        known.withColumns({
             "days_since_last_order": days_between("last_order_at", "reference_date"),
             "days_since_first_order": days_between("first_order_at", "reference_date"),
         })

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import days_between
 from ..functions.keys import surrogate_key
@@ -10,7 +12,7 @@ from ..functions.numeric import money_part, money_total, money_whole, ratio, rou
 from ..functions.segments import frequency_segment, satisfaction_segment
 
 
-def _history_by_account(orders: DataFrame) -> DataFrame:
+def _history_by_account(orders: DataFrame, *more: Column) -> DataFrame:
     """Additive order history per account id.
 
     Runs before the join to accounts: its shuffle is the one the join needs anyway, and an
@@ -30,6 +32,7 @@ def _history_by_account(orders: DataFrame) -> DataFrame:
         F.sum("days_to_deliver").alias("days"),
         F.count("days_to_deliver").alias("n_days"),
         F.count_if("delivered_on_time").alias("n_on_time"),
+        *more,
     )
 
 
@@ -37,9 +40,14 @@ def _total(name: str):
     return F.coalesce(F.sum(name), F.lit(0))
 
 
-def _history(orders: DataFrame, customers: DataFrame, keep: str) -> DataFrame:
+def _history(
+    orders: DataFrame, customers: DataFrame, keep: str,
+    more: Mapping[str, tuple[Column, Column]] = {},
+) -> DataFrame:
+    """``more`` names further columns, each with what an account adds and how that is merged."""
     accounts = customers.select("customer_id", "customer_unique_id", "state", "city")
-    joined = _history_by_account(orders).join(accounts, "customer_id", keep)
+    added = [account.alias(name) for name, (account, _) in more.items()]
+    joined = _history_by_account(orders, *added).join(accounts, "customer_id", keep)
     newest = F.when(F.col("last_at").isNotNull(), F.struct("last_at", "customer_id"))
     rolled = joined.groupBy("customer_unique_id").agg(
         F.max_by(F.struct("state", "city"), newest).alias("address"),
@@ -50,6 +58,7 @@ def _history(orders: DataFrame, customers: DataFrame, keep: str) -> DataFrame:
         F.max("last_at").alias("last_order_at"),
         money_total(F.sum("spend_whole"), F.sum("spend_part")).alias("spend"),
         *[F.sum(n).alias(n) for n in ("score", "days")],
+        *[merge.alias(name) for name, (_, merge) in more.items()],
     )
     return rolled.select(
         "customer_unique_id",
@@ -66,12 +75,15 @@ def _history(orders: DataFrame, customers: DataFrame, keep: str) -> DataFrame:
         F.col("n_scored").alias("review_count"),
         rounded(ratio("days", "n_days"), 1).alias("avg_days_to_deliver"),
         F.col("n_on_time").alias("on_time_deliveries"),
+        *more,
     )
 
 
-def order_history(customers: DataFrame, orders: DataFrame) -> DataFrame:
+def order_history(
+    customers: DataFrame, orders: DataFrame, more: Mapping[str, tuple[Column, Column]] = {}
+) -> DataFrame:
     """Order history of every person, including those who never ordered."""
-    return _history(orders, customers, "right")
+    return _history(orders, customers, "right", more)
 
 
 def with_segments(history: DataFrame, zero_order_label: str = "loyal") -> DataFrame:

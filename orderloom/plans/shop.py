@@ -7,8 +7,8 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.keys import surrogate_key
 from ..operators import audit, churn, customers, geography, kpis, orders, staging
-from ..session import handed_over
 from ..sources import fixtures, files, schemas
 
 MODELS = (
@@ -141,15 +141,15 @@ class Shop:
 
     @cached_property
     def churn_features(self) -> DataFrame:
-        """Personal history, order signals and newest date all read the order grain, so it is
-        stored once instead of being rolled up for each of them."""
-        grain = handed_over(self.int_orders, "order-grain")
-        history = customers.order_history(self.stg_customers, grain)
-        people = customers.dimension(history, geography.city_centroids(self.stg_geolocation))
-        fact = handed_over(
-            orders.fact(grain, self.stg_customers, self.stg_order_items), "order-fact"
+        """History and signals come from one aggregate per account and one per person, over
+        orders with their baskets. Nothing is stored: a consumer of a few columns prunes the rest,
+        down to the payments, reviews or items that it does not need."""
+        grain = self.int_orders.join(orders.item_rollup(self.stg_order_items), "order_id", "left")
+        history = customers.order_history(self.stg_customers, grain, churn.signal_sums())
+        people = customers.with_segments(churn.with_signals(history)).withColumn(
+            "customer_sk", surrogate_key("customer_unique_id")
         )
-        return churn.features(fact, people)
+        return churn.feature_columns(churn.eligible(people, self.int_orders))
 
     @cached_property
     def churn_labels(self) -> DataFrame:
@@ -190,10 +190,11 @@ class Shop:
         return customers.gold_segments(self.silver_customers, centroids)
 
     def gold_delivery_by_state(self, min_orders: int = 100) -> DataFrame:
-        """Orders are read for their states and for the people in them, and stored for that."""
-        grain = handed_over(self.silver_orders, "order-grain")
-        people = customers.silver(self.bronze("customers"), grain)
-        return kpis.gold_by_state(grain, self.bronze("customers"), people, min_orders)
+        """Orders are read twice, each time with few columns: for what is summed by state, and
+        for the latest address of the people. Neither needs payments."""
+        return kpis.gold_by_state(
+            self.silver_orders, self.bronze("customers"), self.silver_customers, min_orders
+        )
 
     # ---- access log
 

@@ -92,7 +92,13 @@ def test_lines_are_read_once_per_need(spark, small_folder):
     plan = shop.fct_orders._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [l_orderkey") == 3 and "Expand" not in plan
     features = shop.churn_features._jdf.queryExecution().optimizedPlan().toString()
-    assert "l_orderkey" not in features
+    assert features.count("Relation [l_orderkey") == 3 and "Expand" not in features
+
+
+@pytest.mark.parametrize("name", ["class_weights", "class_balance_90", "filter_tenure"])
+def test_labels_and_dates_need_neither_items_nor_payments(spark, small_folder, name):
+    plan = QUERIES[name](spark, small_folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "l_extendedprice" not in plan
 
 
 @pytest.mark.parametrize("name", [
