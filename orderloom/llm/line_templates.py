@@ -78,48 +78,69 @@ def recurring_lines(
         _common(lines, ["_leaf", "_fewest"], F.col("_fewest")).select("_leaf"), "leaves"
     )
     in_leaf = handed_over(row_filter(leaves, F.col("_leaf"), filter_bits), "leaf-filter")
-    # only lines of common leaves are taken apart; a few others pass the filter and change nothing
-    cells = handed_over(
+    # only lines of common leaves are looked at; a few others pass the filter and change nothing
+    picked = handed_over(
         with_pass(lines, in_leaf, F.col("_leaf"), "_go", filter_bits).where("_go").select(
-            "_leaf", "_id", "_text_hash", "_at", F.size("_tokens").alias("_size"), "_fewest",
-            F.posexplode("_tokens").alias("_place", "_token"),
-        ).select("*", F.xxhash64("_token").alias("_word"), F.col("_token").rlike("[0-9]").alias("_field"))
-        .drop("_token"),
-        "cells",
-    )
-    spot = ["_leaf", "_place", "_word"]
+            "_id", "_text_hash", "_at", "_leaf", "_fewest", "_tokens",
+            F.xxhash64("_tokens").alias("_line"),
+        ),
+        "picked",
+    )
+    # a spot is a token at its place in a leaf
+    spots = F.posexplode("_tokens").alias("_place", "_token")
+    spot = F.xxhash64("_leaf", "_place", "_token").alias("_spot")
+    fixed = ~F.col("_token").rlike("[0-9]")
     constants = handed_over(
-        _common(cells.where("NOT _field"), [*spot, "_fewest"], F.col("_fewest")).select(*spot, "_texts"),
+        _common(
+            picked.select("_leaf", "_text_hash", "_fewest", spots).where(fixed)
+            .select(spot, F.col("_fewest").cast("byte").alias("_fewest"), "_text_hash"),
+            ["_spot", "_fewest"], F.col("_fewest"),
+        ).select("_spot", "_texts"),
         "constants",
     )
-    # constants come straight from a file: AQE may split the cells of a very common one
-    held = cells.where("NOT _field").join(constants, spot)
-    word = F.xxhash64("_place", "_word")
-    line = ["_leaf", "_id", "_text_hash", "_at", "_size"]
-    by_level = held.groupBy(*line).agg(*[
+    # equal lines of a leaf have equal templates, so each is taken apart once, and of its tokens
+    # those that may be constants move
+    unique = handed_over(
+        picked.groupBy("_leaf", "_line").agg(F.any_value("_tokens").alias("_tokens")), "unique"
+    )
+    in_constants = handed_over(row_filter(constants, F.col("_spot"), filter_bits), "spot-filter")
+    cells = unique.select("_leaf", "_line", F.size("_tokens").alias("_size"), spots).where(fixed)
+    cells = with_pass(
+        cells.select("_leaf", "_line", "_size", spot), in_constants, F.col("_spot"), "_go", filter_bits
+    ).where("_go").drop("_go")
+    # dealt out by line while the rows are narrow; a line has no more of them than tokens
+    held = cells.join(constants, "_spot").repartition("_leaf", "_line")
+    by_level = held.groupBy("_leaf", "_line").agg(F.any_value("_size").alias("_size"), *[
         F.struct(
             F.lit(least).alias("least"), F.lit(tokens).alias("tokens"), F.lit(percent).alias("percent"),
             F.count_if(F.col("_texts") >= least).alias("held"),
-            F.bit_xor(F.when(F.col("_texts") >= least, word)).alias("pattern"),
+            F.bit_xor(F.when(F.col("_texts") >= least, F.col("_spot"))).alias("pattern"),
         ).alias(f"_level{n}") for n, (least, tokens, percent) in enumerate(levels)
     ])
-    by_template = (
-        by_level.select(*line, F.explode(F.array(*[f"_level{n}" for n in range(len(levels))])).alias("_of"))
+    by_template = handed_over(
+        by_level.select(
+            "_leaf", "_line", "_size",
+            F.explode(F.array(*[f"_level{n}" for n in range(len(levels))])).alias("_of"),
+        )
         .where("_size >= _of.tokens AND _of.held > 0 AND _of.held * 100 >= _size * _of.percent")
         .select(
-            "_id", "_text_hash", "_at", F.col("_of.least").alias("_least"),
+            "_leaf", "_line", F.col("_of.least").alias("_least"),
             F.xxhash64("_leaf", "_of.least", "_of.held", "_of.pattern").alias("_template"),
-        )
+        ),
+        "line-templates",
     )
+    places = picked.select("_id", "_text_hash", "_at", "_leaf", "_line")
     # constants leave digits out; a line that is equal as a whole needs none
-    whole = with_pass(lines, in_leaf, F.col("_leaf"), "_go", filter_bits).where("_go").where(
-        F.exists("_tokens", lambda t: t.rlike("[0-9]"))
-    ).select(
+    whole = picked.where(F.exists("_tokens", lambda t: t.rlike("[0-9]"))).select(
         "_id", "_text_hash", "_at", F.col("_fewest").alias("_least"),
         F.xxhash64("_leaf", F.lit("whole"), "_tokens").alias("_template"),
     )
-    lined = handed_over(by_template.unionByName(whole), "lined")
-    release(leaves, in_leaf, cells, constants)
+    # both sides come straight from files: AQE may split the places of a very common line
+    lined = handed_over(
+        places.join(by_template, ["_leaf", "_line"]).select(*whole.columns).unionByName(whole),
+        "lined",
+    )
+    release(leaves, in_leaf, picked, constants, unique, in_constants, by_template)
     firsts = lined.groupBy("_template").agg(
         F.min(F.struct("_id", "_at", "_text_hash")).alias("_first")
     )
