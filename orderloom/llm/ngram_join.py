@@ -231,6 +231,17 @@ def _slack(n: str, m: str, other_n: str, other_m: str, percent: int) -> Column:
     return F.greatest(behind(n, m), behind(other_n, other_m)) - need
 
 
+def _reachable(left: str, right: str, percent: int) -> Column:
+    """Whether two documents are in enough lists each to meet as often as similar sets must.
+
+    They meet in no more lists than either is in, and need the smaller m of meetings, and as many
+    as the rest of their sets cannot make up for.
+    """
+    lists = F.least(F.col(f"{left}_live"), F.col(f"{right}_live"))
+    slack = _slack(f"{left}_n", f"{left}_m", f"{right}_n", f"{right}_m", percent)
+    return (lists >= F.least(F.col(f"{left}_m"), F.col(f"{right}_m"))) & (lists + slack >= 0)
+
+
 def _verified(
     pairs: DataFrame, texts: DataFrame, words: int, percent: int, filter_bits: int
 ) -> DataFrame:
@@ -290,7 +301,7 @@ def similar_groups(
     )
     facts = handed_over(
         prefixes.select("_id", "_n", "_m", *BITS)
-        .join(live.select("_id").distinct(), "_id", "left_semi"),
+        .join(live.groupBy("_id").agg(F.count("*").alias("_live")), "_id"),
         "facts",
     )
     release(prefixes, shared, reps)
@@ -320,7 +331,7 @@ def _connected(
 ) -> DataFrame:
     """Components (node, component) of the documents in posting lists.
 
-    ``facts`` has a row per document: size, m and bitmap of its set.
+    ``facts`` has a row per document: size, m and bitmap of its set, and in how many lists it is.
     """
     links = tried = groups = None
     last = False
@@ -383,12 +394,13 @@ def _pivot_links(
     pivots = handed_over(
         some.groupBy("_token").agg(F.min(F.struct(
             draw.alias("draw"), F.col("_id").alias("_p_id"), F.col("_group").alias("_p_group"),
-            F.col("_n").alias("_p_n"), *[F.col(w).alias(f"_p{w}") for w in BITS],
+            *[F.col(c).alias(f"_p{c}") for c in ("_n", "_m", "_live")], *[F.col(w).alias(f"_p{w}") for w in BITS],
         )).alias("_pivot")).select("_token", "_pivot.*").drop("draw"),
         "pivots",
     )
     pairs = some.join(pivots, "_token").withColumn("_far", _differing("", "_p")).where(
         (F.col("_group") != F.col("_p_group")) & _similar_size(F.col("_n"), F.col("_p_n"), percent)
+        & _reachable("", "_p", percent)
         & (F.col("_far") <= _most_differing("_n", "_p_n", percent))
     )
     if tried is not None:
@@ -412,20 +424,24 @@ def _remaining_links(
 
     A pair of different groups has at least one document outside the largest group of the list,
     so that side is the smaller one. Pairs whose bitmaps differ in more bits than their sets may
-    differ in shingles are left out while the lists are met.
+    differ in shingles are left out while the lists are met, and so are pairs one of which is in too
+    few lists of several groups to be similar to the other.
     """
+    lists = handed_over(some.groupBy("_id").agg(F.count("*").alias("_live")), "lists")
+    some = some.drop("_live").join(lists, "_id")
     left = some.where("_group <> _largest").select(
         *[F.col(w).alias(f"_a{w}") for w in BITS],
-        "_token", F.col("_id").alias("_a"), F.col("_n").alias("_a_n"), F.col("_m").alias("_a_m"),
+        "_token", F.col("_id").alias("_a"), *[F.col(c).alias(f"_a{c}") for c in ("_n", "_m", "_live")],
         F.col("_group").alias("_a_group"),
     )
     right = some.select(
         *[F.col(w).alias(f"_b{w}") for w in BITS],
-        "_token", F.col("_id").alias("_b"), F.col("_n").alias("_b_n"), F.col("_m").alias("_b_m"),
+        "_token", F.col("_id").alias("_b"), *[F.col(c).alias(f"_b{c}") for c in ("_n", "_m", "_live")],
         F.col("_group").alias("_b_group"), (F.col("_group") == F.col("_largest")).alias("_b_large"),
     )
     met = left.join(right, "_token").where(
-        (_differing("_a", "_b") <= _most_differing("_a_n", "_b_n", percent))
+        _reachable("_a", "_b", percent)
+        & (_differing("_a", "_b") <= _most_differing("_a_n", "_b_n", percent))
         & (F.col("_a_group") != F.col("_b_group")) & (F.col("_b_large") | (F.col("_a") < F.col("_b")))
         & _similar_size(F.col("_a_n"), F.col("_b_n"), percent)
     )
@@ -440,5 +456,5 @@ def _remaining_links(
         pairs = pairs.join(known, ["a", "b"], "left_anti")
     pairs = handed_over(pairs, "pairs")
     found = similar(pairs)
-    release(pairs)
+    release(pairs, lists)
     return found
