@@ -8,7 +8,8 @@ Two documents of different m must agree in the smaller number.
 
 Documents with equal sets are one. What is asked for are the groups that links connect, so two
 documents known to be connected need no comparison: first everybody is compared with one pivot
-per posting list, and only pairs that are not connected by that are enumerated.
+per posting list, and only pairs that are not connected by that are enumerated. Postings carry a
+bitmap of the lists that their document is in, so a pair without its m matches is not even made.
 """
 
 from __future__ import annotations
@@ -33,12 +34,13 @@ WORDS, PERCENT = 5, 80
 SKETCH_BITS, SKETCH_BLOCK = 21, 2**14
 #: Largest m, and how many postings one comparison of two sets costs.
 LONGEST, COMPARISON = 8, 20.0
-#: Rounds of pivots end after one that links less than this share of the documents it compares, or
-#: after so many. The rest is enumerated, whatever its number.
-WORTHWHILE, ROUNDS = 0.5, 5
-#: Words of 64 bits in the parity bitmap of a set.
+#: Rounds of pivots: the second one reaches what the first left beside a large group. The rest is
+#: enumerated, whatever its number.
+ROUNDS = 2
+#: Words of 64 bits in the parity bitmap of a set, and in the bitmap of the lists it is in.
 BIT_WORDS = 4
 BITS = [f"_bits{i}" for i in range(BIT_WORDS)]
+LISTS = [f"_lists{i}" for i in range(BIT_WORDS)]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -231,13 +233,28 @@ def _slack(n: str, m: str, other_n: str, other_m: str, percent: int) -> Column:
     return F.greatest(behind(n, m), behind(other_n, other_m)) - need
 
 
+def _memberships(rows: DataFrame) -> DataFrame:
+    """In how many lists each document is, and a bitmap of them: _id, _live, and its words."""
+    place = f"pmod(_token, {64 * BIT_WORDS}) div 64"
+    return rows.groupBy("_id").agg(F.count("*").alias("_live"), *[
+        F.expr(f"bit_or(IF({place} = {i}, shiftleft(1L, int(pmod(_token, 64))), 0L))").alias(word)
+        for i, word in enumerate(LISTS)
+    ])
+
+
 def _reachable(left: str, right: str, percent: int) -> Column:
-    """Whether two documents are in enough lists each to meet as often as similar sets must.
+    """Whether two documents can meet in as many lists as similar sets must.
 
-    They meet in no more lists than either is in, and need the smaller m of meetings, and as many
-    as the rest of their sets cannot make up for.
+    Every bit that only one document has is at least one of its lists that the other is not in.
+    They need the smaller m of meetings, and as many as the rest of their sets cannot make up for.
     """
-    lists = F.least(F.col(f"{left}_live"), F.col(f"{right}_live"))
+    def shared(one: str, other: str) -> Column:
+        return F.col(f"{one}_live") - sum(
+            F.bit_count(F.col(f"{one}{w}").bitwiseAND(F.bitwise_not(F.col(f"{other}{w}"))))
+            for w in LISTS
+        )
+
+    lists = F.least(shared(left, right), shared(right, left))
     slack = _slack(f"{left}_n", f"{left}_m", f"{right}_n", f"{right}_m", percent)
     return (lists >= F.least(F.col(f"{left}_m"), F.col(f"{right}_m"))) & (lists + slack >= 0)
 
@@ -300,8 +317,7 @@ def similar_groups(
         "live",
     )
     facts = handed_over(
-        prefixes.select("_id", "_n", "_m", *BITS)
-        .join(live.groupBy("_id").agg(F.count("*").alias("_live")), "_id"),
+        prefixes.select("_id", "_n", "_m", *BITS).join(_memberships(live), "_id"),
         "facts",
     )
     release(prefixes, shared, reps)
@@ -331,42 +347,52 @@ def _connected(
 ) -> DataFrame:
     """Components (node, component) of the documents in posting lists.
 
-    ``facts`` has a row per document: size, m and bitmap of its set, and in how many lists it is.
+    ``facts`` has a row per document: size, m and bitmap of its set, and in which lists it is.
     """
     links = tried = groups = None
-    last = False
-    for number in range(ROUNDS + 1):
+    for number in range(ROUNDS):
         if groups is None:
-            grouped = facts.withColumn("_group", F.col("_id"))
+            some = handed_over(live.join(facts, "_id").withColumn("_group", F.col("_id")), "placed")
         else:
-            grouped = facts.join(
-                groups.select(F.col("node").alias("_id"), F.col("component").alias("_group")),
-                "_id", "left",
-            ).withColumn("_group", F.coalesce("_group", "_id"))
-        placed = live.join(grouped, "_id")
-        # lists that hold several groups, and the largest of these
-        held = handed_over(placed, "placed")
-        by_group = held.groupBy("_token", "_group").agg(F.count("*").alias("_d"))
-        mixed = by_group.groupBy("_token").agg(
-            F.count("*").alias("_groups"),
-            F.max_by("_group", F.struct("_d", "_group")).alias("_largest"),
-        ).where("_groups > 1")
-        mixed = handed_over(mixed.select("_token", "_largest"), "mixed")
-        some = handed_over(held.join(mixed, "_token"), "in-mixed")
-        release(held, mixed)
-        if last or number == ROUNDS:
-            break
-        found, best, tried = _pivot_links(some, similar, number, tried, percent)
-        last = found.count() < WORTHWHILE * best.count()
-        links = found if links is None else handed_over(links.unionByName(found), "links")
+            some = _mixed(live, facts, groups)
+        found, tried = _pivot_links(some, similar, number, tried, percent)
         release(some)
+        links = found if links is None else handed_over(links.unionByName(found), "links")
         groups = handed_over(components(links), "groups")
+    some = _mixed(live, facts, groups)
     found = _remaining_links(some, similar, tried, percent)
     release(some)
     links = found if links is None else links.unionByName(found)
     return handed_over(components(links), "groups")
 
 
+def _mixed(live: DataFrame, facts: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Rows of the lists that hold several groups, with the largest of these, stored.
+
+    Memberships are those in these lists: documents of different groups meet in no other.
+    """
+    if groups is None:
+        held = live.withColumn("_group", F.col("_id"))
+    else:
+        known = groups.select(F.col("node").alias("_id"), F.col("component").alias("_group"))
+        held = handed_over(
+            live.join(known, "_id", "left").withColumn("_group", F.coalesce("_group", "_id")),
+            "placed",
+        )
+    by_group = held.groupBy("_token", "_group").agg(F.count("*").alias("_d"))
+    mixed = by_group.groupBy("_token").agg(
+        F.count("*").alias("_groups"),
+        F.max_by("_group", F.struct("_d", "_group")).alias("_largest"),
+    ).where("_groups > 1")
+    some = handed_over(held.join(mixed.select("_token", "_largest"), "_token"), "in-mixed")
+    known = handed_over(
+        facts.drop("_live", *LISTS).join(_memberships(some), "_id"), "memberships"
+    )
+    whole = handed_over(some.join(known, "_id"), "in-mixed")
+    release(some, known, *([] if groups is None else [held]))
+    return whole
+
+
 def _differing(left: str, right: str) -> Column:
     """Bits in which two bitmaps differ: at most the shingles in which their sets do."""
     return sum(
@@ -383,7 +409,7 @@ def _most_differing(n: str, other: str, percent: int) -> Column:
 def _pivot_links(
     some: DataFrame, similar: Callable[[DataFrame], DataFrame], number: int,
     tried: DataFrame | None, percent: int,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     """Compare every document with the most alike, by its bitmap, of its lists' pivots.
 
     Each list draws its own pivot in each round, from its largest group once there is one, so a
@@ -394,7 +420,7 @@ def _pivot_links(
     pivots = handed_over(
         some.groupBy("_token").agg(F.min(F.struct(
             draw.alias("draw"), F.col("_id").alias("_p_id"), F.col("_group").alias("_p_group"),
-            *[F.col(c).alias(f"_p{c}") for c in ("_n", "_m", "_live")], *[F.col(w).alias(f"_p{w}") for w in BITS],
+            *[F.col(c).alias(f"_p{c}") for c in ("_n", "_m", "_live", *BITS, *LISTS)],
         )).alias("_pivot")).select("_token", "_pivot.*").drop("draw"),
         "pivots",
     )
@@ -413,7 +439,7 @@ def _pivot_links(
     )
     found = similar(best)
     release(pivots)
-    return found, best, best if tried is None else handed_over(tried.unionByName(best), "tried")
+    return found, best if tried is None else handed_over(tried.unionByName(best), "tried")
 
 
 def _remaining_links(
@@ -424,19 +450,17 @@ def _remaining_links(
 
     A pair of different groups has at least one document outside the largest group of the list,
     so that side is the smaller one. Pairs whose bitmaps differ in more bits than their sets may
-    differ in shingles are left out while the lists are met, and so are pairs one of which is in too
-    few lists of several groups to be similar to the other.
+    differ in shingles are left out while the lists are met, and so are pairs that cannot be in
+    enough lists together.
     """
-    lists = handed_over(some.groupBy("_id").agg(F.count("*").alias("_live")), "lists")
-    some = some.drop("_live").join(lists, "_id")
     left = some.where("_group <> _largest").select(
-        *[F.col(w).alias(f"_a{w}") for w in BITS],
-        "_token", F.col("_id").alias("_a"), *[F.col(c).alias(f"_a{c}") for c in ("_n", "_m", "_live")],
+        "_token", F.col("_id").alias("_a"),
+        *[F.col(c).alias(f"_a{c}") for c in ("_n", "_m", "_live", *BITS, *LISTS)],
         F.col("_group").alias("_a_group"),
     )
     right = some.select(
-        *[F.col(w).alias(f"_b{w}") for w in BITS],
-        "_token", F.col("_id").alias("_b"), *[F.col(c).alias(f"_b{c}") for c in ("_n", "_m", "_live")],
+        "_token", F.col("_id").alias("_b"),
+        *[F.col(c).alias(f"_b{c}") for c in ("_n", "_m", "_live", *BITS, *LISTS)],
         F.col("_group").alias("_b_group"), (F.col("_group") == F.col("_largest")).alias("_b_large"),
     )
     met = left.join(right, "_token").where(
@@ -456,5 +480,5 @@ def _remaining_links(
         pairs = pairs.join(known, ["a", "b"], "left_anti")
     pairs = handed_over(pairs, "pairs")
     found = similar(pairs)
-    release(pairs, lists)
+    release(pairs)
     return found
