@@ -30,20 +30,25 @@ def exact_groups(
     sized = docs.select(F.col(key).alias("_id"), content(text).alias("_text")).select(
         "_id", "_text", F.octet_length("_text").alias("_length")
     )
-    head_hash = F.xxhash64(F.substring("_text", 1, head))
-    # one row per length and beginning, however many copies there are
-    signs = handed_over(
-        sized.groupBy("_length", head_hash.alias("_head")).agg(F.count("*").alias("_n")), "signs"
+    lengths = handed_over(
+        row_filter(
+            sized.groupBy("_length").agg(F.count("*").alias("_n")).where("_n > 1"),
+            F.col("_length"), filter_bits,
+        ),
+        "lengths",
+    )
+    # only texts whose length occurs again have their beginning hashed
+    sized = with_pass(sized, lengths, F.col("_length"), "_again", filter_bits).withColumn(
+        "_head", F.when(F.col("_again"), F.xxhash64(F.substring("_text", 1, head)))
+    )
+    heads = (
+        sized.where("_again").groupBy("_length", "_head").agg(F.count("*").alias("_n"))
+        .where("_n > 1")
     )
-    lengths = signs.groupBy("_length").agg(F.sum("_n").alias("_all")).where("_all > 1")
-    heads = signs.where("_n > 1").join(lengths, "_length", "left_semi")
     same_head = handed_over(
         row_filter(heads, F.struct("_length", "_head"), filter_bits), "same-head"
     )
-    sized = with_pass(
-        sized.withColumn("_head", head_hash), same_head, F.struct("_length", "_head"),
-        "_open", filter_bits,
-    )
+    sized = with_pass(sized, same_head, F.struct("_length", "_head"), "_open", filter_bits)
     whole = F.sha2("_text", 256)
     rows = handed_over(
         sized.select(
@@ -51,7 +56,7 @@ def exact_groups(
         ),
         "digests",
     )
-    release(signs, same_head)
+    release(lengths, same_head)
     groups = handed_over(
         rows.where("_open").groupBy("_length", "digest")
         .agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size")),
