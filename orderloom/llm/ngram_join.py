@@ -9,7 +9,8 @@ Two documents of different m must agree in the smaller number.
 Documents with equal sets are one. What is asked for are the groups that links connect, so two
 documents known to be connected need no comparison: first everybody is compared with one pivot
 per posting list, and only pairs that are not connected by that are enumerated. Postings carry a
-bitmap of the lists that their document is in, so a pair without its m matches is not even made.
+bitmap of the lists that their document is in, so a pair without its m matches is hardly ever
+made, and the first of these lists, so a pair that shares many is made in one of them.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ LONGEST, COMPARISON = 8, 20.0
 ROUNDS = 2
 #: Words of 64 bits in the parity bitmap of a set, and in the bitmap of the lists it is in.
 BIT_WORDS = 4
+#: Smallest lists that a posting names of its document, so that a pair is made in one of them.
+NAMED = 8
 BITS = [f"_bits{i}" for i in range(BIT_WORDS)]
 LISTS = [f"_lists{i}" for i in range(BIT_WORDS)]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -89,10 +92,8 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, mean: float, percent: int) ->
     need = least_overlap(len(tokens), percent)
     shortest = len(tokens) - need + 1
     sums = np.cumsum(partners)
-    chosen = min(
-        range(1, min(LONGEST, need) + 1),
-        key=lambda m: (sums[shortest + m - 2] * (1.0 + COMPARISON / m), m),
-    )
+    ms = np.arange(1, min(LONGEST, need) + 1)
+    chosen = int(ms[np.argmin(sums[shortest + ms - 2] * (1.0 + COMPARISON / ms))])  # ties: the least
     return tokens[: shortest + chosen - 1], chosen
 
 
@@ -234,12 +235,14 @@ def _slack(n: str, m: str, other_n: str, other_m: str, percent: int) -> Column:
 
 
 def _memberships(rows: DataFrame) -> DataFrame:
-    """In how many lists each document is, and a bitmap of them: _id, _live, and its words."""
+    """In how many lists each document is, a bitmap of them, and which are the first: _id, _live,
+    the words of the bitmap, _names."""
+    first = F.slice(F.sort_array(F.collect_list("_token")), 1, NAMED)
     place = f"pmod(_token, {64 * BIT_WORDS}) div 64"
     return rows.groupBy("_id").agg(F.count("*").alias("_live"), *[
         F.expr(f"bit_or(IF({place} = {i}, shiftleft(1L, int(pmod(_token, 64))), 0L))").alias(word)
         for i, word in enumerate(LISTS)
-    ])
+    ], first.alias("_names"))
 
 
 def _reachable(left: str, right: str, percent: int) -> Column:
@@ -352,7 +355,7 @@ def _connected(
     links = tried = groups = None
     for number in range(ROUNDS):
         if groups is None:
-            some = handed_over(live.join(facts, "_id").withColumn("_group", F.col("_id")), "placed")
+            some = handed_over(live.join(facts.drop("_names"), "_id").withColumn("_group", F.col("_id")), "placed")
         else:
             some = _mixed(live, facts, groups)
         found, tried = _pivot_links(some, similar, number, tried, percent)
@@ -386,7 +389,7 @@ def _mixed(live: DataFrame, facts: DataFrame, groups: DataFrame | None) -> DataF
     ).where("_groups > 1")
     some = handed_over(held.join(mixed.select("_token", "_largest"), "_token"), "in-mixed")
     known = handed_over(
-        facts.drop("_live", *LISTS).join(_memberships(some), "_id"), "memberships"
+        facts.drop("_live", "_names", *LISTS).join(_memberships(some), "_id"), "memberships"
     )
     whole = handed_over(some.join(known, "_id"), "in-mixed")
     release(some, known, *([] if groups is None else [held]))
@@ -442,11 +445,11 @@ def _pivot_links(
     return found, best if tried is None else handed_over(tried.unionByName(best), "tried")
 
 
-def _remaining_links(
-    some: DataFrame, similar: Callable[[DataFrame], DataFrame], tried: DataFrame | None,
-    percent: int,
-) -> DataFrame:
-    """All links between documents of different groups.
+def _meetings(some: DataFrame, percent: int) -> DataFrame:
+    """Two documents of different groups that share lists, ``_a`` and ``_b``.
+
+    Of the lists that both documents name, they meet in the first only; documents that name none
+    in common meet in every list that they share.
 
     A pair of different groups has at least one document outside the largest group of the list,
     so that side is the smaller one. Pairs whose bitmaps differ in more bits than their sets may
@@ -454,31 +457,64 @@ def _remaining_links(
     enough lists together.
     """
     left = some.where("_group <> _largest").select(
-        "_token", F.col("_id").alias("_a"),
+        "_token", F.col("_id").alias("_a"), F.col("_names").alias("_a_names"),
         *[F.col(c).alias(f"_a{c}") for c in ("_n", "_m", "_live", *BITS, *LISTS)],
         F.col("_group").alias("_a_group"),
     )
     right = some.select(
-        "_token", F.col("_id").alias("_b"),
+        "_token", F.col("_id").alias("_b"), F.col("_names").alias("_b_names"),
         *[F.col(c).alias(f"_b{c}") for c in ("_n", "_m", "_live", *BITS, *LISTS)],
         F.col("_group").alias("_b_group"), (F.col("_group") == F.col("_largest")).alias("_b_large"),
     )
-    met = left.join(right, "_token").where(
+    return left.join(right, "_token").where(
         _reachable("_a", "_b", percent)
         & (_differing("_a", "_b") <= _most_differing("_a_n", "_b_n", percent))
         & (F.col("_a_group") != F.col("_b_group")) & (F.col("_b_large") | (F.col("_a") < F.col("_b")))
         & _similar_size(F.col("_a_n"), F.col("_b_n"), percent)
+        & F.coalesce(F.array_min(F.array_intersect("_a_names", "_b_names")) == F.col("_token"),
+                     F.lit(True))
     )
-    pairs = (
-        met.groupBy(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).agg(
-            F.count("*").alias("_met"), F.min(F.least("_a_m", "_b_m")).alias("_need"),
-            F.max(_slack("_a_n", "_a_m", "_b_n", "_b_m", percent)).alias("_slack"))
-        .where("_met >= _need AND _met >= -_slack").select("a", "b")
+
+
+def _remaining_links(
+    some: DataFrame, similar: Callable[[DataFrame], DataFrame], tried: DataFrame | None,
+    percent: int,
+) -> DataFrame:
+    """All links between documents of different groups."""
+    met = handed_over(
+        _meetings(some, percent)
+        .select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(),
+        "met",
     )
+    lists = _lists_of(met, some)
+    pairs = _matching(met, lists, percent)
     if tried is not None:
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = pairs.join(known, ["a", "b"], "left_anti")
     pairs = handed_over(pairs, "pairs")
     found = similar(pairs)
-    release(pairs)
+    release(met, lists, pairs)
     return found
+
+
+def _lists_of(pairs: DataFrame, some: DataFrame) -> DataFrame:
+    """All lists of every document of the pairs, stored: _id, _n, _m, _in."""
+    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id")))
+    return handed_over(
+        some.join(ids.distinct(), "_id", "left_semi").groupBy("_id", "_n", "_m")
+        .agg(F.collect_list("_token").alias("_in")),
+        "lists",
+    )
+
+
+def _matching(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that share as many lists as their m and their sizes ask for."""
+    ours, theirs = [
+        lists.select(F.col("_id").alias(side), *[F.col(c).alias(f"_{side}{c}") for c in ("_n", "_m", "_in")])
+        for side in "ab"
+    ]
+    shared = F.size(F.array_intersect("_a_in", "_b_in"))
+    slack = _slack("_a_n", "_a_m", "_b_n", "_b_m", percent)
+    return pairs.join(ours, "a").join(theirs, "b").where(
+        (shared >= F.least("_a_m", "_b_m")) & (shared + slack >= 0)
+    ).select("a", "b")
