@@ -24,7 +24,7 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines cut, but for one occurrence of each; documents of nothing else go."""
     cut = line_templates.without_recurring_lines(docs)
-    left = cut.where((F.col("n_dropped") == 0) | (F.trim("text") != ""))
+    left = cut.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
     changed = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long"))
     return left.withColumn("n_chars", F.coalesce(changed, "n_chars")).select(*docs.columns)
 
@@ -44,7 +44,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, packed as little-endian unsigned 32-bit integers, and the digest of what they
     decode to."""
-    found = bpe.encoded(docs.select("doc_id", "lang", "source", "text"), WORDS_49K)
+    found = bpe.encoded(docs, WORDS_49K)
     return found.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
