@@ -80,7 +80,11 @@ def op3_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found, _ = secret_scan.scan(table(spark, folder, "documents"))
+    """Three quarters of the documents, by a hash of their id, are an earlier delivery whose ledger
+    is at hand when all of them are scanned."""
+    docs = table(spark, folder, "documents")
+    _, ledger = secret_scan.scan(docs.where(~language.held_out("doc_id", 4, 0)))
+    found, _ = secret_scan.scan(docs, ledger)
     spelled = secret_scan.span_columns(found)
     return spelled.select(
         "doc_id", *[f"n_{kind}" for kind, *_ in secret_scan.RULES],

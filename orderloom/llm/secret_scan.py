@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import handed_over
-from .shared import content
+from ..session import handed_over, release
+from .shared import FILTER_BITS, content, row_filter, with_pass
 
 #: Kind, version, pattern, group whose length counts, least length of that group.
 #: The last two patterns hold their least length themselves: a run shorter than it contains no
@@ -60,7 +60,7 @@ def blob(text: str = "text") -> Column:
 
 def scan(
     versions: DataFrame, ledger: DataFrame | None = None, text: str = "text",
-    path: str = "doc_id", rules=RULES,
+    path: str = "doc_id", rules=RULES, filter_bits: int = FILTER_BITS,
 ) -> tuple[DataFrame, DataFrame]:
     """Findings of every place, and the ledger with what was new.
 
@@ -77,34 +77,37 @@ def scan(
         for kind, version, *_ in rules
     ])
     firsts = places.groupBy("blob").agg(F.min("_path").alias("_path"))
-    pairs = firsts.select("blob", "_path", F.inline(wanted))
     unseen = handed_over(
-        pairs.join(known, ["blob", "rule", "rule_version"], "left_anti")
-        .groupBy("blob", "_path").agg(F.collect_set("rule").alias("_todo")),
+        firsts.select("blob", "_path", F.inline(wanted))
+        .join(known, ["blob", "rule", "rule_version"], "left_anti"),
         "unseen",
     )
-    # one place per content meets its text; a path with several versions is told apart by the blob
-    texts = versions.select(
-        F.col(path).alias("_path"), content(text).alias("_text"), blob(text).alias("blob")
-    )
-    scanned = texts.join(
-        unseen.withColumnsRenamed({"_path": "_first", "blob": "_blob"}),
-        F.col("_path").eqNullSafe(F.col("_first")) & (F.col("blob") == F.col("_blob")),
-    )
+    texts = versions.select(F.col(path).alias("_path"), content(text).alias("_text"))
+    filters = []
+    for kind, *_ in rules:
+        filters.append(handed_over(
+            row_filter(unseen.where(F.col("rule") == kind), F.col("_path"), filter_bits), "to-scan"
+        ))
+        texts = with_pass(texts, filters[-1], F.col("_path"), f"_go_{kind}", filter_bits)
     none = F.lit(None).cast(SPANS)
-    results = scanned.select("blob", F.array(*[
-        F.struct(
-            F.lit(kind).alias("rule"), F.lit(version).alias("rule_version"),
-            F.when(F.array_contains("_todo", kind), found_spans("_text", *how))
-            .otherwise(none).alias("spans"),
-        )
-        for kind, version, *how in rules
-    ]).alias("_found"))
+    results = texts.where(" OR ".join(f"_go_{kind}" for kind, *_ in rules)).select(
+        blob("_text").alias("blob"),
+        F.array(*[
+            F.struct(
+                F.lit(kind).alias("rule"), F.lit(version).alias("rule_version"),
+                F.when(F.col(f"_go_{kind}"), found_spans("_text", *how)).otherwise(none).alias("spans"),
+            )
+            for kind, version, *how in rules
+        ]).alias("_found"),
+    )
     new = handed_over(
         results.select("blob", F.inline("_found")).where("spans IS NOT NULL")
-        .dropDuplicates(["blob", "rule", "rule_version"]),  # rows may repeat path and text
+        # rows that only seemed to be among the filter's, and rows that repeat a path and its text
+        .join(unseen, ["blob", "rule", "rule_version"], "left_semi")
+        .dropDuplicates(["blob", "rule", "rule_version"]),
         "scanned",
     )
+    release(unseen, *filters)
     whole = known.select(*new.columns).unionByName(new)
     current = F.broadcast(spark.createDataFrame(
         [(kind, version) for kind, version, *_ in rules], "rule string, rule_version int"

@@ -3,7 +3,7 @@ import re
 import zlib
 from collections import defaultdict
 
-from orderloom.llm import exact_dedup, secret_scan, sharding
+from orderloom.llm import exact_dedup, queries, secret_scan, sharding
 
 from odd_rows import ROWS, empty, odd  # noqa: F401
 
@@ -86,6 +86,39 @@ def test_ledger_scans_only_unseen_pairs(spark):
     assert {i: got[i] for i in range(len(SECRETS))} == {i: hexes(t) for i, t in enumerate(SECRETS)}
 
 
+def test_second_delivery_scans_only_what_is_new(spark, monkeypatch):
+    """The query's second scan stores findings of contents that the first did not have, no others."""
+    stored = []
+    keep = secret_scan.handed_over
+
+    def spy(rows, purpose):
+        found = keep(rows, purpose)
+        if purpose == "scanned":
+            stored.append({(r.blob, r.rule) for r in found.collect()})
+        return found
+
+    monkeypatch.setattr(secret_scan, "handed_over", spy)
+    folder = "/root/testdata/sf0.001"
+    rows = queries.op4_secret_scan(spark, folder).collect()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert {r.doc_id: r.spans for r in rows} == {k: brute_spans(t) for k, t in texts.items()}
+    address = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    earlier = {address(t) for k, t in texts.items() if zlib.crc32(str(k).encode()) % 4}
+    kinds = [kind for kind, *_ in secret_scan.RULES]
+    assert stored[0] == {(b, k) for b in earlier for k in kinds}
+    later = {address(t) for t in texts.values()} - earlier
+    assert later and stored[1] == {(b, k) for b in later for k in kinds}
+
+
+def test_a_filter_that_lets_everything_pass_changes_nothing(spark):
+    docs = spark.createDataFrame([*enumerate(SECRETS), (0, SECRETS[3]), (0, SECRETS[3])], "doc_id long, text string")
+    _, ledger = secret_scan.scan(docs.where("doc_id < 3"))
+    found, whole = secret_scan.scan(docs, ledger, filter_bits=32768)
+    assert whole.count() == len(SECRETS) * len(secret_scan.RULES)
+    assert sorted((r.doc_id, r.spans) for r in secret_scan.span_columns(found).collect()) == sorted(
+        (k, brute_spans(t)) for k, t in [*enumerate(SECRETS), (0, SECRETS[3]), (0, SECRETS[3])])
+
+
 def test_odd_rows_are_all_placed(odd):
     found, _ = secret_scan.scan(odd)
     assert found.count() == len(ROWS)
