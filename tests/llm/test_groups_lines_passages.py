@@ -205,12 +205,15 @@ def test_hits_match_brute_force(spark):
         for _ in range(draw.randint(0, 6) if letters else 0):
             letters[draw.randrange(len(letters))] = draw.choice("xyz ")
         docs.append((i, " ".join([*(word() for _ in range(8)), "".join(letters), word()])))
-    docs += [(100, None), (101, "")]
+    docs += [(100, None), (101, ""), (102, "x Too, short. y"), (103, "xtoo short"), (104, "too shorty")]
     plain = {i: decontaminate.normalised(t or "") for i, t in items}
     expected = {}
     for key, text in docs:
         text = decontaminate.normalised(text or "")
-        hits = {i: edit_distance_within(p, text) for i, p in plain.items() if len(p) >= 20}
+        hits = {
+            i: edit_distance_within(p, text) for i, p in plain.items()
+            if p and (len(p) >= 20 or f" {p} " in f" {text} ")
+        }
         expected[key] = {i: d for i, d in hits.items() if d <= int(len(plain[i]) * 0.05)}
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     listed = spark.createDataFrame(items, "item_id long, text string")
@@ -221,6 +224,14 @@ def test_hits_match_brute_force(spark):
     assert any(expected.values()) and not all(expected.values())
 
 
+def test_short_items_are_whole_words():
+    finder = decontaminate.Finder([(1, "is it so"), (2, "東京はどこ"), (3, "x")], 0.05)
+    assert finder.hits("Is it so?") == finder.hits("so is it so, yes") == {1: 0}
+    assert finder.hits("this it so") == finder.hits("is it sold") == finder.hits("isitso") == {}
+    assert finder.hits("質問東京はどこですか") == {2: 0}
+    assert finder.hits("xx a x") == {3: 0} and finder.hits("xx") == {}
+
+
 def test_hits_of_odd_rows(odd, empty, spark):
     listed = spark.createDataFrame([(1, "quick brown fox jumps over")], "item_id long, text string")
     found = decontaminate.with_hits(odd, listed)
