@@ -125,6 +125,32 @@ def expected(cuts: Cuts, weight: np.ndarray, alpha: np.ndarray, times: np.ndarra
     return use / whole[cuts.row] * times[cuts.row]
 
 
+def long_uses(pieces: Pieces, word: str, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every cut's piece in a word of any length, and its expected number of uses.
+
+    The same forward and backward pass on logarithms, which stay in range however long the word.
+    """
+    starts, ends, found = [], [], []
+    for end, number in pieces.automaton.iter(word):
+        starts.append(end + 1 - int(pieces.lengths[number]))
+        ends.append(end + 1)
+        found.append(number)
+    start, end, piece = np.array(starts), np.array(ends), np.array(found)
+    chance = logs[piece]
+    alpha, beta = np.full(len(word) + 1, -np.inf), np.full(len(word) + 1, -np.inf)
+    alpha[0] = beta[len(word)] = 0.0
+    bounds = np.searchsorted(end, np.arange(len(word) + 2))
+    for place in range(1, len(word) + 1):
+        part = slice(bounds[place], bounds[place + 1])
+        alpha[place] = np.logaddexp.reduce(alpha[start[part]] + chance[part])
+    order = np.argsort(start, kind="stable")
+    bounds = np.searchsorted(start[order], np.arange(len(word) + 2))
+    for place in range(len(word) - 1, -1, -1):
+        part = order[bounds[place]:bounds[place + 1]]
+        beta[place] = np.logaddexp.reduce(beta[end[part]] + chance[part])
+    return piece, np.exp(alpha[start] + chance + beta[end] - alpha[len(word)])
+
+
 class Model(NamedTuple):
     """Languages, and the log probability of every piece (row) in each of them (column)."""
 
@@ -203,14 +229,12 @@ class Scorer:
         return names, scores
 
 
-def _sampled(labelled: DataFrame, language: str, rows: int) -> DataFrame:
+def _sampled(labelled: DataFrame, language: str, sizes: dict[str, int], rows: int) -> DataFrame:
     """About ``rows`` texts of each language, chosen by a hash of the text."""
-    sizes = labelled.groupBy(language).agg(F.count("*").alias("_size"))
     draw = F.pmod(F.xxhash64("_text", F.lit("language")), F.lit(1_000_000)) / 1e6
-    share = {r[0]: rows / r[1] for r in sizes.collect()}  # a number per language
     keep = F.lit(False)
-    for name, part in sorted(share.items()):
-        keep = keep | ((F.col(language) == name) & (draw < part))
+    for name, size in sorted(sizes.items()):
+        keep = keep | ((F.col(language) == name) & (draw < rows / size))
     return labelled.where(keep)
 
 
@@ -220,7 +244,7 @@ def fit(
 ) -> Model:
     """Piece probabilities of each language from labelled texts.
 
-    Rows without a language are left out. Of each language about ``sample_rows`` rows are used,
+    Rows without a language are left out, and languages without a word. Of each language about ``sample_rows`` rows are used,
     so the fit costs the same at every size. The driver sees one probability per piece and
     language.
     """
@@ -228,12 +252,13 @@ def fit(
     rows = labelled.where(F.col(language).isNotNull()).select(
         F.col(language).alias("language"), content(text).alias("_text")
     )
+    counts = rows.groupBy("language").agg(F.count("*").alias("size"))
+    sizes = {r[0]: r[1] for r in counts.collect()}  # a number per language
     words = F.explode(F.regexp_extract_all(F.lower("_text"), F.lit(r"(\p{L}+)"), F.lit(1)))
     counted = handed_over(
-        _sampled(rows, "language", sample_rows)
+        _sampled(rows, "language", sizes, sample_rows)
         .select("language", words.alias("word"))
         .groupBy("language", "word").agg(F.count("*").alias("times"))
-        .where(F.octet_length("word") < LONG)
         .repartition(2 * spark.sparkContext.defaultParallelism, "word"),
         "words",
     )
@@ -247,7 +272,13 @@ def fit(
             finder, current = Pieces(held_pieces.value), held.value
             column = {name: i for i, name in enumerate(languages)}
             total = np.zeros(current.shape)
-            for frame in frames:
+            for whole in frames:
+                is_long = whole["word"].str.encode("utf-8").str.len() >= LONG
+                for row in whole[is_long].itertuples():
+                    spoken = column[row.language]
+                    piece, use = long_uses(finder, as_bytes(row.word), np.log(current[:, spoken]))
+                    np.add.at(total[:, spoken], piece, use * row.times)
+                frame = whole[~is_long]
                 for at in range(0, len(frame), 4096):
                     some = frame.iloc[at:at + 4096]
                     cuts = finder.cuts([as_bytes(w) for w in some["word"]])
@@ -278,7 +309,8 @@ def identified(
     """All columns, the text only if asked for, and lang_pred and score.
 
     ``lang_pred`` is ``und``, with score 0, for texts that are null or have no letter, and for all
-    texts if the model knows no language. Equally likely languages: the first by name.
+    texts if the model knows no language. Equally likely languages: the first by name. Columns of
+    the names of the two are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast({"model": tuple(model)})
     made = ("lang_pred", "score", *(() if keep_text else (text,)))

@@ -57,6 +57,30 @@ def test_forward_pass_sums_all_segmentations():
             assert np.isclose(scorer.vectors[scorer.places[word], column], np.log(exact))
 
 
+def test_uses_in_long_words_equal_those_in_short_ones():
+    pieces = ["a", "b", "ab", "ba", "aba", " ", " a"]
+    chances = np.random.default_rng(2).dirichlet(np.ones(len(pieces)))
+    finder = language.Pieces(pieces)
+    for word in ("a", "abab", "bbaba"):
+        cuts = finder.cuts([" " + word])
+        weight = (chances[cuts.piece] * language.SCALE ** finder.lengths[cuts.piece])[:, None]
+        use = language.expected(cuts, weight, language.forward(cuts, weight), np.ones(1))
+        piece, mine = language.long_uses(finder, " " + word, np.log(chances))
+        assert np.allclose(np.bincount(piece, mine, 7), np.bincount(cuts.piece, use, 7))
+    piece, use = language.long_uses(finder, " " + "ab" * 5000, np.log(chances))
+    assert np.isclose((finder.lengths[piece] * use).sum(), 10001) and use.min() >= 0
+
+
+def test_a_language_of_long_words_is_learned(spark):
+    """Letters without spaces between them are one word; a language without a word has nothing to learn."""
+    rows = [(1, "the cat sat on the mat", "en"), (2, "東京は日本の首都であり世界でも最大級の都市のひとつです", "ja"), (3, "12", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, language.read_pieces(queries.MULTI_50K))
+    assert model.languages == ["en", "ja"]
+    found = {r.doc_id: r.lang_pred for r in language.identified(docs, model).collect()}
+    assert found == {1: "en", 2: "ja", 3: "und"}
+
+
 def test_expected_uses_add_up():
     finder = language.Pieces(["a", "b", "ab", "aa"])
     cuts = finder.cuts(["abaab", "b"])
