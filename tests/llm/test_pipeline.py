@@ -86,3 +86,12 @@ def test_no_documents(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, FOLDER)
         assert docs.columns == COLUMNS and docs.count() == 0
+
+
+def test_documents_left_with_blank_lines_go(spark):
+    line = "every page of this site ends with the very same closing words of thanks"
+    rows = [(i, f"text number {'x' * i} of its own\n{line}", "en", "s", 0) for i in range(14)]
+    rows += [(90, f"{line}\n\n", "en", "s", 0), (91, "\n\t", "en", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r.text for r in corpus_pipeline.without_boilerplate(spark, docs, FOLDER).collect()}
+    assert set(found) == {*range(14), 91} and found[0] == rows[0][1] and "\n" not in found[5]
