@@ -1,17 +1,19 @@
 """Fitted trees as a table of nodes, and models recomputed from what is stored of them.
 
-A tree ensemble is a table: one row per node with its split, its children and its value. Scoring
-is then a join per level. The nodes of a model are bounded by its size parameters (trees times
-2 ** (depth + 1)), so they are broadcast; pairs of row and tree stay in their task through all
-levels and are added up there before anything moves.
+A tree ensemble is a table: one row per node with its split, its children and its value. The nodes
+of a model are bounded by its size parameters (trees times 2 ** (depth + 1)), so every task gets
+them; a row stays in its task through all trees and levels, and only its sum moves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 #: Largest ensemble that is broadcast; 2**21 nodes of 60 bytes are 120 MB.
 MOST_NODES = 2**21
@@ -65,37 +67,87 @@ def malformed(nodes: DataFrame) -> DataFrame:
     )
 
 
+def _arrays(nodes: DataFrame) -> dict[str, np.ndarray]:
+    """Nodes as arrays, a tree after the other; children by place, -1 where there is none.
+
+    A leaf is its own child. ``choice`` tells the row of ``goes_left`` that says which categories
+    go left, 0 (none) where a threshold decides.
+    """
+    table = nodes.select(
+        "tree", "node", "feature", "threshold", "left_values", "left", "right", "value", "weight"
+    ).toArrow().sort_by([("tree", "ascending"), ("node", "ascending")])
+    numbers = lambda name, other: table[name].to_pandas().fillna(other).to_numpy()
+    tree, node = numbers("tree", 0).astype(np.int64), numbers("node", 0).astype(np.int64)
+    inner = table["left"].is_valid().to_numpy()
+    place, wide = tree * (node.max(initial=0) + 1) + node, node.max(initial=0) + 1
+
+    def child(name: str) -> np.ndarray:
+        step = numbers(name, 0).astype(np.int64)
+        wanted = tree * wide + step
+        found = np.minimum(np.searchsorted(place, wanted), len(place) - 1)
+        found = np.where((place[found] == wanted) & (step < wide), found, -1)
+        return np.where(inner, found, np.arange(len(place)))
+
+    chosen = [values or [] for values in table["left_values"].to_pylist()]
+    has = np.array([len(v) > 0 for v in chosen], dtype=bool)
+    categories = int(max((max(v) for v in chosen if v), default=-1)) + 1
+    goes_left = np.zeros((has.sum() + 1, categories + 1), dtype=bool)
+    for row, values in enumerate((v for v in chosen if v), start=1):
+        goes_left[row, np.array(values, dtype=np.int64)] = True
+    return {
+        "children": np.stack([child("right"), child("left")], axis=1).ravel(),
+        "feature": numbers("feature", 0).astype(np.int64),
+        "threshold": numbers("threshold", np.nan).astype(float),
+        "choice": np.where(has, np.cumsum(has), 0), "goes_left": goes_left, "leaf": ~inner,
+        "value": (numbers("value", 0.0) * numbers("weight", 0.0)).astype(float),
+        "weight": numbers("weight", 0.0).astype(float), "roots": np.flatnonzero(node == 0),
+    }
+
+
 def scored_by_nodes(
     rows: DataFrame, nodes: DataFrame, depth: int, boosted: bool, key: str = "customer_unique_id",
     features: str = "features",
 ) -> DataFrame:
     """key, score: probability of class 1, by walking every tree a level at a time.
 
-    Keys must be unique. ``nodes`` is read several times and should be stored.
+    Keys must be unique, vectors not NULL. The nodes go to the tasks as arrays; a batch of rows
+    walks a tree at once, so neither rows nor vectors are copied for the trees.
     """
     if nodes.count() > MOST_NODES:
         raise ValueError(f"more than {MOST_NODES} nodes: score in groups of trees")
-    trees = nodes.select("tree").distinct().count()
-    at = rows.select(
-        F.col(key), vector_to_array(features).alias("_v"),
-        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
-    ).withColumn("node", F.lit(0))
-    inner = F.broadcast(nodes.where("left IS NOT NULL").select(
-        "tree", "node", "feature", "threshold", "left_values", "left", "right"
-    ))
-    value = F.get(F.col("_v"), F.col("feature"))
-    goes_left = F.coalesce(value <= F.col("threshold"), F.array_contains("left_values", value))
-    for _ in range(depth):
-        at = at.join(inner, ["tree", "node"], "left").select(
-            key, "_v", "tree",
-            F.when(F.col("left").isNull(), F.col("node"))
-            .when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"),
-        )
-    leaves = F.broadcast(
-        nodes.where("left IS NULL").select("tree", "node", "value", "weight")
-    )
-    added = at.join(leaves, ["tree", "node"]).groupBy(key).agg(
-        F.sum(F.col("value") * F.col("weight")).alias("_sum"), F.sum("weight").alias("_weights")
+    a = _arrays(nodes)
+
+    def walk(batches):
+        unknown = a["goes_left"].shape[1] - 1  # no category, goes nowhere left
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            v = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            width, first = v.shape[1], np.arange(n) * v.shape[1]
+            known = (v >= 0) & (v < unknown) & (v == np.floor(v))
+            v, category = v.ravel(), np.where(known, v, unknown).astype(np.int64).ravel()
+            total, weights = np.zeros(n), np.zeros(n)
+            for root in a["roots"]:
+                at = np.full(n, root)
+                for _ in range(depth if width else 0):
+                    slot = first + a["feature"][at]
+                    left = v[slot] <= a["threshold"][at]
+                    if unknown:
+                        left |= a["goes_left"][a["choice"][at], category[slot]]
+                    at = np.where(at < 0, -1, a["children"][2 * at + left])
+                arrived = (at >= 0) & a["leaf"][at]
+                total += np.where(arrived, a["value"][at], 0.0)
+                weights += np.where(arrived, a["weight"][at], 0.0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(total), pa.array(weights)], ["key", "sum", "weights"])
+
+    walked = rows.select(F.col(key).alias("key"), vector_to_array(features).alias("v")).mapInArrow(
+        walk, StructType([StructField("key", rows.schema[key].dataType),
+                          StructField("sum", DoubleType()), StructField("weights", DoubleType())])
+    ).where("weights <> 0")
+    added = walked.groupBy(F.col("key").alias(key)).agg(
+        F.sum("sum").alias("_sum"), F.sum("weights").alias("_weights")
     )
     chance = F.lit(1.0) / (1 + F.exp(F.col("_sum") * -2)) if boosted else (
         F.col("_sum") / F.col("_weights")
