@@ -1,27 +1,20 @@
 """Monthly indicators that keep up with orders whose status and values change.
 
-Every order remembers what it last added to which month. News of an order takes that back and
+Of every order it is stored what it last added to which month. News of an order takes that back and
 adds the new values, so a batch becomes a few signed sums per month; indicators are quotients of
 added sums and are formed when they are read. Old news, and news told twice, change nothing.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
 
 from ..operators.kpis import ADDENDS, DELIVERED, merged_sums, order_addends
 from . import runs
 
-SIGNED = ", ".join(["month int", *[f"{a} long" for a in ADDENDS]])
-REMEMBERED = "version long, month int, sums array<long>"
+KNOWN = ("version", "month", *ADDENDS)
 #: A month in days since 1970; an order that counts nowhere has none.
 NOWHERE = -(2**31)
 SUMS = StructType([
@@ -40,51 +33,64 @@ def order_events(orders: DataFrame, version: Column) -> DataFrame:
     )
 
 
-def _signed(
-    key: tuple, news: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Take back what the order added before, and add what its newest version says."""
-    newest = None
-    for rows in news:
-        row = rows.loc[rows["version"].idxmax()]
-        if newest is None or row["version"] > newest["version"]:
-            newest = row
-    before = state.get if state.exists else (-(2**62), NOWHERE, [])
-    if newest is None or newest["version"] <= before[0]:
-        return
-    month, sums = int(newest["month"]), [int(newest[a]) for a in ADDENDS]
-    state.update((int(newest["version"]), month, sums))
-    signed = []
-    if before[1] != NOWHERE:
-        signed.append([before[1], *[-x for x in before[2]]])
-    if month != NOWHERE:
-        signed.append([month, *sums])
-    if signed:
-        yield pd.DataFrame(signed, columns=["month", *ADDENDS])
-
-
 def changes(events: DataFrame) -> DataFrame:
-    """Signed sums per order and month from a stream of news (``order_events``).
+    """What a stream of news (``order_events``) says of each order: version, month and sums.
 
-    The state holds one row per order. Of several versions in a batch the newest counts, of
-    equal versions any; news without a version, key or month of a delivered order count nowhere.
+    News without a version or key are left out; news of an order that is not delivered, or of no
+    month, say that it counts nowhere.
     """
     counted = (F.col("order_status") == DELIVERED) & F.col("order_month").isNotNull()
     month = F.when(counted, F.unix_date(F.to_date("order_month")))
-    rows = events.where("order_id IS NOT NULL AND version IS NOT NULL").select(
+    return events.where("order_id IS NOT NULL AND version IS NOT NULL").select(
         "order_id", "version", F.coalesce(month, F.lit(NOWHERE)).alias("month"), *ADDENDS
     )
-    return rows.groupBy("order_id").applyInPandasWithState(
-        _signed, SIGNED, REMEMBERED, "update", GroupStateTimeout.NoTimeout
-    )
 
 
-def _chosen(spark: SparkSession, table: str, upto: int | None = None) -> list[tuple[str, int]]:
+def _newest(fresh: Column | None = None) -> Column:
+    """Of an order's rows the one of the newest version, of equal versions any."""
+    row = F.struct(*KNOWN)
+    return F.max_by(row, F.col("version")) if fresh is None else F.max_by(
+        F.when(fresh, row), F.when(fresh, F.col("version")))
+
+
+def _known(spark: SparkSession, table: str, batch: int, schema: StructType) -> DataFrame:
+    """What batches before this one stored of the orders: the last state and the news after it."""
+    return runs.read_runs(spark, table, _chosen(spark, table, batch - 1, "known", "news"), schema)
+
+
+def _kept(news: DataFrame) -> StructType:
+    """Layout of what is stored of an order."""
+    return StructType([news.schema[c] for c in ("order_id", *KNOWN)])
+
+
+def _signed(spark: SparkSession, news: DataFrame, table: str, batch: int) -> DataFrame:
+    """Store the news that are newer than what earlier batches stored of their order, and return
+    the sums that they add and those that they take back."""
+    known = _known(spark, table, batch, _kept(news))
+    fresh = F.col("_fresh")
+    met = known.withColumn("_fresh", F.lit(False)).unionByName(
+        news.withColumn("_fresh", F.lit(True))
+    ).groupBy("order_id").agg(_newest(~fresh).alias("before"), _newest(fresh).alias("after"))
+    newer = F.col("before").isNull() | (F.col("after.version") > F.col("before.version"))
+    changed = met.where(F.col("after").isNotNull() & newer).select(
+        "order_id", "after.*", "before")
+    runs.write_run(changed, table, "news", batch)
+    stored = runs.read_runs(spark, table, [("news", batch)], changed.schema)
+    added = stored.select("month", *ADDENDS)
+    back = stored.select(
+        "before.month", *[(-F.col(f"before.{a}")).alias(a) for a in ADDENDS])
+    return added.unionByName(back).where(F.col("month") != NOWHERE)
+
+
+def _chosen(
+    spark: SparkSession, table: str, upto: int | None = None, whole: str = "total",
+    part: str = "delta",
+) -> list[tuple[str, int]]:
     """The newest total and the deltas after it."""
     reached = lambda kind: [r for r in runs.runs(spark, table, kind) if upto is None or r <= upto]
-    total = reached("total")[-1:]
+    total = reached(whole)[-1:]
     after = total[0] if total else -1
-    return [("total", r) for r in total] + [("delta", r) for r in reached("delta") if r > after]
+    return [(whole, r) for r in total] + [(part, r) for r in reached(part) if r > after]
 
 
 def current(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame:
@@ -97,21 +103,30 @@ def follow(
 ) -> StreamingQuery:
     """Process what has arrived and stop; call again for newer news.
 
-    A batch writes its signed sums under its number, so a batch that is repeated after a failure
-    replaces what it wrote. Every ``fold_every`` batches the sums so far are written as a total;
-    readers need the newest total and the deltas after it, and what the total before it has made
-    superfluous is deleted, so neither reading nor listing grows with the number of batches.
+    A batch writes its signed sums, and the news of orders that they come from, under its number,
+    so a batch that is repeated after a failure replaces what it wrote. Every ``fold_every``
+    batches the sums so far are written as a total, and the newest row of every order as what is
+    known; readers need the newest total and the deltas after it, and what the total before it has
+    made superfluous is deleted, so neither reading nor listing grows with the number of batches.
     """
-    def write(signed: DataFrame, batch: int) -> None:
-        spark = signed.sparkSession
+    def write(news: DataFrame, batch: int) -> None:
+        spark = news.sparkSession
         month = F.date_from_unix_date("month").cast("timestamp_ntz")
-        sums = merged_delta(signed.withColumn("order_month", month))
-        runs.write_run(sums, table, "delta", batch)
+        signed = _signed(spark, news, table, batch)
+        runs.write_run(
+            merged_delta(signed.withColumn("order_month", month)), table, "delta", batch)
         if batch % fold_every == fold_every - 1:
             runs.write_run(current(spark, table, batch), table, "total", batch)
-            for kind in ("delta", "total"):
+            kept = _kept(news)
+            known = _known(spark, table, batch, kept).unionByName(
+                runs.read_runs(spark, table, [("news", batch)], kept))
+            runs.write_run(
+                known.groupBy("order_id").agg(_newest().alias("row")).select("order_id", "row.*"),
+                table, "known", batch)
+            # a repeat of this batch needs the state before it
+            for kind, last in (("delta", 0), ("total", 0), ("news", 0), ("known", 1)):
                 for old in runs.runs(spark, table, kind):
-                    if old <= batch - fold_every:
+                    if old <= batch - fold_every - last:
                         runs.drop_run(spark, table, kind, old)
 
     return (
@@ -123,6 +138,3 @@ def follow(
 def merged_delta(signed: DataFrame) -> DataFrame:
     """Signed sums per month; a month whose orders cancel out may still change in value."""
     return signed.groupBy("order_month").agg(*[F.sum(a).alias(a) for a in ADDENDS])
-
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
