@@ -88,10 +88,13 @@ def renamed_view(df: DataFrame, names: Mapping[str, str], view: str) -> DataFram
 
 
 def list_tables(spark: SparkSession, schema: str | None = None) -> DataFrame:
-    """Every table and view with its columns in order."""
+    """Every table and view with its columns in order.
+
+    The session's temporary views belong to no schema, so a named schema is listed without them.
+    """
     rows = [
         (t.name, position, c.name)
-        for t in spark.catalog.listTables(schema)
+        for t in spark.catalog.listTables(schema) if schema is None or not t.isTemporary
         for position, c in enumerate(
             spark.table(t.name if t.isTemporary else f"{t.namespace[0]}.{t.name}").schema
         )

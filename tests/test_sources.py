@@ -181,3 +181,13 @@ def test_handed_over_rows_are_released(spark):
         spark.read.parquet(kept._handed_path)
     with pytest.raises(ValueError):
         session.remove(spark, "/tmp")
+
+
+def test_a_view_of_the_same_name_is_not_listed_in_a_schema(spark):
+    schema, name = unique("listing"), unique("twice")
+    tables.create_schema(spark, schema)
+    tables.write_table(spark.range(1).selectExpr("id AS z", "id AS a"), f"{schema}.{name}")
+    spark.range(1).selectExpr("id AS other").createOrReplaceTempView(name)
+    listed = [tuple(r) for r in tables.list_tables(spark, schema).collect()]
+    spark.catalog.dropTempView(name)
+    assert listed == [(name, "z, a")]
