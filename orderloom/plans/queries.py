@@ -293,7 +293,7 @@ def _by_order(s: Shop) -> Shop:
     spark, schema = _spark(s), _table_name("by_order")
     tables.create_schema(spark, schema)
     wanted = {name: s.src[name] for name in schemas.SOURCES}
-    tables.store_by_order(wanted, schema, 8, fresh_path(spark, "by-order"))
+    tables.store_by_order(wanted, schema, folder=fresh_path(spark, "by-order"))
     return Shop.over_tables(spark, schema)
 
 

@@ -59,14 +59,27 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 BY_ORDER = ("orders", "order_payments", "order_reviews", "order_items")
 
 
+#: Rows of one source in a bucket, and the fewest buckets.
+BUCKET_ROWS, LEAST_BUCKETS = 1_000_000, 8
+
+
+def buckets_for(sources: Mapping[str, DataFrame], rows: int = BUCKET_ROWS) -> int:
+    """Buckets in which the largest source by order has about so many rows each."""
+    most = max((sources[name].count() for name in BY_ORDER if name in sources), default=0)
+    return max(LEAST_BUCKETS, -(-most // rows))
+
+
 def store_by_order(
-    sources: Mapping[str, DataFrame], schema: str, buckets: int, folder: str | None = None
+    sources: Mapping[str, DataFrame], schema: str, buckets: int | None = None,
+    folder: str | None = None,
 ) -> dict[str, int]:
     """Store sources so that orders, payments, reviews and items meet without a shuffle.
 
     These four are bucketed alike by ``order_id``; a bucket of each is read by the same task, so
-    choose buckets that fit one. All other sources are stored plainly. Row counts come back.
+    the number of buckets follows the rows (``buckets_for``) unless it is given. All other
+    sources are stored plainly. Row counts come back.
     """
+    buckets = buckets or buckets_for(sources)
     counts = {}
     for name, df in sources.items():
         layout = {"bucket_by": (buckets, "order_id")} if name in BY_ORDER else {}

@@ -166,3 +166,10 @@ def test_every_declared_table_is_read_once(spark, small_folder):
         stored = spark.read.schema(schema).parquet(path)
         plan = quality.first_pass(stored, checks)._jdf.queryExecution().sparkPlan().toString()
         assert plan.count("FileScan") == 1, checks.table
+
+
+def test_buckets_follow_the_rows(spark):
+    few, many = spark.range(10), spark.range(250)
+    assert tables.buckets_for({"orders": few, "order_items": many, "sellers": spark.range(900)}, 20) == 13
+    assert tables.buckets_for({"orders": few}, 20) == tables.LEAST_BUCKETS
+    assert tables.buckets_for({}) == tables.LEAST_BUCKETS
