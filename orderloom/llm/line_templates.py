@@ -29,17 +29,33 @@ FIRMER = ((5, 8, 80), (3, 20, 90), (2, 50, 90))
 FIELD = "<*>"
 
 
+def _tokens(line: Column) -> Column:
+    return F.array_remove(F.split(line, " "), "")
+
+
 def _lines(docs: DataFrame, depth: int, least_tokens: int) -> DataFrame:
-    """_id, _text_hash, _at, _tokens, _leaf of every line that has a template."""
+    """_id, _text_hash, _at, _line (trimmed), _size (its tokens), _leaf of every line that has a
+    template.
+
+    Lines are not taken apart here: with single spaces, which most have, their number and the
+    leading tokens are the rest.
+    """
     split = docs.select("_id", "_text_hash", F.posexplode(F.split("_text", "\n")).alias("_at", "_line"))
-    tokens = split.where(F.col("_line").rlike(r"(?U)\S")).select(
-        "_id", "_text_hash", "_at", F.array_remove(F.split("_line", " "), "").alias("_tokens")
-    )
-    lead = F.transform(
-        F.slice("_tokens", 1, depth), lambda t: F.when(t.rlike("[0-9]"), FIELD).otherwise(t)
-    )
-    leaf = F.xxhash64(F.size("_tokens"), lead)
-    return tokens.where(F.size("_tokens") >= least_tokens).withColumn("_leaf", leaf)
+    line = F.col("_line")
+    # most lines begin with a visible ASCII letter, which a comparison tells without a pattern
+    written = split.where(((line >= "!") & (line < "\x7f")) | line.rlike(r"(?U)\S"))
+    spaced = line.contains("  ")
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    sized = written.withColumn("_line", F.trim("_line")).select(
+        "_id", "_text_hash", "_at", "_line",
+        F.when(spaced, F.size(_tokens(line))).otherwise(spaces + 1).alias("_size"),
+        F.when(spaced, F.slice(_tokens(line), 1, depth))
+        .otherwise(F.slice(F.split(F.substring_index(line, " ", depth), " "), 1, depth)).alias("_first"),
+    )
+    fields = F.transform("_first", lambda t: F.when(t.rlike("[0-9]"), FIELD).otherwise(t))
+    lead = F.when(F.array_join("_first", " ").rlike("[0-9]"), fields).otherwise(F.col("_first"))
+    found = sized.where(F.col("_size") >= least_tokens) if least_tokens > 1 else sized
+    return found.withColumn("_leaf", F.xxhash64("_size", lead)).drop("_first")
 
 
 def _common(rows: DataFrame, keys: list[str], least: Column) -> DataFrame:
@@ -51,8 +67,12 @@ def _common(rows: DataFrame, keys: list[str], least: Column) -> DataFrame:
 
 
 def _fewest(size: Column, levels: tuple[tuple[int, int, int], ...]) -> Column:
-    """The texts that the easiest level asks for of lines of this size; null if none takes them."""
-    return F.array_min(F.array(*[F.when(size >= tokens, texts) for texts, tokens, _ in levels]))
+    """The texts that the easiest level asks for of lines of this size, which some level takes.
+
+    Never null: Spark would filter nulls out where lines are read, and size them once more a level.
+    """
+    takes = F.array(*[F.when(size >= tokens, texts) for texts, tokens, _ in levels])
+    return F.coalesce(F.array_min(takes), F.lit(levels[0][0]))
 
 
 def recurring_lines(
@@ -73,7 +93,7 @@ def recurring_lines(
         "_text_hash", F.xxhash64("_text")
     )
     lines = _lines(texts, depth, min(tokens for _, tokens, _ in levels))
-    lines = lines.withColumn("_fewest", _fewest(F.size("_tokens"), levels))
+    lines = lines.withColumn("_fewest", _fewest(F.col("_size"), levels))
     leaves = handed_over(
         _common(lines, ["_leaf", "_fewest"], F.col("_fewest")).select("_leaf"), "leaves"
     )
@@ -81,18 +101,18 @@ def recurring_lines(
     # only lines of common leaves are looked at; a few others pass the filter and change nothing
     picked = handed_over(
         with_pass(lines, in_leaf, F.col("_leaf"), "_go", filter_bits).where("_go").select(
-            "_id", "_text_hash", "_at", "_leaf", "_fewest", "_tokens",
-            F.xxhash64("_tokens").alias("_line"),
-        ),
+            "_id", "_text_hash", "_at", "_leaf", "_fewest", _tokens(F.col("_line")).alias("_tokens"),
+            F.col("_line").rlike("[0-9]").alias("_digits"),
+        ).withColumn("_line", F.xxhash64("_tokens")),
         "picked",
     )
     # a spot is a token at its place in a leaf
     spots = F.posexplode("_tokens").alias("_place", "_token")
     spot = F.xxhash64("_leaf", "_place", "_token").alias("_spot")
-    fixed = ~F.col("_token").rlike("[0-9]")
+    fixed = ~(F.col("_digits") & F.col("_token").rlike("[0-9]"))
     constants = handed_over(
         _common(
-            picked.select("_leaf", "_text_hash", "_fewest", spots).where(fixed)
+            picked.select("_leaf", "_text_hash", "_fewest", "_digits", spots).where(fixed)
             .select(spot, F.col("_fewest").cast("byte").alias("_fewest"), "_text_hash"),
             ["_spot", "_fewest"], F.col("_fewest"),
         ).select("_spot", "_texts"),
@@ -101,10 +121,15 @@ def recurring_lines(
     # equal lines of a leaf have equal templates, so each is taken apart once, and of its tokens
     # those that may be constants move
     unique = handed_over(
-        picked.groupBy("_leaf", "_line").agg(F.any_value("_tokens").alias("_tokens")), "unique"
+        picked.groupBy("_leaf", "_line").agg(
+            F.any_value("_tokens").alias("_tokens"), F.any_value("_digits").alias("_digits")
+        ),
+        "unique",
     )
     in_constants = handed_over(row_filter(constants, F.col("_spot"), filter_bits), "spot-filter")
-    cells = unique.select("_leaf", "_line", F.size("_tokens").alias("_size"), spots).where(fixed)
+    cells = unique.select(
+        "_leaf", "_line", "_digits", F.size("_tokens").alias("_size"), spots
+    ).where(fixed)
     cells = with_pass(
         cells.select("_leaf", "_line", "_size", spot), in_constants, F.col("_spot"), "_go", filter_bits
     ).where("_go").drop("_go")
@@ -131,7 +156,7 @@ def recurring_lines(
     )
     places = picked.select("_id", "_text_hash", "_at", "_leaf", "_line")
     # constants leave digits out; a line that is equal as a whole needs none
-    whole = picked.where(F.exists("_tokens", lambda t: t.rlike("[0-9]"))).select(
+    whole = picked.where("_digits").select(
         "_id", "_text_hash", "_at", F.col("_fewest").alias("_least"),
         F.xxhash64("_leaf", F.lit("whole"), "_tokens").alias("_template"),
     )

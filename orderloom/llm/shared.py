@@ -39,12 +39,20 @@ def row_filter(keys: DataFrame, key: Column, bits: int = FILTER_BITS) -> DataFra
     """A bitmap over the hashes of keys: at most ``bits / 32768`` rows of 4 KB, so its size is
     bounded however many keys there are. With far more keys than bits it lets everything pass;
     what reads it must be right in either case.
+
+    Its bytes are given as 64-bit words, the first byte of eight the highest, because each row
+    that is looked up takes one bit: a word is an array element, a byte would be spelled out.
     """
     place = F.pmod(F.xxhash64(key), F.lit(bits))
+    words = F.expr(
+        f"transform(sequence(0, {BITMAP // 64 - 1}),"
+        " i -> bigint(conv(hex(substring(_bitmap, i * 8 + 1, 8)), 16, -10)))"
+    )
     return (
         keys.select(place.alias("_place")).distinct()
         .groupBy(F.expr(f"_place div {BITMAP}").alias("_block"))
         .agg(F.expr(f"bitmap_construct_agg(_place % {BITMAP})").alias("_bitmap"))
+        .select("_block", words.alias("_words"))
     )
 
 
@@ -55,16 +63,16 @@ def with_pass(
 
     The filter is broadcast (its size is bounded, see above), so the rows stay where they are.
     """
-    placed = rows.withColumn("_place", F.pmod(F.xxhash64(key), F.lit(bits)))
+    # a place that could be null would be filtered where rows are read, and hashed twice
+    place = F.coalesce(F.pmod(F.xxhash64(key), F.lit(bits)), F.lit(0))
+    placed = rows.withColumn("_place", place)
     blocks = F.broadcast(filtered.withColumnRenamed("_block", "_of"))
-    byte = F.conv(F.hex(F.expr(f"substring(_bitmap, int(_place % {BITMAP} div 8) + 1, 1)")), 16, 10)
-    bit = F.expr("int(_place % 8)")
-    hit = F.expr("getbit(int(_byte), _bit)") == 1
+    word = f"get(_words, int(_place % {BITMAP} div 64))"
+    hit = F.expr(f"getbit({word}, int(_place % 64) ^ 56)") == 1  # the first byte is the highest
     return (
         placed.join(blocks, F.expr(f"_place div {BITMAP}") == F.col("_of"), "left")
-        .withColumns({"_byte": byte, "_bit": bit})
         .withColumn(out, F.coalesce(hit, F.lit(False)))
-        .drop("_place", "_of", "_bitmap", "_byte", "_bit")
+        .drop("_place", "_of", "_words")
     )
 
 
