@@ -15,8 +15,25 @@ from orderloom.llm.shared import without_keys
 from orderloom.session import handed_over
 
 
+#: Rows that Spark hands to a Python worker at a time. They carry whole texts, which both sides hold.
+BATCH_ROWS = 1000
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """Bounds what lies between Spark and its Python workers; results do not depend on it.
+
+    Stages are lazy, so the setting stays with the session. A smaller one of the user's is kept;
+    0 and less mean without a limit.
+    """
+    now = int(spark.conf.get(BATCH))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
+
+
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; texts that are null or have no letter go."""
+    in_small_batches(spark)
     known = language.identified(docs, language_model(docs))
     return known.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
@@ -31,12 +48,14 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest id."""
+    in_small_batches(spark)
     groups = ngram_join.similar_groups(docs)
     return without_keys(docs, groups.where("doc_id <> component_id"), "doc_id")
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    in_small_batches(spark)
     found = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"))
     return found.where(F.size("hits") == 0).select(*docs.columns)
 
@@ -44,6 +63,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, packed as little-endian unsigned 32-bit integers, and the digest of what they
     decode to."""
+    in_small_batches(spark)
     found = bpe.encoded(docs, WORDS_49K)
     return found.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 

@@ -23,7 +23,8 @@ from .shared import content, slices, travels
 
 travels(__name__)
 
-#: Words a worker remembers; when full it forgets them all, which changes no result.
+#: Words a worker remembers, with their ids alone; when full it forgets them all, which changes no
+#: result.
 REMEMBERED = 200_000
 WORD_END = "</w>"
 #: Letters whose class and case have long been settled. A text with any other is normalised and
@@ -51,7 +52,7 @@ class Pairs:
 
     NEVER = 1 << 60
 
-    def __init__(self, ranks: dict[tuple[str, str], int], limit: int = 1 << 18):
+    def __init__(self, ranks: dict[tuple[str, str], int], limit: int = 1 << 17):
         self.ranks, self.limit = ranks, limit
         self.parts = {a + b: (a, b) for (a, b) in ranks}
         self.edges: dict[tuple[str, int], list[tuple[str, int]]] = {}
@@ -120,7 +121,7 @@ class Encoder:
         inner = [t for t in self.vocab if not t.endswith(WORD_END)]
         final = [t[: -len(WORD_END)] for t in self.vocab if t.endswith(WORD_END)]
         self.inner, self.final = self._automaton(inner), self._automaton(final)
-        self.remembered: dict[str, tuple[bytes, str, int]] = {}
+        self.remembered: dict[str, bytes] = {}
         text = definition if isinstance(definition, str) else definition.decode("utf-8")
         self.library = Tokenizer.from_str(text)
 
@@ -163,8 +164,8 @@ class Encoder:
     def _endings(self, word: str) -> list[str]:
         return [token for end, token in self.final.iter(word) if end == len(word) - 1]
 
-    def word(self, word: str) -> tuple[bytes, str, int]:
-        """Ids as little-endian unsigned 32-bit integers, tokens parted by spaces, and their number."""
+    def word(self, word: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
         found = self.remembered.get(word)
         if found is None:
             letters = self.letters
@@ -174,16 +175,14 @@ class Encoder:
             self.remembered[word] = found
         return found
 
-    def _spelled(self, letters: str) -> tuple[bytes, str, int]:
-        tokens = self.split_word(letters)
-        packed = b"".join([self.vocab[t].to_bytes(4, "little") for t in tokens])
-        return packed, " ".join(tokens), len(tokens)
+    def _spelled(self, letters: str) -> bytes:
+        return b"".join([self.vocab[t].to_bytes(4, "little") for t in self.split_word(letters)])
 
-    def _pieces(self, text: str) -> Iterator[tuple[bytes, str, int]]:
+    def _pieces(self, text: str) -> Iterator[bytes]:
         parts = self.splits_added.split(text) if self.splits_added else [text]
         for part in parts:
             if part in self.added:
-                yield self.added[part].to_bytes(4, "little"), part, 1
+                yield self.added[part].to_bytes(4, "little")
             elif UNSETTLED.search(part):
                 plain = self.library.normalizer.normalize_str(part)
                 for letters, _ in self.library.pre_tokenizer.pre_tokenize_str(plain):
@@ -197,11 +196,8 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[bytes, str, int]:
         """Packed ids, decoded text and number of tokens of a whole text."""
-        found = list(self._pieces(text))
-        return (
-            b"".join([f[0] for f in found]), " ".join([f[1] for f in found]),
-            sum([f[2] for f in found]),
-        )
+        packed = b"".join(self._pieces(text))
+        return packed, self.decode(packed), len(packed) // 4
 
     def decode(self, packed: bytes) -> str:
         """Tokens of packed ids, special ones too, parted by spaces; there is no decoder that
