@@ -10,6 +10,7 @@ rest. Following the stored tokens back from the end gives the ids.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -29,7 +30,10 @@ REMEMBERED = 200_000
 WORD_END = "</w>"
 #: Letters whose class and case have long been settled. A text with any other is normalised and
 #: split by the tokenizers library, whose Unicode tables may be older or newer than Python's.
-UNSETTLED = regex.compile(r"[^\x00-\u052F\u2010-\u2027\u20AC]")
+UNSETTLED = re.compile(r"[^\x00-\u052F\u2010-\u2027\u20AC]")
+#: Patterns none of whose alternatives holds a space or looks beyond what it takes: a text may be
+#: parted at its spaces first, so that a known word between two of them is not matched again.
+WITHIN_SPACES = {r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 
 
 def byte_letters() -> list[str]:
@@ -109,18 +113,21 @@ class Encoder:
             p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"
         )["pattern"]["Regex"]
         self.words = regex.compile(splitter)
+        self.within_spaces = splitter in WITHIN_SPACES
         added = sorted(spec.get("added_tokens", []), key=lambda t: -len(t["content"]))
         self.added = {t["content"]: t["id"] for t in added}
         self.splits_added = (
             regex.compile("(" + "|".join(regex.escape(t) for t in self.added) + ")")
             if self.added else None
         )
-        self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
+        names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
+        self.names = [names.get(i) for i in range(max(names, default=-1) + 1)]
         self.letters = byte_letters()
         # tokens inside a word, and tokens at its end without their mark
         inner = [t for t in self.vocab if not t.endswith(WORD_END)]
         final = [t[: -len(WORD_END)] for t in self.vocab if t.endswith(WORD_END)]
-        self.inner, self.final = self._automaton(inner), self._automaton(final)
+        self.inner = self._automaton(inner)
+        self.final, self.longest = {*final}, max(map(len, final), default=0)
         self.remembered: dict[str, bytes] = {}
         text = definition if isinstance(definition, str) else definition.decode("utf-8")
         self.library = Tokenizer.from_str(text)
@@ -136,16 +143,19 @@ class Encoder:
 
     def split_word(self, word: str) -> list[str]:
         """Tokens of one word, spelled in byte letters, its end mark left out in ``word``."""
-        apart = self.pairs.apart
+        apart, known = self.pairs.apart, self.pairs.known.get
         size = len(word)
         last: list[str | None] = [None] * (size + 1)
         for end, token in self.inner.iter(word[:-1]):
             end += 1
             if last[end] is None:  # the only one that fits is found once
                 start = end - len(token)
-                before = last[start] if start else ""
-                if before == "" or (before is not None and apart(before, token)):
+                if not start:
                     last[end] = token
+                elif (before := last[start]) is not None:
+                    fits = known((before, token))
+                    if apart(before, token) if fits is None else fits:
+                        last[end] = token
         for token in self._endings(word):
             start = size - len(token)
             marked = token + WORD_END
@@ -162,7 +172,10 @@ class Encoder:
         return found
 
     def _endings(self, word: str) -> list[str]:
-        return [token for end, token in self.final.iter(word) if end == len(word) - 1]
+        """Suffixes that are tokens with an end mark."""
+        size = len(word)
+        ends = [word[at:] for at in range(max(size - self.longest, 0), size)]
+        return [token for token in ends if token in self.final]
 
     def word(self, word: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -175,6 +188,11 @@ class Encoder:
             self.remembered[word] = found
         return found
 
+    def _run(self, letters: str) -> bytes:
+        """Packed ids of what may be several words; of a word that was met, those remembered."""
+        known = self.remembered.get
+        return b"".join([known(w) or self.word(w) for w in self.words.findall(letters)])
+
     def _spelled(self, letters: str) -> bytes:
         return b"".join([self.vocab[t].to_bytes(4, "little") for t in self.split_word(letters)])
 
@@ -183,7 +201,7 @@ class Encoder:
         for part in parts:
             if part in self.added:
                 yield self.added[part].to_bytes(4, "little")
-            elif UNSETTLED.search(part):
+            elif not part.isascii() and UNSETTLED.search(part):
                 plain = self.library.normalizer.normalize_str(part)
                 for letters, _ in self.library.pre_tokenizer.pre_tokenize_str(plain):
                     yield self._spelled(letters)
@@ -191,8 +209,8 @@ class Encoder:
                 # letter by letter, so that no letter changes with its place in a word
                 plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
                 known = self.remembered.get
-                for w in self.words.findall(plain):
-                    yield known(w) or self.word(w)
+                found = plain.split(" ") if self.within_spaces else [plain]
+                yield b"".join([known(w) or self._run(w) for w in found])
 
     def encode(self, text: str) -> tuple[bytes, str, int]:
         """Packed ids, decoded text and number of tokens of a whole text."""
@@ -203,7 +221,7 @@ class Encoder:
         """Tokens of packed ids, special ones too, parted by spaces; there is no decoder that
         would join them."""
         ids = memoryview(packed).cast("I") if packed else []
-        return " ".join([self.names[i] for i in ids])
+        return " ".join(map(self.names.__getitem__, ids))
 
 
 def encoded(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
