@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import days_between, hours_between, month_start, week_start, weekday
 from ..functions.keys import any_true, surrogate_key, value_at_min
-from ..functions.numeric import money_sum, rounded
+from ..functions.numeric import money_part, money_sum, money_total, money_whole, rounded
 from ..functions.text import has_text
 
 REVIEW_COLUMNS = (
@@ -70,18 +70,20 @@ def item_rollup(items: DataFrame) -> DataFrame:
 
     Two rollups that end on the same key, each combining on the map side: counting products and
     sellers together on the lines would triple every line before it is aggregated, and a set of
-    products would hold a very large order in one row.
+    products would hold a very large order in one row. Amounts stay two integers until both are done,
+    as decimals would leave the fast path of the aggregate.
     """
     by_product = items.groupBy("order_id", "product_id").agg(
-        F.count("*").alias("_lines"), money_sum("price").alias("_price"),
-        money_sum("freight_value").alias("_freight"),
+        F.count("*").alias("_lines"),
+        *[F.sum(part(c)).alias(f"_{name}_{c}") for c in ("price", "freight_value")
+          for name, part in (("whole", money_whole), ("part", money_part))],
     )
     by_seller = items.groupBy("order_id", "seller_id").agg(F.lit(1).alias("_one"))
     baskets = by_product.groupBy("order_id").agg(
         F.sum("_lines").alias("item_count"),
         F.count("product_id").alias("distinct_products"),
-        F.sum("_price").cast("double").alias("items_subtotal_brl"),
-        F.sum("_freight").cast("double").alias("freight_total_brl"),
+        *[money_total(F.sum(f"_whole_{c}"), F.sum(f"_part_{c}")).cast("double").alias(total)
+          for c, total in (("price", "items_subtotal_brl"), ("freight_value", "freight_total_brl"))],
     )
     sellers = by_seller.groupBy("order_id").agg(F.count("seller_id").alias("distinct_sellers"))
     return baskets.join(sellers, "order_id").select(
