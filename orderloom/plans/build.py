@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,13 +63,27 @@ def build_marts(
     return stored
 
 
+#: Layers in the order in which they are built, and jobs that are submitted at a time.
+LAYERS, AT_ONCE = ("bronze", "silver", "gold"), 3
+
+
+def side_by_side(jobs: Sequence[Callable]) -> list:
+    """Results of jobs that do not need each other: the last tasks of one leave no core idle."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
 def build_layers(
     spark: SparkSession, csv_folder: str, file_names: Mapping[str, str],
     schemas_by_layer: Mapping[str, str], folder: str | None = None,
-    table_format: str = "parquet",
+    table_format: str = "parquet", last: str = "gold",
 ) -> dict[str, int]:
-    """CSV files to bronze, silver and gold tables; every layer reads the stored one below."""
+    """CSV files to bronze, silver and gold tables; every layer reads the stored one below.
+
+    ``last`` is the last layer to build, with all of its tables and all layers below.
+    """
     counts: dict[str, int] = {}
+    wanted = LAYERS[:LAYERS.index(last) + 1]
 
     def place(layer: str, name: str) -> tuple[str, str | None]:
         return f"{schemas_by_layer[layer]}.{name}", f"{folder}/{layer}/{name}" if folder else None
@@ -79,17 +95,21 @@ def build_layers(
         )
         return spark.table(table).drop(stamp)
 
-    for layer in ("bronze", "silver", "gold"):
+    for layer in wanted:
         tables.create_schema(spark, schemas_by_layer[layer])
 
-    bronze: dict[str, DataFrame] = {}
-    for source, ddl in schemas.SOURCES.items():
+    def ingest(source: str, ddl: str) -> DataFrame:
         table, path = place("bronze", f"raw_{source}")
         counts[f"raw_{source}"] = files.ingest_csv(
             spark, csv_folder, file_names[source], ddl, table, files.bronze_shape(source), path,
             table_format, multi_line=source == "order_reviews",
         )
-        bronze[source] = spark.table(table)
+        return spark.table(table)
+
+    stored = side_by_side([partial(ingest, *item) for item in schemas.SOURCES.items()])
+    bronze = dict(zip(schemas.SOURCES, stored))
+    if "silver" not in wanted:
+        return counts
 
     silver_orders = store(
         "silver", "silver_orders",
@@ -102,14 +122,17 @@ def build_layers(
     )
     store("silver", "silver_churn_features",
           churn.silver_features(silver_customers, silver_orders), "_transformed_at")
+    if "gold" not in wanted:
+        return counts
 
     centroids = geography.city_centroids_by_point(
         bronze["geolocation"].withColumnsRenamed(files.restored_names("geolocation"))
     )
-    store("gold", "gold_monthly_kpis", kpis.gold_monthly(silver_orders), "_updated_at")
-    store("gold", "gold_customer_segments",
-          customers.gold_segments(silver_customers, centroids), "_updated_at")
-    store("gold", "gold_delivery_by_state",
-          kpis.gold_by_state(silver_orders, bronze["customers"], silver_customers),
-          "_updated_at")
+    golden = {
+        "gold_monthly_kpis": kpis.gold_monthly(silver_orders),
+        "gold_customer_segments": customers.gold_segments(silver_customers, centroids),
+        "gold_delivery_by_state":
+            kpis.gold_by_state(silver_orders, bronze["customers"], silver_customers),
+    }
+    side_by_side([partial(store, "gold", name, df, "_updated_at") for name, df in golden.items()])
     return counts

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -105,27 +106,29 @@ def _(s):
     return spark.table(name).drop("_ingested_at")
 
 
-def _layers(s: Shop) -> dict[str, str]:
-    """All sources as CSV files, through the three stored layers; the schema of each layer."""
+def _layers(s: Shop, last: str = "gold") -> dict[str, str]:
+    """All sources as CSV files, through the stored layers up to ``last``; the schema of each layer."""
     spark = _spark(s)
     folder = fresh_path(spark, "csv")
     names = {source: f"{source}.csv" for source in schemas.SOURCES}
-    for source, file_name in names.items():
-        files.write_csv(s.src[source], f"{folder}/{file_name}")
+    build.side_by_side([
+        partial(files.write_csv, s.src[source], f"{folder}/{file_name}")
+        for source, file_name in names.items()
+    ])
     layers = {layer: _table_name(layer) for layer in ("bronze", "silver", "gold")}
-    build.build_layers(spark, folder, names, layers, fresh_path(spark, "layers"))
+    build.build_layers(spark, folder, names, layers, fresh_path(spark, "layers"), last=last)
     return layers
 
 
 @query("stored_bronze")
 def _(s):
-    return _spark(s).table(f"{_layers(s)['bronze']}.raw_order_payments").drop(
+    return _spark(s).table(f"{_layers(s, 'bronze')['bronze']}.raw_order_payments").drop(
         "_ingested_at", "_source_file")
 
 
 @query("stored_silver")
 def _(s):
-    return _spark(s).table(f"{_layers(s)['silver']}.silver_customers").drop("_transformed_at")
+    return _spark(s).table(f"{_layers(s, 'silver')['silver']}.silver_customers").drop("_transformed_at")
 
 
 @query("stored_gold")
@@ -1342,7 +1345,7 @@ def _(s):
 
 @query("impute_median")
 def _(s):
-    return ml.impute(s.churn_features).select(
+    return ml.impute(_features(s)).select(
         "customer_unique_id", *churn.NUMERIC_FEATURES, *churn.CATEGORICAL_FEATURES
     )
 

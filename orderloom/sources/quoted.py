@@ -12,6 +12,7 @@ import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
@@ -80,6 +81,14 @@ def cutting(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, out = None, []
         for batch in batches:
+            plain = cutter is not None and not cutter.pending and _one_line_each(batch, cutter)
+            if plain:  # what a line-by-line reading would find, too
+                if wanted(WHOLE):
+                    if out:
+                        yield _pieces(out)
+                        out = []
+                    yield _whole(batch)
+                continue
             for text, file, start in zip(*(c.to_pylist() for c in batch.columns)):
                 if cutter is None or (cutter.file, cutter.start) != (file, start):
                     if cutter is not None:
@@ -99,6 +108,27 @@ def cutting(
     return run
 
 
+def _one_line_each(batch: pa.RecordBatch, cutter: Cutter) -> bool:
+    """Whether every line is a record: all of the cutter's split, no quote left open."""
+    if cutter.inside or cutter.first or not batch.num_rows:
+        return False
+    text, file, start = batch.columns
+    return (
+        pc.all(pc.equal(start, cutter.start)).as_py() and pc.all(pc.equal(file, cutter.file)).as_py()
+        and not pc.any(pc.equal(pc.bit_wise_and(pc.count_substring(text, QUOTE), 1), 1)).as_py()
+    )
+
+
+def _whole(batch: pa.RecordBatch) -> pa.RecordBatch:
+    text, file, start = batch.columns
+    n = batch.num_rows
+    return pa.record_batch(
+        [file.cast(pa.string()), start, pa.array([WHOLE] * n, pa.int32()), pa.array([False] * n),
+         text.cast(pa.string())],
+        names=["file", "start", "kind", "header", "record"],
+    )
+
+
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
     columns = [list(c) for c in zip(*rows)]
     types = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
@@ -108,6 +138,10 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def _without_return(found: DataFrame) -> DataFrame:
+    return found.withColumn("record", F.regexp_replace("record", r"\r$", ""))
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
     """file, header, record: the logical lines of all files, ``header`` for each file's first.
 
@@ -115,15 +149,27 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     quotes do not pair is an error: nothing says where its records end.
     """
     found = lines(spark, path)
-    inside, unpaired = {}, {}
+    inside, unpaired, cut = {}, {}, []
     for r in split_parities(found).orderBy("file", "start").toLocalIterator():
         inside[r.file, r.start] = r.inside
         unpaired[r.file] = r.open
+        if r.inside or r.open:
+            cut.append((r.file, r.start))
     bad = sorted(file for file, odd in unpaired.items() if odd)
     if bad:
         raise ValueError(f"quotes do not pair in {', '.join(bad[:5])}")
     whole = found.mapInArrow(cutting(inside, lambda kind: kind == WHOLE), PIECES)
-    parts = found.mapInArrow(cutting(inside, lambda kind: kind != WHOLE), PIECES)
+    whole = whole.select("file", "header", "record")
+    if not cut:  # splits that start and end outside quotes hold whole records alone
+        return _without_return(whole)
+    pieces_in = spark.createDataFrame(pa.table({
+        "_file": [file for file, _ in cut], "_start": pa.array([at for _, at in cut], pa.int64()),
+    }))
+    halved = found.join(
+        F.broadcast(pieces_in),
+        (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")), "left_semi",
+    )
+    parts = halved.mapInArrow(cutting(inside, lambda kind: kind != WHOLE), PIECES)
     # at most one head and one tail per split; a tail opens a record, heads go on with it
     opened = F.sum((F.col("kind") == TAIL).cast("int")).over(
         Window.partitionBy("file").orderBy("start", "kind")
@@ -134,9 +180,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
              F.array_sort(F.collect_list(F.struct("start", "kind", "record"))).alias("_parts"))
         .select("file", "header", F.array_join("_parts.record", "\n").alias("record"))
     )
-    return whole.select("file", "header", "record").unionByName(joined).withColumn(
-        "record", F.regexp_replace("record", r"\r$", "")
-    )
+    return _without_return(whole.unionByName(joined))
 
 
 def read(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
