@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..session import handed_over, release
+from ..session import collected, handed_over, release
 from .components import components
 from .shared import FILTER_BITS, content, row_filter, slices, travels, with_pass
 
@@ -309,13 +309,16 @@ def similar_groups(
         _prefixes(passing.where("_go").select("_id", "_text"), counts, words, percent).where("_n > 0"),
         "prefixes",
     )
-    postings = prefixes.select(F.explode("_tokens").alias("_token"), "_id")
+    postings = prefixes.select(F.explode("_tokens").alias("_token"), "_id", "_n")
     shared = handed_over(
         postings.groupBy("_token").agg(F.count("*").alias("_d")).where("_d > 1").select("_token"),
         "shared",
     )
+    # most shingles are in one document: their postings need not move to be left out
+    often = handed_over(row_filter(shared, F.col("_token"), filter_bits), "shared-filter")
+    moving = with_pass(postings, often, F.col("_token"), "_go", filter_bits).where("_go").drop("_go")
     live = handed_over(
-        postings.join(shared, "_token")
+        moving.join(shared, "_token")
         .join(classes.select(F.col("_rep").alias("_id")), "_id", "left_semi"),
         "live",
     )
@@ -323,7 +326,8 @@ def similar_groups(
         prefixes.select("_id", "_n", "_m", *BITS).join(_memberships(live), "_id"),
         "facts",
     )
-    release(prefixes, shared, reps)
+    release(prefixes, shared, often, reps)
+    collected(docs.sparkSession)
 
     def similar(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, texts, words, percent, filter_bits)
@@ -351,35 +355,43 @@ def _connected(
     """Components (node, component) of the documents in posting lists.
 
     ``facts`` has a row per document: size, m and bitmap of its set, and in which lists it is.
+    Rows of lists are many, so they name their document and its size alone until pairs are made.
     """
     links = tried = groups = None
     for number in range(ROUNDS):
         if groups is None:
-            some = handed_over(live.join(facts.drop("_names"), "_id").withColumn("_group", F.col("_id")), "placed")
+            some, known = live.withColumn("_group", F.col("_id")), facts
         else:
-            some = _mixed(live, facts, groups)
-        found, tried = _pivot_links(some, similar, number, tried, percent)
-        release(some)
+            some, known = _mixed(live, facts, groups)
+        found, tried = _pivot_links(some, known, similar, number, tried, percent)
+        if groups is not None:
+            release(some, known)
         links = found if links is None else handed_over(links.unionByName(found), "links")
         groups = handed_over(components(links), "groups")
-    some = _mixed(live, facts, groups)
-    found = _remaining_links(some, similar, tried, percent)
-    release(some)
+        collected(live.sparkSession)
+    some, known = _mixed(live, facts, groups)
+    whole = handed_over(some.drop("_n").join(known, "_id"), "whole")
+    release(some, known)
+    found = _remaining_links(whole, similar, tried, percent)
+    release(whole)
     links = found if links is None else links.unionByName(found)
     return handed_over(components(links), "groups")
 
 
-def _mixed(live: DataFrame, facts: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Rows of the lists that hold several groups, with the largest of these, stored.
+def _mixed(
+    live: DataFrame, facts: DataFrame, groups: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the lists that hold several groups, with the largest of these, and the facts of
+    their documents, both stored.
 
     Memberships are those in these lists: documents of different groups meet in no other.
     """
     if groups is None:
         held = live.withColumn("_group", F.col("_id"))
     else:
-        known = groups.select(F.col("node").alias("_id"), F.col("component").alias("_group"))
+        placed = groups.select(F.col("node").alias("_id"), F.col("component").alias("_group"))
         held = handed_over(
-            live.join(known, "_id", "left").withColumn("_group", F.coalesce("_group", "_id")),
+            live.join(placed, "_id", "left").withColumn("_group", F.coalesce("_group", "_id")),
             "placed",
         )
     by_group = held.groupBy("_token", "_group").agg(F.count("*").alias("_d"))
@@ -391,9 +403,9 @@ def _mixed(live: DataFrame, facts: DataFrame, groups: DataFrame | None) -> DataF
     known = handed_over(
         facts.drop("_live", "_names", *LISTS).join(_memberships(some), "_id"), "memberships"
     )
-    whole = handed_over(some.join(known, "_id"), "in-mixed")
-    release(some, known, *([] if groups is None else [held]))
-    return whole
+    if groups is not None:
+        release(held)
+    return some, known
 
 
 def _differing(left: str, right: str) -> Column:
@@ -410,26 +422,31 @@ def _most_differing(n: str, other: str, percent: int) -> Column:
 
 
 def _pivot_links(
-    some: DataFrame, similar: Callable[[DataFrame], DataFrame], number: int,
+    some: DataFrame, facts: DataFrame, similar: Callable[[DataFrame], DataFrame], number: int,
     tried: DataFrame | None, percent: int,
 ) -> tuple[DataFrame, DataFrame]:
     """Compare every document with the most alike, by its bitmap, of its lists' pivots.
 
     Each list draws its own pivot in each round, from its largest group once there is one, so a
-    document meets as many of a large group as it has shingles in common with it.
+    document meets as many of a large group as it has shingles in common with it. A pair that
+    meets in many lists gets its bitmaps once.
     """
     outside = F.lit(False) if number == 0 else F.col("_group") != F.col("_largest")
     draw = F.struct(outside.alias("outside"), F.xxhash64("_id", "_token", F.lit(number)).alias("draw"))
     pivots = handed_over(
         some.groupBy("_token").agg(F.min(F.struct(
             draw.alias("draw"), F.col("_id").alias("_p_id"), F.col("_group").alias("_p_group"),
-            *[F.col(c).alias(f"_p{c}") for c in ("_n", "_m", "_live", *BITS, *LISTS)],
+            F.col("_n").alias("_p_n"),
         )).alias("_pivot")).select("_token", "_pivot.*").drop("draw"),
         "pivots",
     )
-    pairs = some.join(pivots, "_token").withColumn("_far", _differing("", "_p")).where(
+    met = some.join(pivots, "_token").where(
         (F.col("_group") != F.col("_p_group")) & _similar_size(F.col("_n"), F.col("_p_n"), percent)
-        & _reachable("", "_p", percent)
+    ).select("_id", "_p_id").distinct()
+    ours = facts.drop("_names")
+    theirs = ours.withColumnsRenamed({c: f"_p{c}" for c in ours.columns})
+    pairs = met.join(ours, "_id").join(theirs, "_p_id").withColumn("_far", _differing("", "_p")).where(
+        _similar_size(F.col("_n"), F.col("_p_n"), percent) & _reachable("", "_p", percent)
         & (F.col("_far") <= _most_differing("_n", "_p_n", percent))
     )
     if tried is not None:

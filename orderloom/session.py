@@ -92,6 +92,15 @@ def release(*handed: DataFrame) -> None:
         remove(df.sparkSession, df._handed_path)
 
 
+def collected(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs deleted now.
+
+    Spark deletes them once the driver's JVM has collected what named them. With a heap that fills
+    slowly that may be after the run, and the disk then holds every shuffle of a query at once.
+    """
+    spark._jvm.System.gc()
+
+
 def release_all(spark: SparkSession) -> None:
     """Delete everything this session has handed over; its lazy results end with it."""
     remove(spark, own_folder(spark))
