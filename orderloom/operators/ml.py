@@ -16,7 +16,9 @@ from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
     RandomForestClassificationModel, RandomForestClassifier,
 )
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -41,7 +43,8 @@ def impute(
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
 ) -> DataFrame:
     """NULL numbers become the exact column median, NULL categories ``unknown``."""
-    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numeric]).first()
+    counts = [F.count_if(F.col(c).isNull()).alias(c) for c in numeric]
+    missing = df.agg(*counts).first() if counts else {}
     lacking = [c for c in numeric if missing[c]]  # others need no median
     middle = {r.column_name: r.median for r in medians(df, lacking).collect()} if lacking else {}
     filled = {
@@ -159,10 +162,10 @@ def feature_pipeline(
     rows: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
 ) -> Pipeline:
-    """Preparation scaled by ``rows``; fit it on the same rows."""
-    parts = ["scaled", *[f"{c}_onehot" for c in categorical]]
+    """Preparation scaled by ``rows``; fit it on the same rows. Without numbers there is no scaling."""
+    parts = [*(["scaled"] if numeric else []), *[f"{c}_onehot" for c in categorical]]
     return Pipeline(stages=[
-        *scaling_stages(rows, numeric), *encoding_stages(categorical),
+        *(scaling_stages(rows, numeric) if numeric else []), *encoding_stages(categorical),
         VectorAssembler(inputCols=parts, outputCol=FEATURES),
     ])
 
@@ -172,7 +175,7 @@ def feature_names(
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
 ) -> list[str]:
     """Names of the vector slots, categories spelled out."""
-    indexer = prepared.stages[2]
+    indexer = next(s for s in prepared.stages if isinstance(s, StringIndexerModel))
     names = list(numeric)
     for column, labels in zip(categorical, indexer.labelsArray):
         names += [f"{column}_{label}" for label in labels]

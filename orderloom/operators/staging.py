@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.keys import any_true, surrogate_key, value_at_max
+from ..functions.keys import any_true, surrogate_key
 from ..functions.numeric import money_sum, rounded
 
 
@@ -44,11 +44,14 @@ def order_items(source: DataFrame) -> DataFrame:
 def order_payments(source: DataFrame) -> DataFrame:
     """One row per order. ``payment_installments_total`` counts payment rows."""
     kind = F.col("payment_type")
+    # the type decides ties last, so the largest row names it and is all that moves
+    largest = F.max(F.when(
+        F.col("payment_value").isNotNull(), F.struct("payment_value", "payment_sequential", "payment_type")
+    ))
     return source.groupBy("order_id").agg(
         F.count("*").alias("payment_installments_total"),
         rounded(money_sum("payment_value"), 2).alias("total_payment_value"),
-        value_at_max(kind, "payment_value", "payment_sequential", kind)
-        .alias("primary_payment_type"),
+        largest["payment_type"].alias("primary_payment_type"),
         *[
             any_true(kind == name).alias(f"used_{name}")
             for name in ("voucher", "boleto", "credit_card", "debit_card")

@@ -1399,14 +1399,15 @@ def _(s):
 
 @query("one_hot")
 def _(s):
-    """One row per person and slot of a category."""
-    rows, names = _prepared(s)
-    first = len(churn.NUMERIC_FEATURES)
+    """One row per person and slot of a category; no number is read for them."""
+    categories = s.churn_features.select("customer_unique_id", *churn.CATEGORICAL_FEATURES)
+    rows = ml.impute(handed_over(categories, "categories"), ())
+    prepared = ml.feature_pipeline(rows, ()).fit(rows)
     slots = F.arrays_zip(
-        F.array(*map(F.lit, names[first:])).alias("feature"),
-        F.slice("v", first + 1, len(names) - first).alias("value"),
+        F.array(*map(F.lit, ml.feature_names(prepared, ()))).alias("feature"),
+        ml.vector_to_array(ml.FEATURES).alias("value"),
     )
-    return rows.select("customer_unique_id", F.inline(slots))
+    return prepared.transform(rows).select("customer_unique_id", F.inline(slots))
 
 
 def _fit(s: Shop, model: str) -> ml.Fit:
