@@ -9,6 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import churn, customers, geography, kpis, orders, quality
+from ..session import collected
 from ..sources import files, schemas, tables
 from .shop import Shop
 
@@ -65,6 +66,8 @@ def build_marts(
 
 #: Layers in the order in which they are built, and jobs that are submitted at a time.
 LAYERS, AT_ONCE = ("bronze", "silver", "gold"), 3
+#: Compression of the layers, which hold every source once more.
+CODEC = "zstd"
 
 
 def side_by_side(jobs: Sequence[Callable]) -> list:
@@ -77,10 +80,12 @@ def build_layers(
     spark: SparkSession, csv_folder: str, file_names: Mapping[str, str],
     schemas_by_layer: Mapping[str, str], folder: str | None = None,
     table_format: str = "parquet", last: str = "gold",
+    ingested: Callable[[str], None] = lambda source: None,
 ) -> dict[str, int]:
     """CSV files to bronze, silver and gold tables; every layer reads the stored one below.
 
     ``last`` is the last layer to build, with all of its tables and all layers below.
+    ``ingested`` is told each source whose bronze table is stored: its file is not read again.
     """
     counts: dict[str, int] = {}
     wanted = LAYERS[:LAYERS.index(last) + 1]
@@ -91,7 +96,7 @@ def build_layers(
     def store(layer: str, name: str, df: DataFrame, stamp: str) -> DataFrame:
         table, path = place(layer, name)
         counts[name] = tables.write_table(
-            files.with_lineage(df, stamp=stamp), table, path, table_format
+            files.with_lineage(df, stamp=stamp), table, path, table_format, codec=CODEC
         )
         return spark.table(table).drop(stamp)
 
@@ -102,8 +107,9 @@ def build_layers(
         table, path = place("bronze", f"raw_{source}")
         counts[f"raw_{source}"] = files.ingest_csv(
             spark, csv_folder, file_names[source], ddl, table, files.bronze_shape(source), path,
-            table_format, multi_line=source == "order_reviews",
+            table_format, multi_line=source == "order_reviews", codec=CODEC,
         )
+        ingested(source)
         return spark.table(table)
 
     stored = side_by_side([partial(ingest, *item) for item in schemas.SOURCES.items()])
@@ -116,10 +122,12 @@ def build_layers(
         orders.silver(bronze["orders"], bronze["order_payments"], bronze["order_reviews"]),
         "_transformed_at",
     )
+    collected(spark)
     silver_customers = store(
         "silver", "silver_customers",
         customers.silver(bronze["customers"], silver_orders), "_transformed_at",
     )
+    collected(spark)
     store("silver", "silver_churn_features",
           churn.silver_features(silver_customers, silver_orders), "_transformed_at")
     if "gold" not in wanted:

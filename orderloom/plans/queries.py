@@ -15,7 +15,7 @@ from ..operators import (
     audit, churn, customers, geography, kpis, ml, orders, quality, ranking, serving, showcase,
     stats,
 )
-from ..session import fresh_path, handed_over
+from ..session import fresh_path, handed_over, remove
 from ..sources import files, inference, quoted, schemas, tables
 from ..streaming import audit_live, kpi_live
 from . import build, months
@@ -107,16 +107,20 @@ def _(s):
 
 
 def _layers(s: Shop, last: str = "gold") -> dict[str, str]:
-    """All sources as CSV files, through the stored layers up to ``last``; the schema of each layer."""
+    """All sources as CSV files, through the stored layers up to ``last``; the schema of each layer.
+
+    The files are packed, and each is dropped once its bronze table is stored.
+    """
     spark = _spark(s)
     folder = fresh_path(spark, "csv")
     names = {source: f"{source}.csv" for source in schemas.SOURCES}
     build.side_by_side([
-        partial(files.write_csv, s.src[source], f"{folder}/{file_name}")
+        partial(files.write_csv, s.src[source], f"{folder}/{file_name}", **files.PACKED)
         for source, file_name in names.items()
     ])
     layers = {layer: _table_name(layer) for layer in ("bronze", "silver", "gold")}
-    build.build_layers(spark, folder, names, layers, fresh_path(spark, "layers"), last=last)
+    build.build_layers(spark, folder, names, layers, fresh_path(spark, "layers"), last=last,
+                       ingested=lambda source: remove(spark, f"{folder}/{names[source]}"))
     return layers
 
 

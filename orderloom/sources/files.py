@@ -12,6 +12,9 @@ from .tables import write_table
 Shape = Callable[[DataFrame], DataFrame]
 #: Layout of timestamps in the files.
 SECONDS = "yyyy-MM-dd HH:mm:ss"
+#: How files are written that are read once and dropped. A packed file is read by one task, so its
+#: rows are limited.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 1_000_000}
 
 
 def read_csv(
@@ -43,9 +46,10 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, **layout) -> None:
+    """``layout`` are further options of the writer, such as ``PACKED``."""
     df.write.options(header=True, quote='"', escape='"',
-                     timestampNTZFormat=SECONDS).csv(path)
+                     timestampNTZFormat=SECONDS, **layout).csv(path)
 
 
 # ---- shaping of raw columns ----------------------------------------------------------------
@@ -150,7 +154,7 @@ def with_lineage(df: DataFrame, file_name: str | None = None, stamp: str = "_ing
 def ingest_csv(
     spark: SparkSession, folder: str, file_name: str, ddl: str, table: str,
     shape: Shape | None = None, path: str | None = None, table_format: str = "parquet",
-    multi_line: bool = False,
+    multi_line: bool = False, codec: str | None = None,
 ) -> int:
     """Read one CSV, shape it, add lineage and replace the table; returns its row count.
 
@@ -159,7 +163,7 @@ def ingest_csv(
     df = read_csv(spark, f"{folder.rstrip('/')}/{file_name}", ddl, multi_line)
     if shape is not None:
         df = df.transform(shape)
-    return write_table(with_lineage(df, file_name), table, path, table_format)
+    return write_table(with_lineage(df, file_name), table, path, table_format, codec=codec)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -22,12 +22,14 @@ def table(spark: SparkSession, name: str, schema: str | None = None) -> DataFram
 def write_table(
     df: DataFrame, name: str, path: str | None = None, table_format: str = "parquet",
     partition_by: Sequence[str] = (), bucket_by: tuple[int, str] | None = None,
+    codec: str | None = None,
 ) -> int:
     """Replace a table, layout included; returns the rows written.
 
     The count is observed while writing, so the table is not read again. ``bucket_by`` stores
     rows ready for joins on that key without a shuffle; they are dealt out by the key first, so
-    each bucket is one sorted file however many tasks there were.
+    each bucket is one sorted file however many tasks there were. ``codec`` compresses the files
+    by another codec than the session's.
     """
     counted = Observation()
     if bucket_by is not None:
@@ -38,6 +40,8 @@ def write_table(
     )
     if path is not None:
         writer = writer.option("path", path)
+    if codec is not None:
+        writer = writer.option("compression", codec)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by is not None:
