@@ -215,6 +215,32 @@ def stored(spark: SparkSession, fitted):
     return type(fitted).load(path)
 
 
+def _numeric(drop_leaky: bool) -> list[str]:
+    return [c for c in NUMERIC_FEATURES if not (drop_leaky and c in LEAKY_FEATURES)]
+
+
+def prepare(features: DataFrame, drop_leaky: bool = False) -> tuple[PipelineModel, DataFrame]:
+    """The preparation fitted on the training side, and key, split, label and vector of all rows.
+
+    Nothing of it depends on the classifier, so it is stored under a name made of the rows, like a
+    fit (``fitted_once``), and read back by every further model over the same rows.
+    """
+    spark = features.sparkSession
+    path = f"{own_folder(spark)}/prepared/{digest(features, drop_leaky)}"
+    if not exists(spark, f"{path}/ready/_SUCCESS"):
+        rows = with_split(impute(features, _numeric(drop_leaky))).persist()
+        try:
+            train = rows.where("is_train")
+            prepared = feature_pipeline(train, _numeric(drop_leaky)).fit(train)
+            prepared.write().overwrite().save(f"{path}/pipeline")
+            kept = prepared.transform(rows).select(
+                "customer_unique_id", "is_train", LABEL, FEATURES)
+            kept.write.mode("overwrite").parquet(f"{path}/ready")
+        finally:
+            rows.unpersist()
+    return PipelineModel.load(f"{path}/pipeline"), spark.read.parquet(f"{path}/ready")
+
+
 def fit(
     features: DataFrame, model: str = FOREST, drop_leaky: bool = False, **overrides
 ) -> tuple[PipelineModel, object, DataFrame]:
@@ -223,20 +249,13 @@ def fit(
     Returns the fitted preparation, the fitted classifier and all rows with their features.
     ``drop_leaky`` leaves out the inputs from which the label can be computed.
     """
-    numeric = [c for c in NUMERIC_FEATURES if not (drop_leaky and c in LEAKY_FEATURES)]
-    rows = with_split(impute(features, numeric)).persist()
+    prepared, ready = prepare(features, drop_leaky)
+    train = _dealt(_weighted(ready.where("is_train"), model)).select(
+        LABEL, FEATURES, WEIGHT).persist()
     try:
-        train = rows.where("is_train")
-        prepared = feature_pipeline(train, numeric).fit(train)
-        ready = prepared.transform(rows)
-        train = _dealt(_weighted(ready.where("is_train"), model)).select(
-            LABEL, FEATURES, WEIGHT).persist()
-        try:
-            fitted = classifier(model, **overrides).fit(train)
-        finally:
-            train.unpersist()
+        fitted = classifier(model, **overrides).fit(train)
     finally:
-        rows.unpersist()
+        train.unpersist()
     return prepared, stored(features.sparkSession, fitted), ready
 
 
@@ -278,12 +297,8 @@ def fitted_once(
     path = f"{own_folder(spark)}/fits/{digest(features, *settings)}"
     if not exists(spark, f"{path}/names/_SUCCESS"):
         prepared, fitted, ready = fit(features, model, drop_leaky, **overrides)
-        numeric = [c for c in NUMERIC_FEATURES if not (drop_leaky and c in LEAKY_FEATURES)]
-        names = list(enumerate(feature_names(prepared, numeric)))
+        names = list(enumerate(feature_names(prepared, _numeric(drop_leaky))))
         fitted.write().overwrite().save(f"{path}/classifier")
-        kept = ready.select("customer_unique_id", "is_train", LABEL, FEATURES)
-        kept.write.mode("overwrite").parquet(f"{path}/ready")
-        ready = spark.read.parquet(f"{path}/ready")
         scores(fitted, ready).write.mode("overwrite").parquet(f"{path}/scored")
         table = spark.createDataFrame(names, "slot int, name string").coalesce(1)
         table.write.mode("overwrite").parquet(f"{path}/names")
@@ -291,7 +306,7 @@ def fitted_once(
     return Fit(
         model, [r.name for r in names], f"{path}/classifier",
         LOADERS[model].load(f"{path}/classifier"),
-        spark.read.parquet(f"{path}/ready"), spark.read.parquet(f"{path}/scored"),
+        prepare(features, drop_leaky)[1], spark.read.parquet(f"{path}/scored"),
     )
 
 
