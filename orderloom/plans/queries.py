@@ -1476,8 +1476,7 @@ def _(s):
 def _(s):
     """Faults of both node tables; sizes are parameters of the models."""
     parts = []
-    for model in (ml.FOREST, ml.BOOSTED):
-        found = _fit(s, model)
+    for model, found in _fits(s, (ml.FOREST, ml.BOOSTED)).items():
         nodes = handed_over(ml.trees.node_table(_spark(s), found.path, model == ml.BOOSTED), "nodes")
         sizes = nodes.agg(F.count_distinct("tree").alias("trees")).scalar()
         parts.append(ml.trees.malformed(nodes).withColumns(

@@ -46,6 +46,13 @@ def shop(spark, tmp_path):
     return SimpleNamespace(churn_features=people, src=SimpleNamespace(spark=spark))
 
 
+def test_model_nodes_prepares_once(counted, shop):
+    faults = queries.REGISTRY["model_nodes"](shop).collect()
+    assert counted == {"features": 1, "impute": 1}
+    assert {(r.model, r.trees) for r in faults} == {(ml.FOREST, 4), (ml.BOOSTED, 3)}
+    assert all(r.orphans == r.shared == r.missing == r.mute == 0 for r in faults)
+
+
 def test_importances_prepare_once_and_equal_single_fits(counted, shop):
     got = sorted(values(queries.REGISTRY["importance_values"](shop)))
     assert counted == {"features": 1, "impute": 1}
